@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fleetlens.operators.dedup import dedup_latest
+from fleetlens.operators.ordering import literal
 from fleetlens.sources.tables import append_history, read_table
 
 
@@ -29,7 +30,8 @@ def within_batch_times(target: DataFrame, batch: DataFrame, time: str) -> DataFr
     low, high = batch.agg(F.min(time), F.max(time)).first()
     if low is None:
         return target.limit(0)
-    return target.where(F.col(time).between(F.lit(low), F.lit(high)))
+    kind = target.schema[time].dataType
+    return target.where(F.col(time).between(literal(low, kind), literal(high, kind)))
 
 
 def merge_new_only(target: DataFrame, batch: DataFrame, keys: Sequence[str]) -> DataFrame:

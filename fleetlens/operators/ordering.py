@@ -55,6 +55,11 @@ class Splits:
     def active(self) -> bool:
         return bool(self.bounds)
 
+    @property
+    def partition(self) -> list[str]:
+        """Window partition: the group, and the chunk where groups are split."""
+        return [*self.by, CHUNK] if self.active else list(self.by)
+
     def _order_type(self) -> T.DataType:
         return self.schema[self.order].dataType
 
@@ -74,6 +79,13 @@ class Splits:
         return df.join(F.broadcast(self.keys(df)), self.matches(), "left_semi")
 
 
+def literal(value: object, kind: T.DataType) -> Column:
+    """A typed constant. Zone-less timestamps go through text, so no time zone can shift them."""
+    if isinstance(kind, T.TimestampNTZType) and value is not None:
+        return F.lit(value.isoformat(sep=" ")).cast(kind)
+    return F.lit(value).cast(kind)
+
+
 def _blocks(values: Sequence) -> tuple[list, list[list]]:
     """Split values in blocks of about sqrt(n), and the first value of every later block."""
     width = max(1, math.isqrt(len(values)))
@@ -174,7 +186,7 @@ def with_chunk(df: DataFrame, splits: Splits) -> DataFrame:
 
 
 def _array(values: Sequence, kind: T.DataType) -> Column:
-    return F.array(*[F.lit(v).cast(kind) for v in values]).cast(T.ArrayType(kind))
+    return F.array(*[literal(v, kind) for v in values]).cast(T.ArrayType(kind))
 
 
 def _spread(df: DataFrame, splits: Splits) -> DataFrame:
@@ -272,7 +284,7 @@ def running(
     one update per row; the suffix form is the same frame over the descending order.
     """
     chunked = df if CHUNK in df.columns else with_chunk(df, splits)
-    part = [*splits.by, CHUNK]
+    part = splits.partition
     direct = F.desc if descending else F.asc
     frame = (
         Window.partitionBy(*part)
@@ -313,6 +325,7 @@ def keys_at_ranks(
 
 def _locate_ranks(df: DataFrame, first: str, rest: list[str], ranks: list[int], max_rows: int) -> list[list]:
     splits = find_splits(df, [], first, max_rows=max_rows)
+    kind = df.schema[first].dataType
     pieces: dict[int, list[tuple[int, int]]] = {}
     if splits.active:
         sizes = {r[CHUNK]: r["n"] for r in with_chunk(df, splits).groupBy(CHUNK).agg(F.count(F.lit(1)).alias("n")).collect()}
@@ -332,16 +345,20 @@ def _locate_ranks(df: DataFrame, first: str, rest: list[str], ranks: list[int],
             cuts = splits.bounds[()]
             low, high = (cuts[chunk - 1] if chunk else None), (cuts[chunk] if chunk < len(cuts) else None)
             if low is not None:
-                part = part.where(F.col(first) >= F.lit(low))
+                part = part.where(F.col(first) >= literal(low, kind))
             if high is not None:
-                under = F.col(first) < F.lit(high)
+                under = F.col(first) < literal(high, kind)
                 part = part.where(under | F.col(first).isNull() if low is None else under)
         counts = part.groupBy(first).agg(F.count(F.lit(1)).alias("__n"))
-        ordered = running(counts, Splits((), first), {"__upto": ("sum", "__n")})
+        inner = find_splits(counts, [], first, max_rows=max_rows) if splits.active else Splits((), first)
+        ordered = running(counts, inner, {"__upto": ("sum", "__n")})
         spot = reduce(lambda a, b: a | b, [(F.col("__upto") > r) & (F.col("__upto") - F.col("__n") <= r) for _, r in wanted])
         spots = ordered.where(spot).collect()
         unique = [s[first] for s in spots if s["__n"] == 1 and s[first] is not None]
-        rows = {r[first]: r for r in part.where(F.col(first).isin(unique)).collect()} if rest and unique else {}
+        rows = {}
+        if rest and unique:
+            found = part.where(F.col(first).isin([literal(v, kind) for v in unique]))
+            rows = {r[first]: r for r in found.collect()}
         for i, rank in wanted:
             spot_row = next(s for s in spots if s["__upto"] - s["__n"] <= rank < s["__upto"])
             value = spot_row[first]
@@ -349,18 +366,19 @@ def _locate_ranks(df: DataFrame, first: str, rest: list[str], ranks: list[int],
             if rest and value in rows:
                 tail = [rows[value][c] for c in rest]
             elif rest:
-                tied = part.where(F.col(first).eqNullSafe(F.lit(value)))
+                tied = part.where(F.col(first).eqNullSafe(literal(value, kind)))
                 offset = rank - (spot_row["__upto"] - spot_row["__n"])
                 tail = _locate_ranks(tied, rest[0], rest[1:], [offset], max_rows)[0]
             answers[i] = [value, *tail]
     return answers
 
 
-def before_key(order: Sequence[str], key: Sequence) -> Column:
+def before_key(schema: T.StructType, order: Sequence[str], key: Sequence) -> Column:
     """True for rows strictly before `key` in the ascending order, nulls first: a map-side test."""
     column, value = F.col(order[0]), key[0]
     if value is None:
         smaller, equal = F.lit(False), column.isNull()
     else:
-        smaller, equal = F.coalesce(column < F.lit(value), F.lit(True)), F.coalesce(column == F.lit(value), F.lit(False))
-    return smaller if len(order) == 1 else smaller | (equal & before_key(order[1:], key[1:]))
+        mark = literal(value, schema[order[0]].dataType)
+        smaller, equal = F.coalesce(column < mark, F.lit(True)), F.coalesce(column == mark, F.lit(False))
+    return smaller if len(order) == 1 else smaller | (equal & before_key(schema, order[1:], key[1:]))
