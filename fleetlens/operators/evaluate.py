@@ -174,7 +174,7 @@ def model_metrics(df: DataFrame, label: str, prediction: str, score: str, by: Se
     """The six metrics of each model, from rows of (model, label, prediction, score)."""
     confusion = binary_metrics(df, label, prediction, by)
     ranking = ranking_metrics(df, label, score, by, max_rows).drop("positives", "negatives")
-    return confusion.join(ranking, list(by), "left") if by else confusion.crossJoin(F.broadcast(ranking))
+    return confusion.join(ranking, list(by), "left")
 
 
 # --- champion ---------------------------------------------------------------------------
