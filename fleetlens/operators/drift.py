@@ -12,7 +12,7 @@ from datetime import datetime
 from functools import reduce
 from operator import add
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from fleetlens.functions.tests_of_fit import chi2_pvalue, ks_pvalue
@@ -217,24 +217,25 @@ def chi_square(table: DataFrame) -> DataFrame:
     Yates' correction applies to two classes. The result is null unless both sides have at
     least two classes and the same ones.
     """
-    totals = table.agg(
-        F.sum("n_base").alias("b"), F.sum("n_cur").alias("c"), F.count(F.lit(1)).alias("k"),
-        F.count_if((F.col("n_base") == 0) | (F.col("n_cur") == 0)).alias("unmatched"),
-        F.collect_list(F.struct(F.col("n_base").alias("b"), F.col("n_cur").alias("c"))).alias("cells"),
+    whole = Window.partitionBy()  # one row per class
+    sized = table.withColumns(
+        {
+            "__b": F.sum("n_base").over(whole), "__c": F.sum("n_cur").over(whole), "__k": F.count(F.lit(1)).over(whole),
+            "__row": F.col("n_base") + F.col("n_cur"),
+        }
     )
 
-    def cell(observed: Column, row_total: Column, column_total: Column) -> Column:
-        expected = row_total * column_total / (F.col("b") + F.col("c"))
-        distance = F.abs(observed - expected)
-        corrected = F.when(F.col("k") == 2, distance - F.least(F.lit(0.5), distance)).otherwise(distance)
-        return corrected * corrected / expected
-
-    statistic = F.aggregate(
-        "cells", F.lit(0.0), lambda acc, x: acc + cell(x.b, x.b + x.c, F.col("b")) + cell(x.c, x.b + x.c, F.col("c"))
-    )
-    valid = (F.col("k") > 1) & (F.col("unmatched") == 0)
-    return totals.select(
-        F.when(valid, statistic).alias("chi2_statistic"), F.when(valid, F.col("k") - 1).alias("dof")
+    def cell(observed: str, column_total: str) -> Column:
+        expected = F.col("__row") * F.col(column_total) / (F.col("__b") + F.col("__c"))
+        distance = F.abs(F.col(observed) - expected)
+        corrected = F.when(F.col("__k") == 2, distance - F.least(F.lit(0.5), distance)).otherwise(distance)
+        return F.when(expected > 0, corrected * corrected / expected)
+
+    k, one_sided = F.max("__k"), F.count_if((F.col("n_base") == 0) | (F.col("n_cur") == 0))
+    valid = (k > 1) & (one_sided == 0)
+    return sized.agg(
+        F.when(valid, F.sum(cell("n_base", "__b") + cell("n_cur", "__c"))).alias("chi2_statistic"),
+        F.when(valid, k - 1).alias("dof"),
     ).withColumn("chi2_pvalue", chi2_pvalue(F.col("chi2_statistic"), F.col("dof")))
 
 

@@ -1,0 +1,93 @@
+"""A sensor feed read from the `events` table: every event is one reading of a machine.
+
+The expressions are the mapping of one schema onto another. `{S}` is the name of the string
+type, so that the same mapping can be stated to any SQL engine.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
+
+from fleetlens.config import Keys, raw_schema
+from fleetlens.functions.shaping import conform
+
+KEYS = Keys(time="reading_ts")
+
+
+def _over(factor: int, modulus: int, divisor: int = 1, base: int = 0) -> str:
+    """(base + event_id * factor mod modulus) / divisor, spelled so that both operands are doubles."""
+    value = f"cast({base} + (event_id * {factor}) % {modulus} as double)"
+    return value if divisor == 1 else f"{value} / cast({divisor} as double)"
+
+
+MAPPING: dict[str, str] = {
+    "event_id": "cast(event_id as {S})",
+    "turbine_id": "concat('T', lpad(cast(user_id as {S}), 4, '0'))",
+    "farm_id": "concat('FARM_', cast(user_id % 3 as {S}))",
+    "reading_ts": "ts",
+    "turbine_model": "concat('MODEL_', cast(user_id % 4 as {S}))",
+    "turbine_age_years": "cast(1 + user_id % 20 as double)",
+    "wind_speed": "case when event_id % 50 = 0 then cast(null as double) when event_id % 333 = 0 then cast(-999 as double) "
+    "else value % cast(30 as double) end",
+    "wind_direction": _over(37, 360),
+    "ambient_temperature": _over(13, 20, base=5),
+    "humidity": _over(59, 151),
+    "atmospheric_pressure": _over(61, 60, base=980),
+    "air_density": _over(67, 300, 1000, 1000),
+    "precipitation": _over(71, 50, 10),
+    "rotor_speed_rpm": _over(3, 16),
+    "generator_speed_rpm": "cast((event_id * 3) % 16 * 100 + event_id % 7 as double)",
+    "blade_pitch_angle": "cast(event_id % 31 as double)",
+    "yaw_angle": _over(73, 360),
+    "yaw_error": _over(79, 30, 10),
+    "gearbox_temperature": "cast(case when event_id % 50 = 7 then null else 40 + (event_id * 17) % 121 end as double)",
+    "generator_temperature": _over(29, 83, base=35),
+    "bearing_temperature": _over(31, 67, base=25),
+    "main_bearing_temperature": _over(83, 70, base=25),
+    "nacelle_temperature": _over(7, 20, base=15),
+    "brake_temperature": _over(89, 40, base=20),
+    "hydraulic_pressure": _over(47, 70, base=110),
+    "hydraulic_oil_temperature": _over(41, 30, base=30),
+    "gearbox_oil_temperature": _over(43, 60, base=40),
+    "gearbox_oil_pressure": _over(97, 50, 10),
+    "vibration_x": "cast(case when event_id % 50 = 9 then null else (event_id * 11) % 221 end as double) / cast(100 as double)",
+    "vibration_y": _over(23, 155, 100),
+    "vibration_z": _over(19, 125, 100),
+    "vibration_rms": _over(101, 250, 100),
+    "vibration_peak": _over(103, 350, 100),
+    "vibration_kurtosis": _over(107, 60, 10),
+    "active_power_kw": "case when event_id % 50 = 11 then cast(null as double) "
+    "else (value * cast(25 as double)) % cast(5000 as double) end",
+    "reactive_power_kvar": "value * cast(2 as double)",
+    "apparent_power_kva": "value * cast(26 as double)",
+    "voltage_v": "cast(case when event_id % 40 = 3 then 0 else 660 + (event_id * 109) % 60 end as double)",
+    "current_a": _over(113, 4000),
+    "power_factor": _over(127, 101, 100),
+    "grid_frequency_hz": _over(131, 20, 10, 490),
+    "generator_load_pct": _over(137, 101),
+    "electrical_efficiency": _over(139, 31, base=70),
+    "operating_state": "case event_type when 'view' then 'STOPPED' when 'signup' then 'MAINTENANCE' "
+    "when 'error' then 'FAULT' else 'RUNNING' end",
+    "availability_flag": "(event_id * 53) % 101 >= 30",
+    "grid_connected_flag": "event_type in ('click', 'purchase')",
+    "maintenance_mode_flag": "event_type = 'signup'",
+    "alarm_flag": "(event_id * 53) % 101 < 70",
+    "alarm_code": "case when event_type = 'error' then 'ALM-REPORTED' end",
+    "alarm_severity": "case when event_type = 'error' then 'INFO' end",
+    "failure_flag": "event_type = 'error' and event_id % 7 = 0",
+    "failure_type": "case when event_type = 'error' and event_id % 7 = 0 then concat('COMPONENT_', cast(event_id % 5 as {S})) end",
+    "operating_hours": "cast(event_id % 1000 as double)",
+    "health_status": _over(53, 101, 100),
+}
+
+
+def raw_readings(spark: SparkSession, folder: str) -> DataFrame:
+    """The feed as delivered, with boolean flags."""
+    events = spark.read.parquet(f"{folder}/events.parquet")
+    return events.selectExpr(*[f"{e.format(S='string')} as {name}" for name, e in MAPPING.items()])
+
+
+def readings(spark: SparkSession, folder: str) -> DataFrame:
+    """The feed in the fixed raw schema."""
+    return conform(raw_readings(spark, folder), raw_schema(KEYS, T.TimestampNTZType()))
