@@ -1,7 +1,9 @@
 """Common table expressions of the checking SQL, and rounding shared by both sides.
 
 The SQL is written for DuckDB. Numbers with an exponent are DOUBLE literals there; `+ 0e0`
-turns a negative zero left by rounding into zero.
+turns a negative zero left by rounding into zero. Sensor values are short decimals, so means
+of a few of them often end in an exact 5 at the digit that is rounded; the nudge takes such
+ties off the edge, where the last bit of a sum would decide.
 """
 
 from __future__ import annotations
@@ -15,6 +17,7 @@ from fleetlens.config import SILVER_DEFAULTS, TRAINING_COLUMNS, label_name
 from fleetlens.sources.readings import MAPPING
 
 DIGITS = 6
+NUDGE = 1e-9
 LABEL = label_name()
 FLAGS = {c for c in MAPPING if c.endswith("_flag")}
 
@@ -97,9 +100,9 @@ def over(stage: str, body: str, *more: str) -> str:
 
 
 def rounded_sql(body: str, columns: Iterable[str]) -> str:
-    listed = ", ".join(f"round({c}, {DIGITS}) + 0e0 as {c}" for c in columns)
+    listed = ", ".join(f"round({c} + {NUDGE!r}, {DIGITS}) + 0e0 as {c}" for c in columns)
     return f"select * replace ({listed}) from ({body})"
 
 
 def rounded(df: DataFrame, columns: Iterable[str]) -> DataFrame:
-    return df.withColumns({c: F.round(c, DIGITS) for c in columns})
+    return df.withColumns({c: F.round(F.col(c) + NUDGE, DIGITS) for c in columns})

@@ -10,7 +10,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from datetime import datetime
 from functools import reduce
-from operator import add
+from operator import add, or_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -60,67 +60,79 @@ def moments(samples: DataFrame) -> DataFrame:
 # --- KS and PSI -------------------------------------------------------------------------
 
 
-def _quantile(i: int, bins: int) -> Column:
-    """Linear interpolation between the two values around rank (n - 1) * i / bins."""
-    low, high = F.col(f"__low{i}"), F.col(f"__high{i}")
-    share = _position(i, bins) - F.floor(_position(i, bins))
-    step = high - low
-    return F.when(share >= 0.5, high - step * (1.0 - share)).otherwise(low + step * share)
+def _percentiles(ordered: DataFrame, bins: int) -> DataFrame:
+    """Per feature the baseline's bins + 1 equally spaced percentiles, as an ascending array.
 
+    Percentile k interpolates linearly between the values around rank (n - 1) * k / bins. The
+    running counts say which rows hold those ranks, so a handful of rows per feature remain.
+    """
 
-def _position(i: int, bins: int) -> Column:
-    return (F.col("n_base") - 1) * F.lit(i / bins)
-
+    def position(k: Column | int) -> Column:
+        return (F.col("n_base") - 1) * ((F.lit(k) if isinstance(k, int) else k).cast("double") / float(bins))
 
-def compare_samples(samples: DataFrame, bins: int = BINS, max_rows: int = MAX_ROWS) -> DataFrame:
-    """KS distance, its p-value, PSI and moments for every feature present on both sides.
+    def holds(rank: Column) -> Column:
+        return (F.col("cb") - F.col("nb") <= rank) & (rank < F.col("cb"))
 
-    PSI bins are the baseline's percentiles, left-closed, the last closed on both ends. Current
-    values outside of them count in the denominator only. An empty share becomes 1e-4.
-    """
-    counts = value_counts(samples)
-    sizes = moments(samples).where((F.col("n_base") > 0) & (F.col("n_cur") > 0))
-    plan = find_splits(counts, ["feature"], "value", max_rows=max_rows)
-    ordered = running(counts, plan, {"cb": ("sum", "nb"), "cc": ("sum", "nc")}).join(sizes, "feature")
+    def low(k: Column | int) -> Column:
+        return F.floor(position(k))
 
-    def value_at(rank: Column) -> Column:
-        return F.max(F.when((F.col("cb") - F.col("nb") <= rank) & (rank < F.col("cb")), F.col("value")))
+    def high(k: Column | int) -> Column:
+        return F.least(low(k) + 1, F.col("n_base") - 1)
 
-    gap = F.abs(F.col("cb") / F.col("n_base") - F.col("cc") / F.col("n_cur"))
-    ranks = []
-    for i in range(bins + 1):
-        low = F.floor(_position(i, bins))
-        ranks += [
-            value_at(low).alias(f"__low{i}"), value_at(F.least(low + 1, F.col("n_base") - 1)).alias(f"__high{i}")
-        ]
-    per_feature = (
-        ordered.groupBy("feature", *[c for c in sizes.columns if c != "feature"])
-        .agg(F.max(gap).alias("ks_statistic"), *ranks)
-        .withColumns({f"__edge{i}": _quantile(i, bins) for i in range(bins + 1)})
-        .drop(*[f"__{side}{i}" for i in range(bins + 1) for side in ("low", "high")])
+    wanted = reduce(or_, [holds(rank(k)) for k in range(bins + 1) for rank in (low, high)])
+    step = F.col("k")
+    share = position(step) - low(step)
+    below = F.max(F.when(holds(low(step)), F.col("value")))
+    above = F.max(F.when(holds(high(step)), F.col("value")))
+    a, gap, t = F.col("__a"), F.col("__b") - F.col("__a"), F.col("__t")
+    return (
+        ordered.where(wanted).withColumn("k", F.explode(F.sequence(F.lit(0), F.lit(bins))))
+        .groupBy("feature", "k").agg(below.alias("__a"), above.alias("__b"), F.max(share).alias("__t"))
+        .withColumn("__edge", F.when(t >= 0.5, F.col("__b") - gap * (1.0 - t)).otherwise(a + gap * t))
+        .groupBy("feature")
+        .agg(F.sort_array(F.collect_list(F.struct("k", "__edge"))).getField("__edge").alias("__edges"))
     )
-    edges = per_feature.select("feature", *[f"__edge{i}" for i in range(bins + 1)])
 
-    def inside(i: int) -> Column:
-        low, high, v = F.col(f"__edge{i}"), F.col(f"__edge{i + 1}"), F.col("value")
-        return (v >= low) & ((v <= high) if i == bins - 1 else (v < high))
 
-    binned = counts.join(edges, "feature").groupBy("feature").agg(
-        *[F.sum(F.when(inside(i), F.col(n)).otherwise(0)).alias(f"__{n}{i}") for i in range(bins) for n in ("nb", "nc")]
+def _psi(counts: DataFrame, edges: DataFrame, sizes: DataFrame, bins: int) -> DataFrame:
+    """Bins are left-closed, the last closed on both ends; values outside count in the size only.
+
+    A bin empty on both sides adds nothing, so only occupied bins need a row.
+    """
+    edge = [F.get("__edges", F.lit(i)) for i in range(bins + 1)]
+    v = F.col("value")
+    passed = reduce(add, [(v >= e).cast("int") for e in edge])
+    index = F.when(v == edge[bins], bins - 1).otherwise(passed - 1)
+    occupied = (
+        counts.join(edges, "feature").where((v >= edge[0]) & (v <= edge[bins]))
+        .groupBy("feature", index.alias("__bin")).agg(F.sum("nb").alias("__e"), F.sum("nc").alias("__a"))
     )
 
     def share(name: str, size: str) -> Column:
         return F.when(F.col(name) == 0, EMPTY_SHARE).otherwise(F.col(name) / F.col(size))
 
-    def term(i: int) -> Column:
-        expected, actual = share(f"__nb{i}", "n_base"), share(f"__nc{i}", "n_cur")
-        return (actual - expected) * F.log(actual / expected)
+    expected, actual = share("__e", "n_base"), share("__a", "n_cur")
+    return occupied.join(sizes.select("feature", "n_base", "n_cur"), "feature").groupBy("feature").agg(
+        F.sum((actual - expected) * F.log(actual / expected)).alias("psi_value")
+    )
+
+
+def compare_samples(samples: DataFrame, bins: int = BINS, max_rows: int = MAX_ROWS) -> DataFrame:
+    """KS distance, its p-value, PSI and moments for every feature present on both sides.
 
-    joined = per_feature.join(binned, "feature")
-    return joined.select(
-        "feature", "n_base", "n_cur", "mean_base", "mean_cur", "std_base", "std_cur", "ks_statistic",
-        ks_pvalue(F.col("ks_statistic"), F.col("n_base"), F.col("n_cur")).alias("ks_pvalue"),
-        reduce(add, [term(i) for i in range(bins)]).alias("psi_value"),
+    PSI compares the shares in the baseline's percentile bins; an empty share becomes 1e-4.
+    """
+    counts = value_counts(samples)
+    sizes = moments(samples).where((F.col("n_base") > 0) & (F.col("n_cur") > 0))
+    plan = find_splits(counts, ["feature"], "value", max_rows=max_rows)
+    ordered = running(counts, plan, {"cb": ("sum", "nb"), "cc": ("sum", "nc")}).join(
+        sizes.select("feature", "n_base", "n_cur"), "feature"
+    )
+    gap = F.abs(F.col("cb") / F.col("n_base") - F.col("cc") / F.col("n_cur"))
+    distances = ordered.groupBy("feature").agg(F.max(gap).alias("ks_statistic"))
+    stability = _psi(counts, _percentiles(ordered, bins), sizes, bins)
+    return sizes.join(distances, "feature").join(stability, "feature").withColumn(
+        "ks_pvalue", ks_pvalue(F.col("ks_statistic"), F.col("n_base"), F.col("n_cur"))
     )
 
 
