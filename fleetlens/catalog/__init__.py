@@ -6,6 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from fleetlens.session import tune
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 _QUERIES: dict[str, Query] = {}
@@ -16,7 +18,7 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
     """Registers a query, and the equivalent SQL where the operator can be stated in SQL."""
 
     def register(fn: Query) -> Query:
-        _QUERIES[name] = fn
+        _QUERIES[name] = lambda spark, folder: fn(tune(spark), folder)
         if sql is not None:
             _SQL[name] = sql
         return fn

@@ -10,7 +10,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from datetime import datetime
 from functools import reduce
-from operator import add, or_
+from operator import or_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -67,28 +67,27 @@ def _percentiles(ordered: DataFrame, bins: int) -> DataFrame:
     running counts say which rows hold those ranks, so a handful of rows per feature remain.
     """
 
-    def position(k: Column | int) -> Column:
-        return (F.col("n_base") - 1) * ((F.lit(k) if isinstance(k, int) else k).cast("double") / float(bins))
+    def position(k: str) -> str:
+        return f"((n_base - 1) * (cast({k} as double) / {bins}D))"
 
-    def holds(rank: Column) -> Column:
-        return (F.col("cb") - F.col("nb") <= rank) & (rank < F.col("cb"))
+    def low(k: str) -> str:
+        return f"floor({position(k)})"
 
-    def low(k: Column | int) -> Column:
-        return F.floor(position(k))
+    def high(k: str) -> str:
+        return f"least({low(k)} + 1, n_base - 1)"
 
-    def high(k: Column | int) -> Column:
-        return F.least(low(k) + 1, F.col("n_base") - 1)
+    def holds(rank: str) -> str:
+        return f"(cb - nb <= {rank} and {rank} < cb)"
 
-    wanted = reduce(or_, [holds(rank(k)) for k in range(bins + 1) for rank in (low, high)])
-    step = F.col("k")
-    share = position(step) - low(step)
-    below = F.max(F.when(holds(low(step)), F.col("value")))
-    above = F.max(F.when(holds(high(step)), F.col("value")))
-    a, gap, t = F.col("__a"), F.col("__b") - F.col("__a"), F.col("__t")
+    wanted = " or ".join(holds(rank(str(k))) for k in range(bins + 1) for rank in (low, high))
     return (
-        ordered.where(wanted).withColumn("k", F.explode(F.sequence(F.lit(0), F.lit(bins))))
-        .groupBy("feature", "k").agg(below.alias("__a"), above.alias("__b"), F.max(share).alias("__t"))
-        .withColumn("__edge", F.when(t >= 0.5, F.col("__b") - gap * (1.0 - t)).otherwise(a + gap * t))
+        ordered.where(wanted).withColumn("k", F.expr(f"explode(sequence(0, {bins}))"))
+        .groupBy("feature", "k").agg(
+            F.expr(f"max(case when {holds(low('k'))} then value end)").alias("__a"),
+            F.expr(f"max(case when {holds(high('k'))} then value end)").alias("__b"),
+            F.expr(f"max({position('k')} - {low('k')})").alias("__t"),
+        )
+        .withColumn("__edge", F.expr("if(__t >= 0.5D, __b - (__b - __a) * (1D - __t), __a + (__b - __a) * __t)"))
         .groupBy("feature")
         .agg(F.sort_array(F.collect_list(F.struct("k", "__edge"))).getField("__edge").alias("__edges"))
     )
@@ -99,12 +98,10 @@ def _psi(counts: DataFrame, edges: DataFrame, sizes: DataFrame, bins: int) -> Da
 
     A bin empty on both sides adds nothing, so only occupied bins need a row.
     """
-    edge = [F.get("__edges", F.lit(i)) for i in range(bins + 1)]
-    v = F.col("value")
-    passed = reduce(add, [(v >= e).cast("int") for e in edge])
-    index = F.when(v == edge[bins], bins - 1).otherwise(passed - 1)
+    passed = " + ".join(f"cast(value >= __edges[{i}] as int)" for i in range(bins + 1))
+    index = F.expr(f"if(value = __edges[{bins}], {bins - 1}, {passed} - 1)")
     occupied = (
-        counts.join(edges, "feature").where((v >= edge[0]) & (v <= edge[bins]))
+        counts.join(edges, "feature").where(f"value between __edges[0] and __edges[{bins}]")
         .groupBy("feature", index.alias("__bin")).agg(F.sum("nb").alias("__e"), F.sum("nc").alias("__a"))
     )
 
@@ -318,7 +315,7 @@ def model_drift(
     recall = F.col("recall_degradation")
     return losses.withColumns(
         {
-            "model_drift_detected": reduce(lambda a, b: a | b, [F.col(f"{m}_degradation") > threshold for m in metrics]),
+            "model_drift_detected": reduce(or_, [F.col(f"{m}_degradation") > threshold for m in metrics]),
             "drift_severity": F.when(recall > 0.1, "CRITICAL").when(recall > 0.05, "WARNING").otherwise("OK"),
             "check_timestamp": now(as_of),
         }

@@ -9,10 +9,24 @@ SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
+    # Wide projections compile to methods beyond 8000 bytes, which the JVM never JIT-compiles.
+    # Above this limit Spark splits them into small ones instead.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
     "spark.ui.enabled": "false",
 }
 
 
+_DEFAULT_METHOD_LIMIT = "65535"
+
+
+def tune(spark: SparkSession) -> SparkSession:
+    """Applies the method limit to a session somebody else built, unless it was set there."""
+    limit = "spark.sql.codegen.hugeMethodLimit"
+    if spark.conf.get(limit) == _DEFAULT_METHOD_LIMIT:
+        spark.conf.set(limit, SETTINGS[limit])
+    return spark
+
+
 def local_session(cores: str | int = "*", shuffle_partitions: int = 8, memory: str = "8g", name: str = "fleetlens") -> SparkSession:
     """A session on this machine. On a cluster the session comes with the job."""
     builder = SparkSession.builder.master(f"local[{cores}]").appName(name)
