@@ -35,8 +35,9 @@ def failure_episodes(
     failing = F.col("__on") == 1
     runs = (
         running(edges, plan, {"episode": ("sum", "__starts")})
-        .groupBy(keys.entity, keys.site, "episode")
+        .groupBy(keys.entity, "episode")
         .agg(
+            F.min_by(keys.site, F.when(failing, F.col(keys.time))).alias(keys.site),
             F.min(F.when(failing, F.col(keys.time))).alias("failure_timestamp"),
             F.max(F.when(failing, F.col(keys.time))).alias("last_failing_timestamp"),
             F.min(F.when(~failing, F.col(keys.time))).alias("resumed_timestamp"),
@@ -76,7 +77,7 @@ def label_intervals(
     out: str = "in_maintenance",
     splits: Splits | None = None,
 ) -> DataFrame:
-    """1 for readings inside any closed interval of their machine.
+    """1 for readings inside any closed interval of their machine; an interval without end stays open.
 
     A sweep over time: starts count +1, ends -1 after their instant, and a reading is inside
     while the running count is positive. Cost is linear in readings plus intervals, whatever
