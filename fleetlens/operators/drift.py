@@ -47,13 +47,37 @@ def value_counts(samples: DataFrame) -> DataFrame:
     )
 
 
-def moments(samples: DataFrame) -> DataFrame:
-    """Size, mean and sample deviation of both sides per feature."""
-    base, cur = F.when(~F.col("__cur"), F.col("value")), F.when(F.col("__cur"), F.col("value"))
-    return samples.groupBy("feature").agg(
-        F.count(base).alias("n_base"), F.count(cur).alias("n_cur"),
-        F.avg(base).alias("mean_base"), F.avg(cur).alias("mean_cur"),
-        F.stddev(base).alias("std_base"), F.stddev(cur).alias("std_cur"),
+def moments(counts: DataFrame) -> DataFrame:
+    """Size, mean and sample deviation of both sides per feature, from the value counts.
+
+    Deviations are taken from the mean found first, so nothing cancels out. Features that are
+    empty on a side are dropped.
+    """
+    totals = (
+        counts.groupBy("feature")
+        .agg(
+            F.sum("nb").alias("n_base"), F.sum("nc").alias("n_cur"),
+            F.sum(F.col("value") * F.col("nb")).alias("__sb"), F.sum(F.col("value") * F.col("nc")).alias("__sc"),
+        )
+        .where((F.col("n_base") > 0) & (F.col("n_cur") > 0))
+        .select(
+            "feature", "n_base", "n_cur",
+            (F.col("__sb") / F.col("n_base")).alias("mean_base"), (F.col("__sc") / F.col("n_cur")).alias("mean_cur"),
+        )
+    )
+
+    def spread(n: str, mean: str) -> Column:
+        distance = F.col("value") - F.col(mean)
+        return F.sum(F.col(n) * distance * distance)
+
+    def deviation(squares: str, n: str) -> Column:
+        return F.when(F.col(n) > 1, F.sqrt(F.col(squares) / (F.col(n) - 1)))
+
+    squares = counts.join(totals, "feature").groupBy("feature").agg(
+        spread("nb", "mean_base").alias("__qb"), spread("nc", "mean_cur").alias("__qc")
+    )
+    return totals.join(squares, "feature").select(
+        *totals.columns, deviation("__qb", "n_base").alias("std_base"), deviation("__qc", "n_cur").alias("std_cur")
     )
 
 
@@ -120,8 +144,8 @@ def compare_samples(samples: DataFrame, bins: int = BINS, max_rows: int = MAX_RO
     PSI compares the shares in the baseline's percentile bins; an empty share becomes 1e-4.
     """
     counts = value_counts(samples)
-    sizes = moments(samples).where((F.col("n_base") > 0) & (F.col("n_cur") > 0))
-    plan = find_splits(counts, ["feature"], "value", max_rows=max_rows)
+    sizes = moments(counts)
+    plan = find_splits(samples, ["feature"], "value", max_rows=max_rows)
     ordered = running(counts, plan, {"cb": ("sum", "nb"), "cc": ("sum", "nc")}).join(
         sizes.select("feature", "n_base", "n_cur"), "feature"
     )
@@ -145,8 +169,8 @@ def ks_two_sample(baseline: DataFrame, current: DataFrame, columns: Sequence[str
     """Two-sample KS distance per feature, with the asymptotic p-value."""
     samples = two_samples(baseline, current, columns)
     counts = value_counts(samples)
-    sizes = samples.groupBy("feature").agg(F.count_if(~F.col("__cur")).alias("n_base"), F.count_if("__cur").alias("n_cur"))
-    plan = find_splits(counts, ["feature"], "value", max_rows=max_rows)
+    sizes = counts.groupBy("feature").agg(F.sum("nb").alias("n_base"), F.sum("nc").alias("n_cur"))
+    plan = find_splits(samples, ["feature"], "value", max_rows=max_rows)
     gap = F.abs(F.col("cb") / F.col("n_base") - F.col("cc") / F.col("n_cur"))
     return (
         running(counts, plan, {"cb": ("sum", "nb"), "cc": ("sum", "nc")})

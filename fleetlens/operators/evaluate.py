@@ -143,11 +143,11 @@ def ranking_metrics(df: DataFrame, label: str, score: str, by: Sequence[str] = (
     Rows collapse to counts per distinct score, then prefix sums in score order do the rest.
     Average precision is the step-wise sum, not the trapezoid under the PR curve.
     """
-    counts = (
-        df.where(F.col(score).isNotNull() & F.col(label).isNotNull()).groupBy(*by, score)
-        .agg(F.count_if(F.col(label) == 1).alias("__t"), F.count_if(F.col(label) != 1).alias("__f"))
+    complete = df.select(*by, score, label).where(F.col(score).isNotNull() & F.col(label).isNotNull())
+    counts = complete.groupBy(*by, score).agg(
+        F.count_if(F.col(label) == 1).alias("__t"), F.count_if(F.col(label) != 1).alias("__f")
     )
-    plan = find_splits(counts, by, score, max_rows=max_rows)
+    plan = find_splits(complete, by, score, max_rows=max_rows)
     upto = running(counts, plan, {"__ct": ("sum", "__t"), "__cf": ("sum", "__f")})
     # what lies strictly below each score, so that one pass serves both metrics
     t, f = F.col("__t"), F.col("__f")

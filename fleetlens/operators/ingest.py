@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from fleetlens.operators.dedup import dedup_latest
 from fleetlens.operators.ordering import literal
-from fleetlens.sources.tables import append_history, read_table
+from fleetlens.sources.tables import append_history, read_table, table_exists
 
 
 def new_rows(target: DataFrame, batch: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -42,18 +42,19 @@ def merge_new_only(target: DataFrame, batch: DataFrame, keys: Sequence[str]) ->
 def upsert_new_only(
     name: str, batch: DataFrame, keys: Sequence[str], time: str | None = None, partition_by: Sequence[str] = ("ingestion_date",)
 ) -> None:
-    """Appends the new rows of `batch`, de-duplicated, to the stored table `name`.
+    """Appends the new rows of `batch`, de-duplicated, to the stored table `name`, or creates it.
 
     Running the same batch again adds nothing. Each append commits as a whole; two writers that
     run at the same time could both see a key as absent, so one writer per table is assumed.
     """
     spark = batch.sparkSession
-    # only a table's current files are compared with, so the plan must list them afresh
+    candidates = dedup_latest(batch, keys)
+    if not table_exists(spark, name):
+        append_history(candidates, name, partition_by)
+        return
+    # the comparison is with the table's current files, so they must be listed afresh
     if "/" not in name:
         spark.catalog.refreshTable(name)
-    target = read_table(spark, name)
-    if time is not None:
-        target = within_batch_times(target, batch, time)
-    fresh = new_rows(target, dedup_latest(batch, keys), keys)
-    columns = read_table(spark, name).columns
-    append_history(fresh.select(*columns), name, partition_by)
+    stored = read_table(spark, name)
+    target = stored if time is None else within_batch_times(stored, batch, time)
+    append_history(new_rows(target, candidates, keys).select(*stored.columns), name, partition_by)

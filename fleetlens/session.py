@@ -27,10 +27,12 @@ def tune(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def local_session(cores: str | int = "*", shuffle_partitions: int = 8, memory: str = "8g", name: str = "fleetlens") -> SparkSession:
-    """A session on this machine. On a cluster the session comes with the job."""
+def local_session(
+    cores: str | int = "*", shuffle_partitions: int = 8, memory: str = "8g", name: str = "fleetlens", **settings: str
+) -> SparkSession:
+    """A session on this machine, `settings` being further options with `__` for dots."""
     builder = SparkSession.builder.master(f"local[{cores}]").appName(name)
-    for key, value in SETTINGS.items():
+    for key, value in (SETTINGS | {k.replace("__", "."): v for k, v in settings.items()}).items():
         builder = builder.config(key, value)
     return (
         builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))

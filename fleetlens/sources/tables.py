@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -15,7 +16,16 @@ def read_table(spark: SparkSession, name: str) -> DataFrame:
 
 
 def table_exists(spark: SparkSession, name: str) -> bool:
-    return spark.catalog.tableExists(name)
+    """Whether there is anything to read under `name`; an empty folder is nothing."""
+    if "/" not in name:
+        return spark.catalog.tableExists(name)
+    try:
+        spark.read.parquet(name)
+    except AnalysisException as error:
+        if error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            return False
+        raise
+    return True
 
 
 def ensure_schema(spark: SparkSession, name: str) -> None:
