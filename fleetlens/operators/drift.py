@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from fleetlens.functions.tests_of_fit import chi2_pvalue, ks_pvalue
 from fleetlens.operators.evaluate import binary_metrics, now
 from fleetlens.operators.ordering import MAX_ROWS, find_splits, running
+from fleetlens.session import cut_lineage
 
 BINS = 10
 EMPTY_SHARE = 0.0001
@@ -143,9 +144,9 @@ def compare_samples(samples: DataFrame, bins: int = BINS, max_rows: int = MAX_RO
 
     PSI compares the shares in the baseline's percentile bins; an empty share becomes 1e-4.
     """
-    counts = value_counts(samples)
+    counts = cut_lineage(value_counts(samples))  # five readers below
     sizes = moments(counts)
-    plan = find_splits(samples, ["feature"], "value", max_rows=max_rows)
+    plan = find_splits(counts, ["feature"], "value", max_rows=max_rows)
     ordered = running(counts, plan, {"cb": ("sum", "nb"), "cc": ("sum", "nc")}).join(
         sizes.select("feature", "n_base", "n_cur"), "feature"
     )

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+import tempfile
+
+from pyspark.sql import DataFrame, SparkSession
 
 SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
@@ -27,6 +29,23 @@ def tune(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def cut_lineage(df: DataFrame) -> DataFrame:
+    """Stores an intermediate result that several branches of a plan read, in reliable storage.
+
+    The folder is the session's `spark.checkpoint.dir`. Where none is set, a session on one
+    machine gets a temporary one, and a cluster session keeps the plan as it is.
+    """
+    context = df.sparkSession.sparkContext
+    if context.getCheckpointDir() is None:
+        folder = context.getConf().get("spark.checkpoint.dir", None)
+        if folder is None and context.master.startswith("local"):
+            folder = tempfile.mkdtemp(prefix="checkpoint-")
+        if folder is None:
+            return df
+        context.setCheckpointDir(folder)
+    return df.checkpoint()
+
+
 def local_session(
     cores: str | int = "*", shuffle_partitions: int = 8, memory: str = "8g", name: str = "fleetlens", **settings: str
 ) -> SparkSession:
