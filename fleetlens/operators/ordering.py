@@ -109,7 +109,9 @@ def find_splits(
 
     Job 1 counts the groups (partial aggregation; only `by` is read). Job 2 runs when a group
     is oversized: it takes distinct keys of those groups by hash, about `samples_per_chunk`
-    per chunk to be made. Both bring a bounded number of rows to the driver.
+    per chunk to be made. Both bring a bounded number of rows to the driver. Only the
+    `max_chunks` largest groups are considered: any other holds less than one `max_chunks`-th
+    of the table, which is an ordinary task, so it stays whole.
     """
     by = tuple(by)
     empty = Splits(by, order, schema=df.select(*by, order).schema)
