@@ -14,7 +14,7 @@ packs alike. A null or empty text is the end token alone.
 
 from __future__ import annotations
 
-import unicodedata
+from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -57,59 +57,58 @@ def _byte_names() -> list[str]:
     return names
 
 
+#: Words that the short way may take: printable ASCII and precomposed Latin letters with a plain lower case.
+_PLAIN = regex.compile("[!-~\u00c0-\u012f\u0131-\u0148\u014a-\u017f]+")
+
+
 class Tokens:
     """Token ids of whole texts. White space separates tokens, so words are tokenized once each.
 
-    Plain words go straight to the tokenizer's merge model; anything unusual goes through the
-    whole tokenizer. Two generations of at most `most` words are remembered.
+    Plain words are divided as the tokenizer's pre-tokenizer does and go straight to its merge
+    model; anything unusual goes through the whole tokenizer. Two generations of at most `most`
+    words, and as many pieces of words, are remembered.
     """
 
-    def __init__(self, path: str, most: int = 150_000):
+    def __init__(self, path: str, most: int = 250_000):
         from tokenizers import Tokenizer
 
         self.whole = Tokenizer.from_file(path)
         self.model = self.whole.model
         self.names = _byte_names()
-        self.most, self.young, self.old = most, {}, {}
-
-    def _plain(self, word: bytes) -> bool:
-        if word.isascii():
-            return min(word) > 32 and 127 not in word and b"<|" not in word
-        try:
-            text = word.decode()
-        except UnicodeDecodeError:
-            return False
-        return all(32 < ord(c) < 127 or 0xC0 <= ord(c) <= 0x17F and ord(c) not in (0x130, 0x149) for c in text) and b"<|" not in word
+        self.most, self.young, self.old, self.pieces = most, {}, {}, {}
+
+    def _piece(self, piece: str) -> bytes:
+        name = piece if piece.isascii() else "".join([self.names[b] for b in piece.encode()])
+        found = array("H", [t.id for t in self.model.tokenize(name)]).tobytes()
+        if len(self.pieces) >= self.most:
+            self.pieces.clear()
+        self.pieces[piece] = found
+        return found
 
     def _fresh(self, word: bytes) -> bytes:
-        if not self._plain(word):
-            ids = self.whole.encode(word.decode("utf-8", "replace"), add_special_tokens=False).ids
-        else:
-            ids = []
-            for piece in _PIECES.findall(unicodedata.normalize("NFC", word.decode()).lower()):
-                name = piece if piece.isascii() else "".join(self.names[b] for b in piece.encode())
-                ids += [t.id for t in self.model.tokenize(name)]
-        return np.array(ids, dtype=np.uint16).tobytes()
-
-    def of(self, word: bytes) -> bytes:
-        found = self.young.get(word)
+        found = self.old.get(word)
         if found is None:
-            found = self.old.get(word)
-            if found is None:
-                found = self._fresh(word)
-            if len(self.young) >= self.most:
-                self.young, self.old = {}, self.young
-            self.young[word] = found
+            text = word.decode("utf-8", "replace")
+            if "<|" in text or not _PLAIN.fullmatch(text):
+                return array("H", self.whole.encode(text, add_special_tokens=False).ids).tobytes()
+            known = self.pieces.get
+            found = b"".join([known(p) or self._piece(p) for p in _PIECES.findall(text.lower())])
         return found
 
     def encode(self, texts: pa.Array) -> list[np.ndarray]:
         """Ids of each text, without an end token."""
         words = Words(texts, ASCII_SPACE, lower=False)
         _, first, which = np.unique(words.hashes, return_index=True, return_inverse=True)
-        data = words.data
-        coded = [self.of(data[s:e].tobytes()) for s, e in zip(words.starts[first].tolist(), words.ends[first].tolist())]
+        data = words.data.tobytes()
+        kinds = [data[s:e] for s, e in zip(words.starts[first].tolist(), words.ends[first].tolist())]
+        if len(self.young) >= self.most:
+            self.young, self.old = {}, self.young
+        coded = list(map(self.young.get, kinds))
+        for i, found in enumerate(coded):
+            if found is None:
+                coded[i] = self.young[kinds[i]] = self._fresh(kinds[i])
         flat = np.frombuffer(b"".join(coded), dtype=np.uint16)
-        sizes = np.array([len(c) // 2 for c in coded], dtype=np.int64)
+        sizes = np.fromiter(map(len, coded), dtype=np.int64, count=len(coded)) // 2
         begin = np.cumsum(sizes) - sizes
         lengths = sizes[which]
         until = np.concatenate([[0], np.cumsum(lengths)])
@@ -259,7 +258,7 @@ def pack(
                 yield _rows(done[at : at + 2000])
 
         for batch in batches:
-            for part, texts in slices(batch, batch.column("text")):
+            for part, texts in slices(batch, batch.column("text"), 4_000_000):
                 names += part.column("id").to_pylist()
                 new = [np.concatenate([ids, end]) for ids in tokens.encode(texts)]
                 documents += new
