@@ -4,9 +4,12 @@
    signature of one byte per hash function. Documents with the same set form a class; from here
    on only classes are compared, so copies cost nothing more.
 2. Classes that agree in a band share a bucket. First each member is compared with the bucket's
-   smallest member (as many pairs as members). Links join classes to components.
-3. In buckets that still hold several components, members outside the most frequent one are
-   compared with those of other components. Pairs inside a component are never made.
+   most central member, the one with the fullest buckets (as many pairs as members): in a family
+   of copies this is the text they come from. Links join classes to components.
+3. Buckets of three or more members that still hold several components are put together by their
+   most frequent component: a family. Its members outside that component are compared with all
+   its members of other components, cell by cell of a bounded size, and each cell reports one
+   link to a component. Neither pairs inside a component nor candidate pairs leave a cell.
 4. A pair is compared batch by batch of its signatures. After each batch the posterior
    probability (uniform prior) of a similarity of `threshold` or more decides: below `miss` the
    pair is dropped. Survivors are confirmed on the full shingle sets of their texts.
@@ -203,6 +206,105 @@ def _links(pairs: DataFrame, signatures: DataFrame, texts: DataFrame, settings:
     )
 
 
+#: Shingles of the members that meet in one cell, and askers in one cell, about.
+CELL_SHINGLES, CELL_ASKERS, GROUP_SHINGLES = 300_000, 500, 1_000_000
+
+
+def _first_links(settings: Settings):
+    """For each asker of a cell and each other component, one member that it is linked with, if any."""
+    fewest = least_matches(settings)
+
+    def sets_of(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+        words = Words(table.column("text").combine_chunks())
+        own = [shingle_hashes(words.hashes[a:b], settings.words) for a, b in zip(words.first[:-1], words.first[1:])]
+        return np.concatenate(own), np.concatenate([[0], np.cumsum([len(o) for o in own])])
+
+    def signatures(table: pa.Table) -> np.ndarray:
+        return np.frombuffer(b"".join(table.column("signature").to_pylist()), dtype=np.uint8).reshape(-1, settings.hashes)
+
+    def cell(askers: pa.Table, members: pa.Table) -> Iterator[tuple[int, int]]:
+        x_sign, y_sign = signatures(askers), signatures(members)
+        x_sets, x_first = sets_of(askers)
+        y_sets, y_first = sets_of(members)
+        sizes = np.diff(y_first)
+        x_ids, y_ids, x_roots, y_roots = (t.column(c).to_numpy() for c in ("id", "root") for t in (askers, members))
+        # two members outside the main component are compared once
+        asks_too = y_roots != members.column("family")[0].as_py()
+        for i in range(askers.num_rows):
+            own = x_sets[x_first[i] : x_first[i + 1]]
+            close = np.minimum(sizes, len(own)) * 100 >= settings.threshold * np.maximum(sizes, len(own))
+            alive = np.flatnonzero(close & (y_roots != x_roots[i]) & ~(asks_too & (y_ids > x_ids[i])))
+            matches = np.zeros(len(alive), dtype=np.int64)
+            for step, least in enumerate(fewest):
+                part = slice(step * settings.batch, (step + 1) * settings.batch)
+                matches = matches + (y_sign[alive, part] == x_sign[i, part]).sum(axis=1)
+                alive, matches = alive[matches >= least], matches[matches >= least]
+            linked = set()
+            for y in alive[np.argsort(-matches, kind="stable")]:
+                if y_roots[y] in linked:
+                    continue
+                common = len(np.intersect1d(own, y_sets[y_first[y] : y_first[y + 1]], assume_unique=True))
+                if 100 * common >= settings.threshold * (len(own) + int(sizes[y]) - common):
+                    left, right = (shingle_set(t.column("text")[int(k)].as_py(), settings.words) for t, k in ((askers, i), (members, y)))
+                    if 100 * len(left & right) >= settings.threshold * len(left | right):
+                        linked.add(y_roots[y])
+                        yield int(x_ids[i]), int(y_ids[y])
+
+    def run(_key: tuple, askers: pa.Table, members: pa.Table) -> pa.Table:
+        found = []
+        if askers.num_rows and members.num_rows:
+            names = [askers.column("cell").to_numpy(), members.column("cell").to_numpy()]
+            order = [np.argsort(n, kind="stable") for n in names]
+            cells = [n[o] for n, o in zip(names, order)]
+            for name in np.intersect1d(*cells):
+                sides = [np.searchsorted(c, [name, name + 1]) for c in cells]
+                found += cell(*[t.take(o[lo:hi]) for t, o, (lo, hi) in zip((askers, members), order, sides)])
+        return pa.table({"a": pa.array([f[0] for f in found], pa.int64()), "b": pa.array([f[1] for f in found], pa.int64())})
+
+    return run
+
+
+def _family_links(families: DataFrame, signatures: DataFrame, texts: DataFrame, settings: Settings) -> DataFrame:
+    """Links (a, b) between members of a family outside its main component and its other members.
+
+    `families` has family (its main component), class, n, root. Members are dealt out over cells
+    by the id, so a family of any size is searched by as many tasks as it needs.
+    """
+    asks = F.col("root") != F.col("family")
+    plan = stored(
+        families.groupBy("family").agg(
+            F.ceil(F.sum("n") / CELL_SHINGLES).cast("int").alias("blocks"),
+            F.ceil(F.count_if(asks) / CELL_ASKERS).cast("int").alias("asker_blocks"), F.sum("n").alias("shingles"),
+        ), "minhash-cells",
+    )
+    total = plan.agg(F.sum(F.col("shingles") * F.col("asker_blocks"))).first()[0] or 0
+    groups = max(int(families.sparkSession.conf.get("spark.sql.shuffle.partitions")), math.ceil(total / GROUP_SHINGLES))
+
+    def all_of(n: str):
+        return F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+
+    def part_of(n: str):
+        return F.pmod(F.xxhash64("class"), F.col(n)).cast("int")
+
+    def celled(frame: DataFrame) -> DataFrame:
+        named = F.xxhash64("family", "block", "asker_block")
+        return (
+            frame.select(F.col("family").alias("family"), F.col("root").alias("root"), F.col("class").alias("id"), named.alias("cell"))
+            .withColumn("group", F.pmod("cell", F.lit(groups)).cast("int"))
+        )
+
+    planned = families.join(plan.select("family", "blocks", "asker_blocks"), "family")
+    askers = celled(planned.where(asks).withColumn("asker_block", part_of("asker_blocks")).withColumn("block", all_of("blocks")))
+    members = celled(planned.withColumn("block", part_of("blocks")).withColumn("asker_block", all_of("asker_blocks")))
+    ids = families.select(F.col("class").alias("id")).distinct()
+    known = stored(texts.join(ids, "id", "left_semi").join(signatures, "id"), "minhash-family-texts")
+    return stored(
+        askers.join(known, "id").groupBy("group")
+        .cogroup(members.join(known.select(*[F.col(c).alias(c) for c in known.columns]), "id").groupBy("group"))
+        .applyInArrow(_first_links(settings), "a long, b long"), "minhash-family-links",
+    )
+
+
 def near_duplicates(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", settings: Settings = Settings()
 ) -> DataFrame:
@@ -219,40 +321,36 @@ def near_duplicates(
         "minhash-classes",
     )
     members = classes.select(F.explode("bands").alias("bucket"), "class", "n")
-    leaders = members.groupBy("bucket").agg(F.min(F.col("class")).alias("leader"), F.count(F.lit(1)).alias("size"))
-    shared = stored(
-        members.join(leaders.where("size > 1"), "bucket").select("bucket", "class", "n", "leader"), "minhash-buckets"
-    )
+    full = members.groupBy("bucket").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
+    shared = stored(members.join(full, "bucket").select("bucket", "class", "n", "size"), "minhash-buckets")
+    central = shared.groupBy("class").agg(F.sum("size").alias("weight"))
+    # the fullest buckets first, then the smaller id
+    ranked = shared.join(central, "class").groupBy("bucket").agg(F.max(F.struct("weight", (-F.col("class")).alias("minus"))).alias("top"))
+    leaders = ranked.select("bucket", (-F.col("top.minus")).alias("leader"))
+    led = shared.join(leaders, "bucket")
     close = f"least(n, m) * 100 >= {settings.threshold} * greatest(n, m)"
     size_of = classes.select(F.col("class").alias("leader"), F.col("n").alias("m"))
     stars = stored(
-        shared.where("class != leader").select(F.col("leader").alias("leader"), "class", "n").distinct()
-        .join(size_of, "leader").where(close)
-        .select(F.col("leader").alias("a"), F.col("class").alias("b")).distinct(), "minhash-stars",
+        led.where("class != leader").select("leader", "class", "n").distinct().join(size_of, "leader").where(close)
+        .select(F.least("leader", "class").alias("a"), F.greatest("leader", "class").alias("b")).distinct(), "minhash-stars",
     )
     signatures = whole.join(classes.select(F.col("class").alias("id"), "set_key"), ["id", "set_key"], "left_semi").select("id", "signature")
     texts = base.where("id is not null and text is not null")
     first = _links(stars, signatures, texts, settings, "minhash-first")
     roots = components(first, "minhash-first")
-    placed = (
-        shared.join(roots.withColumnRenamed("node", "class"), "class", "left")
-        .select("bucket", "class", "n", F.coalesce("root", "class").alias("root"))
+    placed = stored(
+        classes.select("class", "n").join(roots.withColumnRenamed("node", "class"), "class", "left")
+        .select("class", "n", F.coalesce("root", "class").alias("root")), "minhash-placed",
     )
-    # buckets with several components, and the component most of their members belong to
-    counts = placed.groupBy("bucket", "root").agg(F.count(F.lit(1)).alias("times"))
+    # two members of a bucket have met already
+    inside = shared.where("size > 2").select("bucket", "class").join(placed, "class")
+    counts = inside.groupBy("bucket", "root").agg(F.count(F.lit(1)).alias("times"))
     mixed = (
         counts.groupBy("bucket").agg(F.max(F.struct("times", "root")).alias("most"), F.count(F.lit(1)).alias("roots"))
-        .where("roots > 1").select("bucket", F.col("most.root").alias("major"))
-    )
-    open_ = stored(placed.join(mixed, "bucket"), "minhash-open")
-    minor = open_.where("root != major").select("bucket", F.col("class").alias("x"), F.col("n").alias("m"), F.col("root").alias("own"))
-    across = (
-        minor.join(open_, "bucket").where("root != own").where(close)
-        .where("root = major or class < x")
-        .select(F.least("class", "x").alias("a"), F.greatest("class", "x").alias("b")).distinct()
-        .join(stars, ["a", "b"], "left_anti")
+        .where("roots > 1").select("bucket", F.col("most.root").alias("family"))
     )
-    second = _links(stored(across, "minhash-across"), signatures, texts, settings, "minhash-second")
+    families = stored(inside.join(mixed, "bucket").select("family", "class", "n", "root").distinct(), "minhash-families")
+    second = _family_links(families, signatures, texts, settings)
     final = components(
         roots.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(second), "minhash-final"
     )
