@@ -97,7 +97,7 @@ def test_decontamination(spark, docs, none):
     for table in (docs, planted):
         for block in (4_000_000, 40):
             found = decontamination.decontaminate(table, bench, block_bytes=block).collect()
-            assert len(found) == (table.count() if block > 100 else table.distinct().count())
+            assert len(found) == table.count()
             for r in found:
                 hit, which = brute.hits(r.source["text"], own)
                 assert {w for s in r.spans for w in range(s.begin, s.end)} == hit and set(r.items) == which
