@@ -20,9 +20,9 @@ _ID = "event_id, turbine_id, reading_ts"
 _CUT_1, _CUT_2 = "2024-01-20", "2024-01-10"
 
 
-@query("scan_readings", "select event_id, ts, user_id, event_type, value from events")
+@query("scan_readings", "select * from events")
 def scan_readings(spark: SparkSession, folder: str) -> DataFrame:
-    return read_table(spark, f"{folder}/events.parquet").select("event_id", "ts", "user_id", "event_type", "value")
+    return read_table(spark, f"{folder}/events.parquet")
 
 
 @query("conform_schema", over("readings", "select * from readings"))

@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 from fleetlens.catalog import query
 from fleetlens.catalog.data import silver
 from fleetlens.catalog.sql import over, rounded, rounded_sql
-from fleetlens.config import SILVER_DEFAULTS
+from fleetlens.config import SILVER_DEFAULTS, raw_schema
 from fleetlens.functions.quality import add_quality
 from fleetlens.functions.shaping import add_aliases, nan_to_null
 from fleetlens.operators import kpi
@@ -86,10 +87,7 @@ def quality_profile(spark: SparkSession, folder: str) -> DataFrame:
     return rounded(kpi.quality_profile(checked, KEYS), ["rate"])
 
 
-_PROFILED = (
-    "event_id", "turbine_id", "reading_ts", "wind_speed", "gearbox_temperature", "vibration_x", "active_power_kw",
-    "alarm_code", "failure_type", "voltage_v",
-)
+_PROFILED = tuple(raw_schema(KEYS, T.TimestampNTZType()).names)
 
 
 @query(

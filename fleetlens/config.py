@@ -111,6 +111,54 @@ class QualityRules:
     pass_mark: int = 60
 
 
+# Daily figures, as (name, aggregate, expression over a valid reading).
+DAILY_MEASURES: tuple[tuple[str, str, str], ...] = (
+    ("average_wind_speed", "avg", "wind_speed"),
+    ("max_wind_speed", "max", "wind_speed"),
+    ("average_power", "avg", "power_output"),
+    ("total_energy", "sum", "power_output"),
+    ("average_temperature", "avg", "gearbox_temperature"),
+    ("max_gearbox_temperature", "max", "gearbox_temperature"),
+    ("average_vibration", "avg", "sqrt(vibration_x * vibration_x + vibration_y * vibration_y + vibration_z * vibration_z)"),
+    ("failure_count", "sum", "failure_flag"),
+    ("maintenance_count", "sum", "maintenance_flag"),
+    ("record_count", "count", "1"),
+)
+
+# Points that a machine loses for each symptom that shows.
+HEALTH_PENALTIES: tuple[tuple[str, float], ...] = (
+    ("gearbox_temperature > 100", 15.0),
+    ("generator_temperature > 90", 10.0),
+    ("bearing_temperature > 80", 10.0),
+    ("wind_speed > 10 and power_output < 1.0", 10.0),
+)
+# Points lost per unit of vibration.
+HEALTH_WEIGHTS: dict[str, float] = {"vibration_x": 20.0, "vibration_y": 20.0, "vibration_z": 15.0}
+
+# Alarms by falling priority; {rms} stands for the vibration magnitude.
+ALARMS: tuple[tuple[str, str], ...] = (
+    ("gearbox_temperature > 100", "ALM-GEARBOX-TEMP"),
+    ("generator_temperature > 95", "ALM-GENERATOR-TEMP"),
+    ("{rms} > 1.0", "ALM-HIGH-VIBRATION"),
+    ("hydraulic_pressure < 120", "ALM-HYDRAULIC-PRESSURE"),
+)
+# Severity by the first bound that the health is under.
+SEVERITIES: tuple[tuple[float, str], ...] = ((0.3, "CRITICAL"), (0.5, "WARNING"), (0.7, "INFO"))
+
+# Working names of raw columns, as SQL.
+ALIASES: dict[str, str] = {
+    "rotor_speed": "rotor_speed_rpm",
+    "generator_speed": "generator_speed_rpm",
+    "active_power": "active_power_kw",
+    "reactive_power": "reactive_power_kvar",
+    "voltage": "voltage_v",
+    "current": "current_a",
+    "pressure": "atmospheric_pressure",
+    "power_output": "active_power_kw / 1000.0D",
+    "oil_temperature": "(hydraulic_oil_temperature + gearbox_oil_temperature) / 2.0D",
+    "maintenance_flag": "cast(coalesce(operating_state, '') = 'MAINTENANCE' as int)",
+}
+
 # What a missing sensor value becomes once the quality flags are set.
 SILVER_DEFAULTS: dict[str, float] = {
     "wind_speed": 0.0,

@@ -3,12 +3,15 @@
 from __future__ import annotations
 
 import math
+from collections.abc import Iterable, Mapping, Sequence
 from functools import reduce
 from operator import add
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from fleetlens.config import ALARMS, HEALTH_PENALTIES, HEALTH_WEIGHTS, SEVERITIES
+
 
 def magnitude(*columns: str) -> Column:
     """Euclidean length; also the vibration RMS."""
@@ -41,23 +44,16 @@ def aero_efficiency(power: str = "power_output", wind: str = "wind_speed", cut_i
     return F.when(w > cut_in, F.col(power) / (w * w * w + 0.1)).otherwise(0.0)
 
 
-def health_score() -> Column:
-    """100 minus weighted symptoms, floored at 0. A null input floors to 0 as well."""
-
-    def points(condition: Column, n: int) -> Column:
-        return F.when(condition, float(n)).otherwise(0.0)
+def health_score(
+    penalties: Sequence[tuple[str, float]] = HEALTH_PENALTIES, weights: Mapping[str, float] = HEALTH_WEIGHTS
+) -> Column:
+    """100 minus the points of the symptoms that show and of weighted measurements, floored at 0.
 
-    raw = (
-        F.lit(100.0)
-        - points(F.col("gearbox_temperature") > 100, 15)
-        - points(F.col("generator_temperature") > 90, 10)
-        - points(F.col("bearing_temperature") > 80, 10)
-        - F.col("vibration_x") * 20
-        - F.col("vibration_y") * 20
-        - F.col("vibration_z") * 15
-        - points((F.col("wind_speed") > 10) & (F.col("power_output") < 1.0), 10)
-    )
-    return F.greatest(raw, F.lit(0.0))
+    A null measurement floors to 0 as well; a symptom that cannot be judged costs nothing.
+    """
+    lost = [F.when(F.expr(symptom), points).otherwise(0.0) for symptom, points in penalties]
+    lost += [F.col(name) * weight for name, weight in weights.items()]
+    return F.greatest(F.lit(100.0) - reduce(add, lost), F.lit(0.0))
 
 
 def health_status(score: str = "health_score", healthy: float = 80, warning: float = 60) -> Column:
@@ -127,20 +123,25 @@ def status_flags(health: str = "health_status", state: str = "operating_state")
     }
 
 
-def alarm_code(rms: Column | None = None) -> Column:
-    """Highest-priority alarm, or null. The codes are fixed values."""
+def _first_match(rules: Iterable[tuple[Column, str]]) -> Column:
+    """The value of the first rule that holds, or null."""
+    return F.coalesce(*[F.when(condition, value) for condition, value in rules])
+
+
+def alarm_code(rms: Column | None = None, rules: Sequence[tuple[str, str]] = ALARMS) -> Column:
+    """Highest-priority alarm, or null. `{rms} > x` compares the vibration magnitude."""
     vibration = vibration_magnitude() if rms is None else rms
-    return (
-        F.when(F.col("gearbox_temperature") > 100, "ALM-GEARBOX-TEMP")
-        .when(F.col("generator_temperature") > 95, "ALM-GENERATOR-TEMP")
-        .when(vibration > 1.0, "ALM-HIGH-VIBRATION")
-        .when(F.col("hydraulic_pressure") < 120, "ALM-HYDRAULIC-PRESSURE")
-    )
 
+    def condition(rule: str) -> Column:
+        if rule.startswith("{rms} > "):
+            return vibration > float(rule.removeprefix("{rms} > "))
+        return F.expr(rule)
 
-def alarm_severity(health: str = "health_status") -> Column:
-    h = F.col(health)
-    return F.when(h < 0.3, "CRITICAL").when(h < 0.5, "WARNING").when(h < 0.7, "INFO")
+    return _first_match((condition(rule), code) for rule, code in rules)
+
+
+def alarm_severity(health: str = "health_status", bounds: Sequence[tuple[float, str]] = SEVERITIES) -> Column:
+    return _first_match((F.col(health) < bound, name) for bound, name in bounds)
 
 
 def risk_level(probability: str, medium: float = 0.3, high: float = 0.7, include_lowest: bool = False) -> Column:

@@ -10,7 +10,8 @@ from pyspark.sql import types as T
 
 from fleetlens.config import RAW_COLUMNS, Keys, raw_schema
 from fleetlens.functions import domain
-from fleetlens.functions.shaping import ALIASES, add_aliases, conform, feature_columns, nan_to_null
+from fleetlens.config import ALIASES
+from fleetlens.functions.shaping import add_aliases, conform, feature_columns, nan_to_null
 from fleetlens.functions.silver import silver
 from fleetlens.operators import dedup, ingest, kpi, labels
 from fleetlens.operators.ingest import new_rows
