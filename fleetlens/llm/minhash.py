@@ -196,8 +196,9 @@ def _links(pairs: DataFrame, signatures: DataFrame, texts: DataFrame, settings:
         pairs.join(left, "a").join(right, "b").select("a", "b", "sa", "sb")
         .mapInArrow(_prune(settings), "a long, b long").distinct(), f"{name}-survivors",
     )
+    # the ids grow with the input, so texts meet them in the same way at every size
     ends = survivors.select(F.explode(F.array("a", "b")).alias("id")).distinct()
-    needed = stored(texts.join(ends, "id", "left_semi"), f"{name}-texts")
+    needed = stored(texts.join(ends.hint("merge"), "id", "left_semi"), f"{name}-texts")
     return stored(
         survivors.join(needed.select(F.col("id").alias("a"), F.col("text").alias("ta")), "a")
         .join(needed.select(F.col("id").alias("b"), F.col("text").alias("tb")), "b")
@@ -297,7 +298,7 @@ def _family_links(families: DataFrame, signatures: DataFrame, texts: DataFrame,
     askers = celled(planned.where(asks).withColumn("asker_block", part_of("asker_blocks")).withColumn("block", all_of("blocks")))
     members = celled(planned.withColumn("block", part_of("blocks")).withColumn("asker_block", all_of("asker_blocks")))
     ids = families.select(F.col("class").alias("id")).distinct()
-    known = stored(texts.join(ids, "id", "left_semi").join(signatures, "id"), "minhash-family-texts")
+    known = stored(texts.join(ids.hint("merge"), "id", "left_semi").join(signatures, "id"), "minhash-family-texts")
     return stored(
         askers.join(known, "id").groupBy("group")
         .cogroup(members.join(known.select(*[F.col(c).alias(c) for c in known.columns]), "id").groupBy("group"))
