@@ -258,7 +258,7 @@ def test_warc(spark, tmp_path):
     rows = [(5, "http://a/\n x", big, 1), (3, "http://b", big, 1), (9, None, big, 1), (None, "n", big, 1), (1, "u", "short", 1),
             (2, "u", "short", 1), (4, "u", None, 1), (6, "u", "", 1), (3, "http://b", big, 1), (8, "u", "z" * 100, 1), (7, "u", LONG, 1)]
     pages = spark.createDataFrame(rows, "page_id long, url string, html string, digest int").repartition(2)
-    packages = warc.write_archives(pages, f"file://{tmp_path}/packages", package_bytes=1500)
+    packages = warc.write_archives(pages, f"file://{tmp_path}/packages", package_bytes=300)
     found = warc.read_records(packages).collect()
     assert len(found) == len(rows) and packages.count() > 2
     for r in found:
