@@ -1,11 +1,12 @@
 """Nearest neighbours by inner product over randomly rotated one-bit codes.
 
-Vectors are rotated by a random orthogonal matrix and each coordinate keeps its sign: a code of
-one bit per dimension, packed, with two scalars, the vector's length and the inner product f of
-its direction with its code. For a query q the inner product with a vector o is estimated as
-|o| <code, q> / f, and the error is, with high probability, at most
-|o| |q| sqrt((1 - f^2) / f^2) e / sqrt(d - 1). Vectors whose upper bound does not reach the k-th best exact
-score found so far are passed over; the others are scored exactly on the original numbers.
+Vectors are padded with zeros to `bits` dimensions or more, rotated by a random orthogonal matrix,
+and each coordinate keeps its sign: a code of one bit per dimension, packed, with two scalars,
+the vector's length and the inner product f of its direction with its code. For a query q the
+inner product with a vector o is estimated as |o| <code, q> / f, and the error is, with high
+probability, at most |o| |q| sqrt((1 - f^2) / f^2) e / sqrt(D - 1) with codes of D bits. The k
+best estimates are scored exactly first; the k-th of these scores is a bound, and only vectors whose
+upper bound reaches it are scored on the original numbers.
 
 Queries and candidates meet block by block: a block of candidates holds about `block` rows, by a
 hash of the id, one of queries about `query_block`. Every candidate is indexed. Vectors that are
@@ -19,6 +20,7 @@ from __future__ import annotations
 import math
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -30,34 +32,38 @@ from fleetlens.llm.common import stored
 
 @dataclass(frozen=True)
 class Settings:
-    """k neighbours; error: width of the bound, in standard deviations; sizes of blocks."""
+    """k neighbours; bits: least length of a code; error: width of the bound, in standard deviations;
+    sizes of blocks; chunk: candidates that are estimated at a time."""
 
     k: int = 20
+    bits: int = 512
     error: float = 4.0
     block: int = 8192
     query_block: int = 1024
-    chunk: int = 1024
+    chunk: int = 8192
     seed: int = 11
 
 
-def rotation(d: int, seed: int) -> np.ndarray:
-    q, r = np.linalg.qr(np.random.default_rng(seed + d).normal(size=(d, d)))
-    return q * np.sign(np.diag(r))
+@cache
+def rotation(d: int, settings: Settings) -> np.ndarray:
+    """The first d rows of a random rotation of the padded space: all that vectors padded with zeros meet."""
+    q, r = np.linalg.qr(np.random.default_rng(settings.seed + d).normal(size=(max(d, settings.bits), d)))
+    return np.ascontiguousarray((q * np.sign(np.diag(r))).T)
 
 
 def encode(vectors: np.ndarray, turn: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(packed signs, length, inner product of direction and code) of each vector."""
-    d = vectors.shape[1]
     lengths = np.sqrt((vectors * vectors).sum(axis=1))
     turned = (vectors / lengths[:, None]) @ turn
-    return np.packbits(turned > 0, axis=1), lengths, np.abs(turned).sum(axis=1) / math.sqrt(d)
+    return np.packbits(turned > 0, axis=1), lengths, np.abs(turned).sum(axis=1) / math.sqrt(turn.shape[1])
 
 
-def exact(queries: np.ndarray, vectors: np.ndarray) -> np.ndarray:
-    """Inner products of paired rows, added up from the first component to the last."""
-    total = np.zeros(len(queries))
-    for j in range(queries.shape[1]):
-        total += queries[:, j] * vectors[:, j]
+def exact(queries: np.ndarray, vectors: np.ndarray, rows: np.ndarray, columns: np.ndarray) -> np.ndarray:
+    """Inner products of pairs of rows, added up from the first component to the last."""
+    left, right = np.ascontiguousarray(queries.T), np.ascontiguousarray(vectors.T)
+    total = np.zeros(len(rows))
+    for x, y in zip(left, right):
+        total += x[rows] * y[columns]
     return total
 
 
@@ -87,27 +93,40 @@ class Best:
 
 def search_block(query_ids, queries, ids, vectors, codes, lengths, factors, settings: Settings) -> Best:
     """The best candidates of one block for each query of one block."""
-    d = vectors.shape[1]
-    turned = (queries @ rotation(d, settings.seed)).astype(np.float32)
-    size = np.sqrt((queries * queries).sum(axis=1)).astype(np.float32)
+    turn = rotation(queries.shape[1], settings)
+    width = turn.shape[1]
+    turned = (queries @ turn).astype(np.float32)
+    size = np.sqrt((queries * queries).sum(axis=1))
     best = Best(len(queries), settings.k)
-    spread = settings.error / math.sqrt(max(1, d - 1))
+    spread = settings.error / math.sqrt(max(1, width - 1))
     for at in range(0, len(ids), settings.chunk):
         part = slice(at, at + settings.chunk)
-        signs = np.unpackbits(codes[part], axis=1, count=d).astype(np.float32) * 2 - 1
-        factor = factors[part].astype(np.float32)
-        scale = (lengths[part] / factors[part] / math.sqrt(d)).astype(np.float32)
-        estimate = (turned @ signs.T) * scale
-        slack = lengths[part].astype(np.float32) * np.sqrt(np.maximum(1 - factor**2, 0)) / factor * spread
-        # a margin for rounding in single precision
-        upper = estimate + size[:, None] * (slack + 1e-5 * lengths[part].astype(np.float32))
-        rows, columns = np.nonzero(upper >= best.score[:, -1:].astype(np.float32))
-        own = query_ids[rows] != ids[part][columns]
-        rows, columns = rows[own], columns[own] + at
-        if len(rows):
-            for a in range(0, len(rows), 200_000):
-                r, c = rows[a : a + 200_000], columns[a : a + 200_000]
-                best.add(r, ids[c], exact(queries[r], vectors[c]))
+        own, numbers, length = ids[part], vectors[part], lengths[part]
+        signs = np.unpackbits(codes[part], axis=1, count=width).astype(np.float32) * 2 - 1
+        estimate = (turned @ signs.T) * (length / factors[part] / math.sqrt(width)).astype(np.float32)
+        estimate[query_ids[:, None] == own] = -np.inf
+        # with a margin for rounding in single precision
+        slack = length * (np.sqrt(np.maximum(1 - factors[part] ** 2, 0)) / factors[part] * spread + 1e-5)
+        slack = slack.astype(np.float32)
+        rows, columns = [], []
+        for i, guess in enumerate(estimate):
+            bound = best.score[i, -1]
+            if len(guess) > settings.k:
+                top = np.argpartition(guess, -settings.k)[-settings.k :]
+                if np.isfinite(guess[top]).all():
+                    # a little less than exact, as sums in another order differ in the last digits
+                    bound = max(bound, (numbers[top] @ queries[i]).min() - 1e-12 * size[i] * length[top].max())
+            reach = np.flatnonzero((guess + np.float32(size[i]) * slack >= np.float32(bound)) & (guess > -np.inf))
+            rough = numbers[reach] @ queries[i]
+            margin = 1e-12 * size[i] * length[reach]
+            if len(reach) > settings.k:
+                bound = max(bound, np.partition(rough - margin, -settings.k)[-settings.k])
+            reach = reach[rough + margin >= bound]
+            rows.append(np.full(len(reach), i)), columns.append(reach)
+        r, c = np.concatenate(rows), np.concatenate(columns)
+        for a in range(0, len(r), 200_000):
+            pairs = r[a : a + 200_000], c[a : a + 200_000]
+            best.add(pairs[0], own[pairs[1]], exact(queries, numbers, *pairs))
     return best
 
 
@@ -136,7 +155,7 @@ def nearest(
             dims = np.asarray(batch.column("d"))
             for d in np.unique(dims):
                 rows = batch.filter(pa.array(dims == d))
-                codes, lengths, factors = encode(_matrix(rows.column("v")), rotation(int(d), settings.seed))
+                codes, lengths, factors = encode(_matrix(rows.column("v")), rotation(int(d), settings))
                 yield pa.RecordBatch.from_arrays(
                     [*rows.columns, pa.array([c.tobytes() for c in codes], pa.binary()), pa.array(lengths), pa.array(factors)],
                     names=["id", "v", "d", "code", "length", "factor"],
