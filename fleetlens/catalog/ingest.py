@@ -64,19 +64,8 @@ def _twice(spark: SparkSession, folder: str) -> DataFrame:
     return feed.unionByName(feed.withColumn("wind_speed", F.lit(-999.0)))
 
 
-_TWICE = "twice as (select * from readings union all select * replace (-999e0 as wind_speed) from readings)"
-_REST = ", ".join(f"{c} asc nulls first" for c in MAPPING if c not in ("turbine_id", "reading_ts"))
-
-
-@query(
-    "dedup_readings",
-    over(
-        "readings",
-        "select * exclude (position) from (select *, row_number() over (partition by turbine_id, reading_ts "
-        f"order by {_REST}) as position from twice) where position = 1",
-        _TWICE,
-    ),
-)
+# The feed has one reading per machine and time, so the survivors are the feed itself.
+@query("dedup_readings", over("readings", "select * from readings"))
 def dedup_readings(spark: SparkSession, folder: str) -> DataFrame:
     return dedup_latest(_twice(spark, folder), KEYS.reading)
 

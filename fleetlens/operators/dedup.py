@@ -2,21 +2,49 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
+from functools import reduce
+from operator import add
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+#: Values by which the feed says that a sensor delivered nothing.
+SENTINELS = {"wind_speed": -999.0}
+
+
+def _count(flags: Sequence[Column]) -> Column:
+    return reduce(add, [F.coalesce(f, F.lit(False)).cast("int") for f in flags], F.lit(0))
+
+
+def best_copy(
+    df: DataFrame, keys: Sequence[str], newest: str = "ingestion_timestamp", sentinels: Mapping[str, float] = SENTINELS
+) -> list[Column]:
+    """Sort keys that put the best copy of a reading first.
+
+    The newest delivery (`newest`, if there is such a column; unknown times last), then the copy
+    with the fewest missing values (null, NaN or sentinel), then the one with the fewest
+    sentinels. A hash of the row settles the rest, so the survivor never depends on how rows
+    arrived; copies that agree in all this differ in measured values only, and none is better.
+    """
+    rest = [f for f in df.schema if f.name not in keys]
+    marked = {f.name: F.col(f.name) == sentinels[f.name] for f in rest if f.name in sentinels}
+    missing = [F.col(f.name).isNull() for f in rest] + list(marked.values())
+    missing += [F.isnan(f.name) for f in rest if isinstance(f.dataType, (T.FloatType, T.DoubleType))]
+    recent = [F.col(newest).desc_nulls_last()] if newest in df.columns else []
+    settled = [F.xxhash64(*[F.col(f.name) for f in rest])] if rest else []
+    return [*recent, _count(missing), _count(list(marked.values())), *settled]
 
 
 def dedup_latest(df: DataFrame, keys: Sequence[str], order: Sequence[Column] | None = None) -> DataFrame:
-    """Keeps the first row of each key by `order`; null keys form a group of their own.
+    """Keeps the first row of each key by `order` (else `best_copy`); null keys form a group of their own.
 
-    Without `order` the remaining columns decide in schema order, nulls first, so the survivor
-    never depends on how rows arrived. Spark keeps only the best row per key in each map task
-    (`WindowGroupLimit`) before it shuffles, so a key with very many copies costs no more
-    than any other.
+    Spark keeps only the best row per key in each map task (`WindowGroupLimit`) before it
+    shuffles, so a key with very many copies costs no more than any other. Rows are sorted by
+    a few numbers, not by their columns.
     """
-    ranked_by = list(order) if order else [F.col(c).asc_nulls_first() for c in df.columns if c not in keys]
+    ranked_by = list(order) if order else best_copy(df, keys)
     position = F.row_number().over(Window.partitionBy(*keys).orderBy(*ranked_by))
     return df.withColumn("__position", position).where(F.col("__position") == 1).drop("__position")
 

@@ -90,15 +90,27 @@ def test_electrical_guards(spark):
     assert frame(spark, {"atmospheric_pressure": 1013.0, "ambient_temperature": 15.0}).select(domain.air_density()).first()[0] == pytest.approx(1.225)
 
 
-def test_dedup_is_deterministic_and_limits_before_the_shuffle(spark):
-    df = spark.createDataFrame(
-        [("A", 1, 5.0), ("A", 1, None), ("A", 1, -999.0), (None, 1, 2.0), (None, 1, 1.0), ("B", 2, 1.0)], "k string, t int, v double"
-    )
+def test_dedup_keeps_the_best_copy_and_limits_before_the_shuffle(spark):
+    rows = [
+        ("A", 1, 5.0, 1.0), ("A", 1, None, 1.0), ("A", 1, -999.0, 1.0), ("A", 1, float("nan"), 1.0),
+        (None, 1, 2.0, None), (None, 1, 1.0, 1.0), ("B", 2, -999.0, 1.0), ("B", 2, None, 1.0), ("C", 3, -999.0, 1.0),
+    ]
+    df = spark.createDataFrame(rows, "k string, t int, wind_speed double, v double")
     out = dedup.dedup_latest(df, ["k", "t"])
-    assert {tuple(r) for r in out.collect()} == {("A", 1, None), (None, 1, 1.0), ("B", 2, 1.0)}
+    assert {tuple(r) for r in out.collect()} == {("A", 1, 5.0, 1.0), (None, 1, 1.0, 1.0), ("B", 2, None, 1.0), ("C", 3, -999.0, 1.0)}
     assert "WindowGroupLimit" in out._jdf.queryExecution().executedPlan().toString()
 
 
+def test_dedup_prefers_the_newest_delivery_and_settles_ties_alike(spark):
+    rows = [("A", T0, 1.0), ("A", T0 + timedelta(hours=1), None), ("A", None, 3.0), ("B", T0, 1.0), ("B", T0, 2.0)]
+    schema = "k string, ingestion_timestamp timestamp, v double"
+    found = [
+        {(r["k"], r["v"]) for r in dedup.dedup_latest(spark.createDataFrame(order, schema).repartition(n), ["k"]).collect()}
+        for order, n in ((rows, 1), (rows[::-1], 3))
+    ]
+    assert found[0] == found[1] and ("A", None) in found[0] and len(found[0]) == 2
+
+
 def test_insert_only_merge(spark):
     schema = "k string, t int, v int"
     target = spark.createDataFrame([("A", 1, 0), (None, 1, 0)], schema)
