@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from dataclasses import replace
-
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,10 +14,7 @@ from fleetlens.sources.readings import KEYS
 
 IDS = ("turbine_id", "farm_id", "reading_ts")
 
-# The full settings take minutes; the queries fit the same models with fewer rounds.
-QUICK = {
-    c.name: replace(c, trees=min(c.trees, 10), depth=min(c.depth, 4), iterations=min(c.iterations, 25)) for c in train.CANDIDATES
-}
+CANDIDATES = {c.name: c for c in train.CANDIDATES}
 
 
 def _split(spark: SparkSession, folder: str) -> tuple[DataFrame, list[str]]:
@@ -30,7 +25,7 @@ def _split(spark: SparkSession, folder: str) -> tuple[DataFrame, list[str]]:
 
 
 def _fit(split: DataFrame, names: list[str], model: str) -> PipelineModel:
-    return train.train_model(split.where("split = 'train'"), names, LABEL, QUICK[model])
+    return train.train_model(split.where("split = 'train'"), names, LABEL, CANDIDATES[model])
 
 
 def _scores(split: DataFrame, names: list[str], models: dict[str, PipelineModel], part: str) -> DataFrame:
@@ -81,8 +76,8 @@ def batch_scores(spark: SparkSession, folder: str) -> DataFrame:
 def ml_pipeline(spark: SparkSession, folder: str) -> DataFrame:
     """Four candidates on validation data, the champion again on test data."""
     split, names = _split(spark, folder)
-    models = {name: _fit(split, names, name) for name in QUICK}
-    selection = evaluate.select_champion(_measured(split, names, models, "validation"), 0.30).persist()
+    models = {name: _fit(split, names, name) for name in CANDIDATES}
+    selection = evaluate.select_champion(_measured(split, names, models, "validation")).persist()
     winner = selection.where("is_champion").select("model_name").first()
     validation = selection.withColumn("evaluated_on", F.lit("validation"))
     if winner is None:
