@@ -127,6 +127,61 @@ def dedup_lines(
     )
 
 
+def dedup_runs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The documents without any run of two or more lines that came before.
+
+    A run came before exactly if each of its pairs of neighbouring lines did, so a line goes if
+    it is in a pair that is not the first of its kind by (id, line number). A pair that overlaps
+    the first of its kind (three equal lines) takes only its second line along, so that a line
+    repeated many times in one document leaves two.
+
+    Returns one row per row of `docs`: source, id, text, n_lines, n_removed (lines).
+
+    Plan: the first place of each pair is a minimum, combined before the shuffle, so a pair found
+    in a third of all documents is one row from each task. What goes is what is left of a document
+    beside its first places; repeats are never moved. Pairs are compared by their MD5.
+    """
+    whole = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("source"))
+    own_id, own_text = F.col("source")[id_col].cast("long"), F.col("source")[text_col].cast("string")
+    name = F.md5(F.concat_ws("\n", F.coalesce(own_id.cast("string"), F.lit("-")), own_text))
+    rows = whole.withColumn("key", F.unhex(name))
+
+    def pairs(lines: Column) -> Column:
+        joined = F.transform(lines, lambda line, i: F.concat(line, F.lit("\n"), F.get(lines, i + 1)))
+        return F.transform(F.slice(joined, 1, F.size(joined) - 1), lambda pair: F.unhex(F.md5(pair)))
+
+    found = rows.where(own_text.contains("\n")).select(
+        own_id.alias("id"), "key", F.posexplode(_let(F.split(own_text, "\n", -1), pairs)).alias("number", "pair")
+    )
+    first = found.groupBy("pair").agg(F.min(F.struct(id_order("id").alias("order"), "key", "number")).alias("first"))
+    firsts = first.select("first.key", "first.number").groupBy("key").agg(F.collect_list("number").alias("firsts"))
+    joined = rows.join(firsts, "key", "left")
+
+    def kept_of(lines: Column, gone: Column) -> Column:
+        """Numbers of the lines that stay. Set functions, so linear in the lines."""
+        after = F.transform(gone, lambda i: i + 1)
+        equal = F.filter(gone, lambda i: (F.get(lines, i - 1) == F.get(lines, i)) & (F.get(lines, i) == F.get(lines, i + 1)))
+        overlapping = F.array_except(equal, after)
+        lost = F.array_union(after, F.array_except(gone, overlapping))
+        return F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), lost)
+
+    def result(lines: Column) -> Column:
+        nothing = F.array().cast("array<int>")
+        numbers = F.when(F.size(lines) > 1, F.sequence(F.lit(0), F.size(lines) - 2)).otherwise(nothing)
+        gone = F.array_except(numbers, F.coalesce(F.col("firsts"), nothing))
+        return _let(gone, lambda g: _let(kept_of(lines, g), lambda kept: F.struct(
+            F.array_join(F.transform(kept, lambda i: F.get(lines, i)), "\n").alias("text"),
+            F.size(lines).alias("lines"), (F.size(lines) - F.size(kept)).alias("removed"),
+        )))
+
+    done = joined.select("source", own_id.alias("id"), _let(F.split(own_text, "\n", -1), result).alias("r"))
+    there = F.col("source")[text_col].isNotNull()
+    return done.select(
+        "source", "id", F.when(there, F.col("r.text")).alias("text"),
+        *[F.coalesce(F.when(there, F.col(f"r.{c}")), F.lit(0)).cast("long").alias(f"n_{c}") for c in ("lines", "removed")],
+    )
+
+
 def sql(window: int = 2, divisor: int = 3, min_lines: int = 2) -> str:
     """The same for `documents` in DuckDB, by list functions and windows (ids without repeats)."""
     terms = " + ".join(f"coalesce(lag(v, {b}) over w, 0) * {MULTIPLIER**b}" if b else "v" for b in range(window))
@@ -154,3 +209,26 @@ def sql(window: int = 2, divisor: int = 3, min_lines: int = 2) -> str:
            coalesce(x.n_removed, 0)::bigint as n_removed
     from documents d left join docs x using (doc_id)
     """
+
+
+def runs_sql() -> str:
+    """`dedup_runs` for `documents` in DuckDB, by windows over pairs of lines (ids without repeats)."""
+    return """
+    with lines as (
+      select doc_id, unnest(string_split(text, chr(10))) as line, unnest(range(len(string_split(text, chr(10))))) as i
+      from documents where text is not null),
+    pairs as (select *, lead(line) over (partition by doc_id order by i) as follower from lines),
+    ranked as (
+      select doc_id, i, first_value(doc_id) over w as first_doc, first_value(i) over w as first_i
+      from pairs where follower is not null window w as (partition by line, follower order by doc_id, i)),
+    gone as (
+      select doc_id, i, first_doc = doc_id and first_i = i - 1 as overlapping from ranked where first_doc <> doc_id or first_i <> i),
+    lost as (select doc_id, i + 1 as i from gone union select doc_id, i from gone where not overlapping),
+    docs as (
+      select l.doc_id, count(*) as n_lines, count(g.i) as n_removed,
+             coalesce(string_agg(line, chr(10) order by l.i) filter (g.i is null), '') as text
+      from lines l left join lost g on g.doc_id = l.doc_id and g.i = l.i group by l.doc_id)
+    select d.doc_id, case when d.text is null then null else x.text end as text,
+           coalesce(x.n_lines, 0)::bigint as n_lines, coalesce(x.n_removed, 0)::bigint as n_removed
+    from documents d left join docs x using (doc_id)
+    """

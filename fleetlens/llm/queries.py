@@ -25,6 +25,11 @@ def line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return found.select(F.col("id").alias("doc_id"), "text", "n_lines", "n_chunks", "n_removed")
 
 
+def line_runs(spark: SparkSession, folder: str) -> DataFrame:
+    found = lines.dedup_runs(_table(spark, folder, "documents"))
+    return found.select(F.col("id").alias("doc_id"), "text", "n_lines", "n_removed")
+
+
 def decontaminate(spark: SparkSession, folder: str) -> DataFrame:
     return decontamination.digest(
         decontamination.decontaminate(_table(spark, folder, "documents"), _table(spark, folder, "benchmark"))
@@ -74,6 +79,7 @@ def archive(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_line_dedup": line_dedup,
+    "op1_line_runs": line_runs,
     "op2_decontamination": decontaminate,
     "op3_minhash": near_duplicates,
     "op4_suffix_array": repeated_passages,
@@ -87,6 +93,7 @@ QUERIES: dict[str, Query] = {
 
 SQL: dict[str, str] = {
     "op1_line_dedup": lines.sql(),
+    "op1_line_runs": lines.runs_sql(),
     "op2_decontamination": decontamination.sql(),
     "op4_suffix_array": suffixes.sql(),
     "op6_one_bit_codes": vectors.sql(),

@@ -60,6 +60,20 @@ def dedup_lines(texts: dict[int, str], min_lines: int = 2) -> dict[int, str]:
     return out
 
 
+def repeated_runs(texts: dict[int, str]) -> dict[int, set[int]]:
+    """Numbers of the lines under runs of two or more lines seen before, every pair of places compared in order."""
+    seen: dict[tuple[str, str], tuple[int, int]] = {}
+    out: dict[int, set[int]] = {}
+    for i in sorted(texts):
+        lines, lost = texts[i].split("\n"), set()
+        for k in range(len(lines) - 1):
+            first = seen.setdefault((lines[k], lines[k + 1]), (i, k))
+            if first != (i, k):
+                lost |= {k + 1} if first == (i, k - 1) else {k, k + 1}
+        out[i] = lost
+    return out
+
+
 def benchmark_words(text: str | None) -> list[bytes]:
     return re.findall(rb"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", (text or "").encode().translate(LOWER))
 

@@ -87,6 +87,29 @@ def test_line_dedup(docs, none):
     assert lines.dedup_lines(docs).count() == docs.count() and not lines.dedup_lines(none).collect()
 
 
+def test_line_runs(spark, docs, none):
+    """Every repeated run of two or more lines goes, wherever it lies; runs of equal lines leave two."""
+    r = np.random.default_rng(8)
+    runs = [[words(6, 700 + 10 * i + k) for k in range(2 + i % 5)] for i in range(12)]
+    texts = {i: t for i, t in TEXTS.items() if t is not None}
+    for i in range(60):
+        own = [words(5, 5000 + 20 * i + k) for k in range(8)]
+        at = int(r.integers(0, 9))
+        texts[100 + i] = "\n".join(own[:at] + runs[int(r.integers(0, 12))] + own[at:])
+    texts |= {300: "\n".join(["same"] * 9), 301: "a\n" + "\n".join(["same"] * 3) + "\nb", 302: "same\nb", 303: "x\nx\nx", 304: "\n\n\n\n", 305: "x\nx"}
+    more = spark.createDataFrame([(i, t) for i, t in texts.items() if i not in TEXTS], "doc_id long, text string")
+    found = {x.id: x for x in lines.dedup_runs(docs.select("doc_id", "text").unionByName(more)).collect() if x.id}
+    lost = brute.repeated_runs(texts)
+    assert sum(len(n) for i, n in lost.items() if 100 <= i < 160) > 100
+    for i, text in texts.items():
+        own = text.split("\n")
+        assert found[i].text == "\n".join(t for k, t in enumerate(own) if k not in lost[i]), i
+        assert (found[i].n_lines, found[i].n_removed) == (len(own), len(lost[i]))
+    assert found[300].text == "same\nsame" and found[301].text == "a\nb" and found[302].text == ""
+    assert found[303].text == "x\nx" and found[305].text == "" and found[3].text is None and found[3].n_lines == 0
+    assert lines.dedup_runs(docs).count() == docs.count() and not lines.dedup_runs(none).collect()
+
+
 def test_decontamination(spark, docs, none):
     items = [(1, words(12, 50)), (2, "only four words here"), (3, None), (4, "..."), (None, "alpha beta"), (2, "only four words here"), (5, "ÉLAN naïve")]
     bench = spark.createDataFrame(items, "item_id long, text string")
