@@ -150,6 +150,14 @@ def _spans(ids, places, after, before, settings: Settings) -> tuple[np.ndarray,
     return found, begin, end
 
 
+def _without_twins(ids, places, after, before) -> tuple[np.ndarray, ...]:
+    """A suffix that comes twice, from a repeated row or as both ends of a partition, is no repeat of itself."""
+    new = (ids[1:] != ids[:-1]) | (places[1:] != places[:-1])
+    new |= (after[1:] != after[:-1]).any(axis=1) | (before[1:] != before[:-1]).any(axis=1)
+    new = np.append(True, new)
+    return ids[new], places[new], after[new], before[new]
+
+
 def _compare(settings: Settings, edges: bool):
     """Spans from neighbours in a sorted partition; with `edges`, also its first and last suffix."""
 
@@ -173,6 +181,7 @@ def _compare(settings: Settings, edges: bool):
             if last is not None:
                 ids, places = np.append(last[0], ids), np.append(last[1], places)
                 after, before = np.concatenate([last[2], after]), np.concatenate([last[3], before])
+            ids, places, after, before = _without_twins(ids, places, after, before)
             found, begin, end = _spans(ids, places, after, before, settings)
             n = int(found.sum())
             if n:

@@ -174,6 +174,19 @@ def test_repeated_passages(docs, none):
     assert not suffixes.repeated_passages(none).collect()
 
 
+def test_repeated_passages_with_few_suffixes(spark):
+    """One suffix in a partition is its first and its last one, and no repeat of itself."""
+    texts = {i: f"{words(60, 800 + i)} {words(19, 600 + i % 6)} {words(60, 900 + i)}" for i in range(12)}
+    df = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "40")
+    try:
+        rows = suffixes.repeated_passages(df, settings=suffixes.Settings(min_words=20)).collect()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert not brute.repeated_words(texts, 20) and not rows
+
+
 def test_language(docs, none):
     rows = language.identify(docs).collect()
     assert len(rows) == docs.count()
