@@ -4,12 +4,14 @@ Every run of `min_words` words has a minimiser: the leftmost of its `gram`-word
 smallest hash. Only the suffixes that start at minimisers are kept, about two in 44 words.
 Equal runs have the same minimiser at the same place, so a repeated passage always shares one.
 
-Suffixes whose first `gram` words occur once are dropped. The others are sorted by the words
-that follow, over all partitions; neighbours are compared, and each match is extended to the
-right and to the left of the shared suffix. Because the best partner to the left need not be the
-neighbour to the right, the same is done in the order of the words read backwards. Contexts of
-`min_words` words suffice for both: longer passages hold further minimisers, and spans that
-overlap are joined.
+Suffixes whose first `gram` words occur once are dropped. Where they occur twice, the two suffixes
+are neighbours in the order of the words that follow, sorted over all partitions; the match is
+extended to the right and to the left of the shared suffix. Contexts of `min_words` words suffice:
+longer passages hold further minimisers, and spans that overlap are joined.
+
+Where they occur more often, a suffix's neighbours need not be its best partners. There every run
+of `min_words` words with that minimiser is hashed, and the runs are counted; what is left of a
+minimiser's runs beside those that occur once is repeated.
 
 Documents with the same words are one class and represented by one of them; they are repeated
 as a whole if they have `min_words` words. Words are white-space separated, A-Z in lower case,
@@ -55,15 +57,17 @@ def gram_hashes(hashes: np.ndarray, gram: int) -> np.ndarray:
 
 def minimisers(grams: np.ndarray, window: int, block: int = 20_000) -> np.ndarray:
     """Places of the leftmost smallest gram of each window, ascending."""
+    return np.unique(smallest_places(grams, window, block))
+
+
+def smallest_places(grams: np.ndarray, window: int, block: int = 20_000) -> np.ndarray:
+    """For each window the place of its leftmost smallest gram; never descending."""
     n = len(grams) - window + 1
-    if n <= 0:
-        return np.zeros(0, dtype=np.int64)
-    found = []
+    found = [np.zeros(0, dtype=np.int64)]
     for at in range(0, n, block):
         view = np.lib.stride_tricks.sliding_window_view(grams[at : min(at + block, n) + window - 1], window)
-        place = view.argmin(axis=1) + np.arange(at, at + len(view))
-        found.append(place[np.r_[True, place[1:] != place[:-1]]])
-    return np.unique(np.concatenate(found))
+        found.append(view.argmin(axis=1) + np.arange(at, at + len(view)))
+    return np.concatenate(found)
 
 
 def _digest(hashes: np.ndarray) -> bytes:
@@ -95,30 +99,48 @@ def _suffixes(settings: Settings):
     return run
 
 
+_PLACES = "id long, place long, after binary, before binary, digest binary, gram long, runs array<long>"
+
+
 def _contexts(settings: Settings):
-    """For each wanted place the words from there on, and those up to the gram's end backwards."""
+    """For each of `places` the words from there on, and those up to the gram's end backwards.
+
+    For each of `crowded`, places whose gram occurs more than twice, the hashes of the runs of
+    which it is the minimiser; `place` is then the first run's.
+    """
     width = settings.min_words
 
+    def runs(own: np.ndarray, crowded: np.ndarray):
+        grams = gram_hashes(own, settings.gram)
+        smallest = smallest_places(grams, settings.window)
+        begin, end = (np.searchsorted(smallest, crowded, side) for side in ("left", "right"))
+        hashes = gram_hashes(own, width).view(np.int64)
+        return begin, grams[crowded].view(np.int64), [hashes[a:b] for a, b in zip(begin, end)]
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part, texts in slices(batch, batch.column("text")):
                 words = Words(texts)
                 for i in range(len(texts)):
                     own = words.hashes[words.first[i] : words.first[i + 1]]
-                    if _digest(own) != part.column("digest")[i].as_py():
+                    digest, one = part.column("digest")[i].as_py(), part.column("id")[i].as_py()
+                    if _digest(own) != digest:
                         continue  # another row with this id
-                    at = np.unique(np.asarray(part.column("places")[i].values, dtype=np.int64))
+                    at, crowded = (np.unique(np.asarray(part.column(c)[i].values, dtype=np.int64)) for c in ("places", "crowded"))
                     small = (own >> np.uint64(32)).astype(np.uint32) | np.uint32(1)
                     padded = np.concatenate([np.zeros(width, np.uint32), small, np.zeros(width, np.uint32)])
                     reach = np.arange(width)
                     after = padded[width + at[:, None] + reach]
                     before = padded[width + at[:, None] + settings.gram - 1 - reach]
-                    fixed = pa.binary()
+                    first, grams, hashes = runs(own, crowded) if len(crowded) else ([], [], [])
+                    none, others = [None] * len(at), [None] * len(crowded)
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(np.full(len(at), part.column("id")[i].as_py()), pa.int64()), pa.array(at, pa.int64()),
-                         pa.array([r.tobytes() for r in after.astype(">u4")], fixed),
-                         pa.array([r.tobytes() for r in before.astype(">u4")], fixed)],
-                        names=["id", "place", "after", "before"],
+                        [pa.array(np.full(len(at) + len(crowded), one), pa.int64()), pa.array([*at, *first], pa.int64()),
+                         pa.array([*(r.tobytes() for r in after.astype(">u4")), *others], pa.binary()),
+                         pa.array([*(r.tobytes() for r in before.astype(">u4")), *others], pa.binary()),
+                         pa.array([*none, *[digest] * len(crowded)], pa.binary()), pa.array([*none, *grams], pa.int64()),
+                         pa.array([*none, *hashes], pa.list_(pa.int64()))],
+                        names=["id", "place", "after", "before", "digest", "gram", "runs"],
                     )
 
     return run
@@ -194,11 +216,34 @@ def _compare(settings: Settings, edges: bool):
     return run
 
 
+def _run_spans(places: DataFrame, settings: Settings) -> DataFrame:
+    """Spans (class, begin, end) from the runs at crowded minimisers.
+
+    Runs are counted with a partial aggregation, so a passage found in a third of all documents is
+    one row from each task. Only runs that occur once go back to their minimiser. Its runs begin
+    less than `min_words` words apart, so those that are left make one span.
+    """
+    own = places.select(F.xxhash64("digest").alias("class"), F.col("place").alias("first"), "gram", "runs")
+    each = own.select("class", "first", "gram", F.posexplode("runs").alias("step", "run"))
+    place = F.xxhash64("class", F.col("first") + F.col("step"))  # the same for repeated rows
+    counted = each.groupBy("gram", "run").agg(
+        (F.min(place) == F.max(place)).alias("once"), *[F.first(c).alias(c) for c in ("class", "first", "step")]
+    )
+    single = counted.where("once").select("class", "first", "step", F.lit(None).cast("int").alias("n"))
+    whole = own.select("class", "first", F.lit(None).cast("int").alias("step"), F.size("runs").alias("n"))
+    gathered = whole.unionByName(single).groupBy("class", "first").agg(F.max("n").alias("n"), F.collect_list("step").alias("single"))
+    kept = F.array_except(F.sequence(F.lit(0), F.col("n") - 1), F.col("single"))
+    return (
+        gathered.select("class", "first", kept.alias("kept")).where(F.size("kept") > 0)
+        .select("class", (F.col("first") + F.array_min("kept")).alias("begin"),
+                (F.col("first") + F.array_max("kept") + settings.min_words).alias("end"))
+    )
+
+
 def _sorted_spans(contexts: DataFrame, order: str, settings: Settings, name: str) -> DataFrame:
     """Spans (id, begin, end) from the suffix order by `order`.
 
-    The order is total, so a passage found in a third of all documents is spread over as many
-    partitions as its suffixes need. Neighbours on two sides of a partition's border are
+    The order is total, so suffixes spread over as many partitions as they need. Neighbours on two sides of a partition's border are
     compared afterwards: two suffixes from each partition.
     """
     parts = int(contexts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
@@ -231,19 +276,23 @@ def repeated_passages(
     classes = stored(classes, "suffix-classes")
     pairs = F.explode(F.arrays_zip("places", "grams")).alias("s")
     suffixes = classes.select("id", "digest", pairs).select("id", "digest", F.col("s.places").alias("place"), F.col("s.grams").alias("gram"))
-    shared = suffixes.groupBy("gram").agg(F.count(F.lit(1)).alias("times")).where("times > 1").select("gram")
-    wanted = suffixes.join(shared, "gram").groupBy("id", "digest").agg(F.collect_list("place").alias("places"))
-    contexts = stored(
-        wanted.join(base.where("text is not null"), "id").select("id", "digest", "places", "text")
-        .mapInArrow(_contexts(settings), "id long, place long, after binary, before binary").distinct(), "suffix-contexts",
+    shared = suffixes.groupBy("gram").agg(F.count(F.lit(1)).alias("times")).where("times > 1")
+    wanted = suffixes.join(shared, "gram").groupBy("id", "digest").agg(
+        F.collect_list(F.when(F.col("times") == 2, F.col("place"))).alias("places"),
+        F.collect_list(F.when(F.col("times") > 2, F.col("place"))).alias("crowded"),
     )
-    spans = _sorted_spans(contexts, "after", settings, "suffix-after").unionByName(
-        _sorted_spans(contexts, "before", settings, "suffix-before")
+    contexts = stored(
+        wanted.join(base.where("text is not null"), "id").select("id", "digest", "places", "crowded", "text")
+        .mapInArrow(_contexts(settings), _PLACES), "suffix-contexts",
     )
+    pairs = contexts.where("after is not null").select("id", "place", "after", "before")
+    spans = _sorted_spans(pairs, "after", settings, "suffix-after")
+    runs = _run_spans(contexts.where("runs is not null").select("digest", "place", "gram", "runs"), settings)
+    runs = runs.join(classes.select("digest", F.xxhash64("digest").alias("class")), "class").select("digest", "begin", "end")
     # copies of a class take over its spans; a class of several ids is repeated as a whole
     per_class = spans.join(classes.select("id", "digest", "n", "other"), "id").where("id = other")
     copied = classes.where("id != other").select("digest", F.lit(0).cast("long").alias("begin"), F.col("n").alias("end"))
-    by_digest = per_class.select("digest", "begin", "end").unionByName(copied).groupBy("digest").agg(
+    by_digest = per_class.select("digest", "begin", "end").unionByName(copied).unionByName(runs).groupBy("digest").agg(
         F.collect_set(F.struct("begin", "end")).alias("spans")
     )
     merged = by_digest.select("digest", F.explode(_merged("spans")).alias("span"))

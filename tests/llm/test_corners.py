@@ -187,6 +187,25 @@ def test_repeated_passages_with_few_suffixes(spark):
     assert not brute.repeated_words(texts, 20) and not rows
 
 
+def test_repeated_passages_of_near_copies(spark):
+    """Families of near copies: the best partner of a suffix is next to it in neither order."""
+    r = np.random.default_rng(11)
+    texts: dict[int, str | None] = {}
+    for family in range(3):
+        base = words(300, 40 + family).split()
+        for i in range(150):
+            own = list(base)
+            for at in r.choice(300, 9, replace=False):
+                own[at] = words(1, 10_000 + 1000 * family + int(r.integers(0, 900)))
+            texts[1000 * family + i] = " ".join(own)
+    rows = list(texts.items())
+    df = spark.createDataFrame(rows + rows[:20], "doc_id long, text string").repartition(4)
+    found: dict[int, set[int]] = {}
+    for x in suffixes.repeated_passages(df).collect():
+        found.setdefault(x.id, set()).update(range(x.begin, x.end))
+    assert found == brute.repeated_words(texts, 50)
+
+
 def test_language(docs, none):
     rows = language.identify(docs).collect()
     assert len(rows) == docs.count()
