@@ -13,6 +13,7 @@ hits. Items without an id or without words are not searched for; repeated items
 from __future__ import annotations
 
 import math
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -116,7 +117,8 @@ def merged(spans: list) -> list[tuple[int, int]]:
     return [tuple(x) for x in out]
 
 
-_READY: dict[int, Searches] = {}
+#: By the block's name, which no other call has: workers live on after a call.
+_READY: dict[str, Searches] = {}
 
 
 def _ready(block: Broadcast, width: int) -> Searches:
@@ -164,7 +166,7 @@ def decontaminate(
     passes = []
     for k in range(blocks):
         mine = chosen.where(F.pmod(F.xxhash64("item", "words"), F.lit(blocks)) == k).collect()
-        value = {"block": hash((id(rows), k)), "items": sorted((r["item"], bytes(r["words"])) for r in mine)}
+        value = {"block": uuid.uuid4().hex, "items": sorted((r["item"], bytes(r["words"])) for r in mine)}
         passes.append(_pass(rows, text_col, spark.sparkContext.broadcast(value), width))
     if len(passes) == 1:
         return passes[0]

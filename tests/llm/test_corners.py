@@ -129,6 +129,16 @@ def test_decontamination(spark, docs, none):
     assert {r.n_words for r in decontamination.decontaminate(planted, bench.limit(0)).collect()} and not decontamination.decontaminate(none, bench.limit(0)).collect()
 
 
+def test_decontamination_of_a_later_call(spark, monkeypatch):
+    """Workers that served one call do not search for its items in the next, whatever address its table had."""
+    monkeypatch.setattr(decontamination, "id", lambda _: 7, raising=False)
+    docs = spark.createDataFrame([(1, words(12, 51)), (2, words(12, 52))], "doc_id long, text string").coalesce(1)
+    for k in (1, 2):
+        bench = spark.createDataFrame([(k, words(12, 50 + k))], "item_id long, text string")
+        found = {r.source["doc_id"]: r["items"] for r in decontamination.decontaminate(docs, bench).collect()}
+        assert found == {k: [k], 3 - k: []}
+
+
 @pytest.mark.parametrize("n", [2, 5])
 def test_minhash(docs, none, n):
     found = minhash.near_duplicates(docs, settings=minhash.Settings(words=n))
