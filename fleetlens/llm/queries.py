@@ -8,7 +8,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fleetlens.llm import decontamination, language, lines, minhash, packing, quality, sharding, suffixes, vectors, warc
+from fleetlens.llm import (
+    decontamination, language, lines, merkle, minhash, packing, periodic, quality, rules, sharding, suffixes, vectors, warc,
+)
 
 TOKENIZER = "word_bpe_49k.json"
 QUALITY_CUT = 0.3
@@ -77,6 +79,18 @@ def archive(spark: SparkSession, folder: str) -> DataFrame:
     return warc.digest(warc.round_trip(spark, _table(spark, folder, "pages")))
 
 
+def periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
+    return periodic.digest(periodic.find_runs(periodic.with_repeated_tail(_table(spark, folder, "documents"))))
+
+
+def quality_rules(spark: SparkSession, folder: str) -> DataFrame:
+    return rules.digest(rules.judge(_table(spark, folder, "documents")))
+
+
+def manifest(spark: SparkSession, folder: str) -> DataFrame:
+    return merkle.digest(merkle.check_documents(_table(spark, folder, "documents")))
+
+
 QUERIES: dict[str, Query] = {
     "op1_line_dedup": line_dedup,
     "op1_line_runs": line_runs,
@@ -89,6 +103,9 @@ QUERIES: dict[str, Query] = {
     "op8_quality": score_quality,
     "op9_sharding": shard,
     "op10_warc": archive,
+    "op11_periodic_runs": periodic_runs,
+    "op12_quality_rules": quality_rules,
+    "op13_merkle_manifest": manifest,
 }
 
 SQL: dict[str, str] = {
@@ -98,4 +115,7 @@ SQL: dict[str, str] = {
     "op4_suffix_array": suffixes.sql(),
     "op6_one_bit_codes": vectors.sql(),
     "op10_warc": warc.sql(),
+    "op11_periodic_runs": periodic.sql(),
+    "op12_quality_rules": rules.sql(),
+    "op13_merkle_manifest": merkle.sql(),
 }
