@@ -14,6 +14,8 @@ from fleetlens.operators import evaluate, labels
 from fleetlens.sources.readings import KEYS, readings
 
 AS_OF = datetime(2024, 2, 1)
+#: Width of a chunk of time: the feed covers 30 days, so each machine has 20 chunks.
+CHUNK = 36 * 3600
 LABEL = label_name()
 
 
@@ -62,6 +64,6 @@ def model_rows(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def halves(df: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Earlier 70% and later 30% by time and machine."""
-    return evaluate.baseline_and_current(df, KEYS)
+def halves(df: DataFrame, fraction: float = 0.7) -> tuple[DataFrame, DataFrame]:
+    """Earlier part (70%, if not stated) and later part by time and machine."""
+    return evaluate.baseline_and_current(df, KEYS, fraction)

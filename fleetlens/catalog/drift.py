@@ -7,39 +7,43 @@ from pyspark.sql import functions as F
 
 from fleetlens.catalog import query
 from fleetlens.catalog.data import AS_OF, LABEL, halves, scored, training
+from fleetlens.catalog.features import ENGINEERED, feature_table
+from fleetlens.catalog.features import FEATURES as FEATURE_SQL
 from fleetlens.catalog.sql import over, rounded, rounded_sql
+from fleetlens.config import TRAINING_COLUMNS
+from fleetlens.functions.tests_of_fit import EXACT_CELLS
 from fleetlens.operators import drift
 from fleetlens.sources.readings import readings
 
-FEATURES = (
-    "wind_speed", "wind_direction", "ambient_temperature", "humidity", "atmospheric_pressure", "rotor_speed_rpm",
-    "gearbox_temperature", "generator_temperature", "bearing_temperature", "hydraulic_pressure",
-    "vibration_x", "vibration_y", "vibration_z", "active_power_kw",
-)
+#: Every numeric column of the feature table.
+FEATURES = (*TRAINING_COLUMNS, *ENGINEERED)
 # The later readings are shifted, so that there is drift to find.
 _SHIFTS = {
-    "wind_speed": "wind_speed * 1.2e0", "humidity": "humidity * 0.8e0", "generator_temperature": "generator_temperature + 10e0",
-    "vibration_y": "vibration_y * 1.5e0", "active_power_kw": "active_power_kw * 0.9e0",
+    "wind_speed": "wind_speed * 1.2e0", "generator_temperature": "generator_temperature + 10e0",
+    "vibration_y": "vibration_y * 1.5e0", "power_output": "power_output * 0.9e0",
 }
+#: The newest tenth of the feature table is compared with all before it.
+_FRACTION = 0.9
 
 
 def _samples(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
-    baseline, current = halves(readings(spark, folder))
+    baseline, current = halves(feature_table(spark, folder), _FRACTION)
     return baseline, current.withColumns({c: F.expr(e.replace("e0", "D")) for c, e in _SHIFTS.items()})
 
 
 _SIDED = (
     "numbered as (select *, row_number() over (order by reading_ts, turbine_id) - 1 as position, count(*) over () as n from {source}), "
-    "sided as materialized (select *, position >= floor(n * 0.7e0) as cur from numbered)"
+    "sided as materialized (select *, position >= floor(n * {fraction!r}e0) as cur from numbered)"
 )
 _SHIFTED = "select cur, " + ", ".join(
-    f"case when cur then {_SHIFTS[c]} else {c} end as {c}" if c in _SHIFTS else c for c in FEATURES
+    f"cast(case when cur then {_SHIFTS[c]} else {c} end as double) as {c}" if c in _SHIFTS else f"cast({c} as double) as {c}" for c in FEATURES
 ) + " from sided"
+_UNPIVOTED = "unpivot ({wide}) on columns(* exclude (cur)) into name feature value v"
 
 
-def _compared(wide: str) -> str:
-    """Brute-force statistics of every column of `wide`, next to the side marker `cur`."""
-    return f"""longs as materialized (unpivot ({wide}) on columns(* exclude (cur)) into name feature value v),
+def _compared(longs: str) -> str:
+    """Brute-force statistics of each feature among rows of (feature, v, cur)."""
+    return f"""longs as materialized ({longs}),
 sizes as materialized (select feature, count(*) filter (where not cur) as nb, count(*) filter (where cur) as nc, avg(v) filter (where not cur) as mb,
   avg(v) filter (where cur) as mc, stddev_samp(v) filter (where not cur) as sb, stddev_samp(v) filter (where cur) as sc
   from longs group by feature),
@@ -47,8 +51,14 @@ cnt as materialized (select feature, v, count(*) filter (where not cur) as b, co
 ecdf as materialized (select feature, sum(b) over w as cb, sum(c) over w as cc from cnt window w as (partition by feature order by v)),
 ks as materialized (select feature, max(abs(cb / cast(nb as double) - cc / cast(nc as double))) as d from ecdf join sizes using (feature) group by feature),
 lam as (select feature, d, d * sqrt(cast(nb as double) * nc / (cast(nb as double) + nc)) as l from ks join sizes using (feature)),
-ksp as (select feature, d, case when l < 0.2e0 then 1e0 else least(1e0, greatest(0e0, 2 * (select sum(case when k % 2 = 1 then 1e0 else -1e0 end
-  * exp(-2e0 * k * k * l * l)) from range(1, 101) t(k)))) end as p from lam),
+small as materialized (select feature, least(nb, nc) as a, greatest(nb, nc) as b, cast(round(d * least(nb, nc) * greatest(nb, nc)) as bigint) as reach
+  from ks join sizes using (feature) where nb > 0 and nc > 0 and nb * nc <= {EXACT_CELLS}),
+walk(feature, a, b, reach, s, q) as (select feature, a, b, reach, cast(0 as bigint), list_transform(range(0, a + 1), lambda i: case when i * b >= reach then 1e0 else 0e0 end) from small
+  union all select feature, a, b, reach, s + 1, list_transform(range(0, a + 1), lambda i: case when s + 1 - i < 0 or s + 1 - i > b then q[i + 1]
+  when abs(i * b - (s + 1 - i) * a) >= reach then 1e0 else (q[i + 1] * (s + 1 - i) + coalesce(q[i], 0) * i) / (s + 1) end) from walk where s < a + b),
+exact as materialized (select feature, case when reach <= 0 then 1e0 else q[a + 1] end as p from walk where s = a + b),
+ksp as (select feature, d, coalesce(exact.p, case when l < 0.2e0 then 1e0 else least(1e0, greatest(0e0, 2 * (select sum(case when k % 2 = 1 then 1e0 else -1e0 end
+  * exp(-2e0 * k * k * l * l)) from range(1, 101) t(k)))) end) as p from lam left join exact using (feature)),
 ranked as materialized (select feature, list_sort(list(v)) as vs, count(*) as nb from longs where not cur group by feature),
 spots as materialized (select feature, vs, nb, k, (nb - 1) * (k / 10e0) as pos from (select *, unnest(range(0, 11)) as k from ranked)),
 around as materialized (select feature, k, pos - floor(pos) as t, vs[cast(floor(pos) as bigint) + 1] as lo,
@@ -68,32 +78,51 @@ drifted as (select feature, ks_statistic, ks_pvalue, psi_value, ks_pvalue < 0.05
   mb as train_mean, mc as prod_mean, sb as train_std, sc as prod_std from compared)"""
 
 
-_DATA = (_SIDED.format(source="readings"), _compared(_SHIFTED))
+_DATA = (*FEATURE_SQL, _SIDED.format(source="features", fraction=_FRACTION), _compared(_UNPIVOTED.format(wide=_SHIFTED)))
 _DRIFT_DOUBLES = ("ks_statistic", "ks_pvalue", "psi_value", "train_mean", "prod_mean", "train_std", "prod_std")
 
 
-@query("psi", over("readings", rounded_sql("select feature, psi_value from psis", ["psi_value"]), *_DATA))
+@query("psi", over("training", rounded_sql("select feature, psi_value from psis", ["psi_value"]), *_DATA))
 def psi(spark: SparkSession, folder: str) -> DataFrame:
     return rounded(drift.psi(*_samples(spark, folder), FEATURES), ["psi_value"])
 
 
-@query("ks_statistic", over("readings", rounded_sql("select feature, nb as n_base, nc as n_cur, d as ks_statistic from ksp join sizes using (feature)", ["ks_statistic"]), *_DATA))
+@query("ks_statistic", over("training", rounded_sql("select feature, nb as n_base, nc as n_cur, d as ks_statistic from ksp join sizes using (feature)", ["ks_statistic"]), *_DATA))
 def ks_statistic(spark: SparkSession, folder: str) -> DataFrame:
     tested = drift.ks_two_sample(*_samples(spark, folder), FEATURES)
     return rounded(tested.drop("ks_pvalue"), ["ks_statistic"])
 
 
-@query("ks_pvalue", over("readings", rounded_sql("select feature, p as ks_pvalue from ksp", ["ks_pvalue"]), *_DATA))
+@query("ks_pvalue", over("training", rounded_sql("select feature, p as ks_pvalue from ksp", ["ks_pvalue"]), *_DATA))
 def ks_pvalue(spark: SparkSession, folder: str) -> DataFrame:
     tested = drift.ks_two_sample(*_samples(spark, folder), FEATURES)
     return rounded(tested.select("feature", "ks_pvalue"), ["ks_pvalue"])
 
 
+# Each machine's own earlier and later readings: samples of some tens of rows, whose p-values are exact.
+@query(
+    "ks_per_machine",
+    over(
+        "readings",
+        rounded_sql("select feature as turbine_id, nb as n_base, nc as n_cur, d as ks_statistic, p as ks_pvalue from ksp join sizes using (feature) where nb > 0 and nc > 0", ["ks_statistic", "ks_pvalue"]),
+        _SIDED.format(source="readings", fraction=0.7),
+        _compared("select turbine_id as feature, generator_temperature as v, cur from sided where generator_temperature is not null"),
+    ),
+)
+def ks_per_machine(spark: SparkSession, folder: str) -> DataFrame:
+    sides = [
+        side.select(F.col("turbine_id").alias("feature"), F.col("generator_temperature").alias("value"), F.lit(current).alias("__cur"))
+        for side, current in zip(halves(readings(spark, folder)), (False, True))
+    ]
+    tested = drift.ks_of_samples(sides[0].unionByName(sides[1]).where("value is not null"))
+    return rounded(tested.withColumnRenamed("feature", "turbine_id"), ["ks_statistic", "ks_pvalue"])
+
+
 def _data_drift(spark: SparkSession, folder: str) -> DataFrame:
     return drift.data_drift(*_samples(spark, folder), FEATURES, as_of=AS_OF)
 
 
-@query("data_drift", over("readings", rounded_sql("select * from drifted", _DRIFT_DOUBLES), *_DATA))
+@query("data_drift", over("training", rounded_sql("select * from drifted", _DRIFT_DOUBLES), *_DATA))
 def data_drift(spark: SparkSession, folder: str) -> DataFrame:
     return rounded(_data_drift(spark, folder).drop("check_timestamp"), _DRIFT_DOUBLES)
 
@@ -102,7 +131,7 @@ _SUMMARY = """select count(*) as features_monitored, count(*) filter (where drif
  count(*) filter (where drift_severity = 'CRITICAL') as features_critical from drifted"""
 
 
-@query("data_drift_summary", over("readings", _SUMMARY, *_DATA))
+@query("data_drift_summary", over("training", _SUMMARY, *_DATA))
 def data_drift_summary(spark: SparkSession, folder: str) -> DataFrame:
     return drift.data_drift_summary(_data_drift(spark, folder))
 
@@ -110,7 +139,7 @@ def data_drift_summary(spark: SparkSession, folder: str) -> DataFrame:
 @query(
     "top_drifted",
     over(
-        "readings",
+        "training",
         rounded_sql("select feature, psi_value, drift_severity from drifted where drift_detected order by psi_value desc, feature limit 10", ["psi_value"]),
         *_DATA,
     ),
@@ -122,7 +151,7 @@ def top_drifted(spark: SparkSession, folder: str) -> DataFrame:
 # --- concept ----------------------------------------------------------------------------
 
 # p-value at one degree of freedom: erfc(sqrt(x / 2)) by its Taylor series, term by term.
-_CONCEPT = f"""{_SIDED.format(source='training')},
+_CONCEPT = f"""{_SIDED.format(source='training', fraction=0.7)},
 cells as (select count(*) filter (where not cur and {LABEL} = 1) as b1, count(*) filter (where not cur and {LABEL} = 0) as b0,
   count(*) filter (where cur and {LABEL} = 1) as c1, count(*) filter (where cur and {LABEL} = 0) as c0 from sided),
 grid as (select unnest([b1, b0, c1, c0]) as o, unnest([(b1 + c1) * (b1 + b0), (b0 + c0) * (b1 + b0), (b1 + c1) * (c1 + c0), (b0 + c0) * (c1 + c0)])
@@ -153,7 +182,7 @@ def concept_drift(spark: SparkSession, folder: str) -> DataFrame:
 
 # --- predictions and model --------------------------------------------------------------
 
-_PREDICTION = (_SIDED.format(source="scored"), _compared("select cur, failure_probability from sided"))
+_PREDICTION = (_SIDED.format(source="scored", fraction=0.7), _compared(_UNPIVOTED.format(wide="select cur, failure_probability from sided")))
 _PREDICTION_DOUBLES = (
     "baseline_mean_score", "current_mean_score", "baseline_std_score", "current_std_score", "mean_score_shift",
     "ks_statistic", "ks_pvalue", "psi_value",
@@ -188,7 +217,7 @@ def _side(name: str, condition: str) -> str:
 
 
 _MODEL = (
-    _SIDED.format(source="scored"),
+    _SIDED.format(source="scored", fraction=0.7),
     _side("before", "not cur"),
     _side("later", "cur"),
     "both_sides as (select b.p as baseline_precision, b.r as baseline_recall, b.f as baseline_f1, l.p as current_precision, l.r as current_recall, "
@@ -211,7 +240,7 @@ def _isolated(stage: str, body: str, *tables: str) -> str:
     return f"({over(stage, body, *tables)})"
 
 
-_DATA_COUNTS = _isolated("readings", _SUMMARY, *_DATA)
+_DATA_COUNTS = _isolated("training", _SUMMARY, *_DATA)
 _CONCEPT_HIT = _isolated("training", "select concept_drift_detected from concept_check", _CONCEPT)
 _PREDICTION_HIT = _isolated(
     "scored", "select ks_pvalue < 0.05e0 or psi_value > 0.1e0 or abs(mb - mc) > 0.1e0 as hit from compared", *_PREDICTION

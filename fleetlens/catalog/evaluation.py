@@ -8,8 +8,10 @@ from pyspark.sql import functions as F
 from fleetlens.catalog import query
 from fleetlens.catalog.data import AS_OF, LABEL, model_rows, scored, training
 from fleetlens.catalog.sql import over, rounded, rounded_sql
+from fleetlens.config import TRAINING_COLUMNS
 from fleetlens.functions.domain import risk_level
 from fleetlens.operators import evaluate, kpi, train
+from fleetlens.operators.ordering import epoch_micros
 from fleetlens.sources.readings import KEYS
 
 _SPLIT = """split_rows as (select *, case when position < floor(n * 0.7e0) then 'train' when position < floor(n * 0.85e0)
@@ -52,8 +54,26 @@ def class_weights(spark: SparkSession, folder: str) -> DataFrame:
     return rounded(evaluate.class_weights(training(spark, folder), LABEL), ["balanced_weight", "scale_pos_weight"])
 
 
-_SCALED = ("wind_speed", "gearbox_temperature", "vibration_x", "power_output")
-_Z = [f"{c}_z" for c in _SCALED]
+# The same instants with a time zone, moved so that clocks are set back among them (2023-10-29 in Europe).
+_ZONED_DAYS = 80
+
+
+@query(
+    "temporal_split_zoned",
+    over(
+        "training",
+        f"select turbine_id, epoch_us(reading_ts) - {_ZONED_DAYS * 86_400_000_000} as micros, split from split_rows",
+        _SPLIT,
+    ),
+)
+def temporal_split_zoned(spark: SparkSession, folder: str) -> DataFrame:
+    rows = training(spark, folder)
+    moved = epoch_micros(rows, KEYS.time) - _ZONED_DAYS * 86_400_000_000
+    zoned = rows.select("turbine_id", F.timestamp_micros(moved).alias(KEYS.time))
+    return evaluate.temporal_split(zoned, KEYS).select("turbine_id", F.unix_micros(KEYS.time).alias("micros"), "split")
+
+
+_Z = [f"{c}_z" for c in TRAINING_COLUMNS]
 
 
 @query(
@@ -64,8 +84,8 @@ _Z = [f"{c}_z" for c in _SCALED]
             "select turbine_id, reading_ts, "
             + ", ".join(
                 f"({c} - (select avg({c}) from split_rows where split = 'train')) / "
-                f"(select stddev_pop({c}) from split_rows where split = 'train') as {c}_z"
-                for c in _SCALED
+                f"coalesce((select nullif(stddev_pop({c}), 0) from split_rows where split = 'train'), 1e0) as {c}_z"
+                for c in TRAINING_COLUMNS
             )
             + " from split_rows",
             _Z,
@@ -75,7 +95,7 @@ _Z = [f"{c}_z" for c in _SCALED]
 )
 def standardise(spark: SparkSession, folder: str) -> DataFrame:
     split = evaluate.temporal_split(training(spark, folder), KEYS)
-    scaled = evaluate.standardise(split, _SCALED, split.where("split = 'train'"))
+    scaled = evaluate.standardise(split, TRAINING_COLUMNS, split.where("split = 'train'"))
     return rounded(scaled.select("turbine_id", "reading_ts", *_Z), _Z)
 
 

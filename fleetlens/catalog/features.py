@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from fleetlens.catalog import query
-from fleetlens.catalog.data import training
+from fleetlens.catalog.data import CHUNK, training
 from fleetlens.catalog.sql import over, rounded, rounded_sql
 from fleetlens.operators import features
 from fleetlens.sources.readings import KEYS, readings
@@ -60,29 +60,29 @@ def _sql(columns: list[str], source: str, *tables: str, extra: str = "") -> str:
 
 @query("rolling_means", _sql(_MEANS, "rolled", _BASE, _ROWS))
 def rolling_means(spark: SparkSession, folder: str) -> DataFrame:
-    return rounded(features.rolling_features(training(spark, folder), KEYS, "avg").select(*_ID, *_MEANS), _MEANS)
+    return rounded(features.rolling_features(training(spark, folder), KEYS, "avg", chunk_seconds=CHUNK).select(*_ID, *_MEANS), _MEANS)
 
 
 @query("rolling_stds", _sql(_STDS, "rolled", _BASE, _ROWS))
 def rolling_stds(spark: SparkSession, folder: str) -> DataFrame:
-    return rounded(features.rolling_features(training(spark, folder), KEYS, "stddev").select(*_ID, *_STDS), _STDS)
+    return rounded(features.rolling_features(training(spark, folder), KEYS, "stddev", chunk_seconds=CHUNK).select(*_ID, *_STDS), _STDS)
 
 
 # Days instead of hours: the feed has about two readings per machine and day.
 @query("rolling_time", _sql(_MEANS + _STDS, "rolled", _BASE, _TIME))
 def rolling_time(spark: SparkSession, folder: str) -> DataFrame:
-    rolled = features.time_rolling(training(spark, folder), KEYS, short_seconds=86400, long_seconds=604800)
+    rolled = features.time_rolling(training(spark, folder), KEYS, short_seconds=86400, long_seconds=604800, pane_seconds=43200)
     return rounded(rolled.select(*_ID, *_MEANS, *_STDS), _MEANS + _STDS)
 
 
 @query("lag_features", _sql(_LAGS, "lagged", _BASE, _ROWS, _LAGGED))
 def lag_features(spark: SparkSession, folder: str) -> DataFrame:
-    return rounded(features.lag_features(training(spark, folder), KEYS).select(*_ID, *_LAGS), _LAGS)
+    return rounded(features.lag_features(training(spark, folder), KEYS, chunk_seconds=CHUNK).select(*_ID, *_LAGS), _LAGS)
 
 
 @query("delta_features", _sql(_DELTAS, "lagged", _BASE, _ROWS, _LAGGED, extra=_DELTA_SQL))
 def delta_features(spark: SparkSession, folder: str) -> DataFrame:
-    lagged = features.lag_features(training(spark, folder), KEYS)
+    lagged = features.lag_features(training(spark, folder), KEYS, chunk_seconds=CHUNK)
     return rounded(features.delta_features(lagged).select(*_ID, *_DELTAS), _DELTAS)
 
 
@@ -93,21 +93,19 @@ def domain_features(spark: SparkSession, folder: str) -> DataFrame:
 
 @query("temp_anomaly", _sql(["temp_anomaly_score"], "rolled", _BASE, _ROWS, extra=_ANOMALY_SQL))
 def temp_anomaly(spark: SparkSession, folder: str) -> DataFrame:
-    built = features.build_features(training(spark, folder), KEYS)
+    built = features.build_features(training(spark, folder), KEYS, CHUNK)
     return rounded(built.select(*_ID, "temp_anomaly_score"), ["temp_anomaly_score"])
 
 
 _FILLED = ", ".join(f"coalesce({c}, 0e0) as {c}" for c in _LAGS + _DELTAS)
 _BUILT = f"built as (select * exclude (sec), {_DELTA_SQL}, {_DOMAIN_SQL}, {_ANOMALY_SQL} from lagged)"
-_ENGINEERED = _MEANS + _STDS + _LAGS + _DELTAS + _DOMAIN + ["temp_anomaly_score"]
+ENGINEERED = _MEANS + _STDS + _LAGS + _DELTAS + _DOMAIN + ["temp_anomaly_score"]
+FEATURES = (_BASE, _ROWS, _LAGGED, _BUILT, f"features as ({rounded_sql(f'select * replace ({_FILLED}) from built', ENGINEERED)})")
 
 
-@query(
-    "feature_table",
-    over("training", rounded_sql(f"select * replace ({_FILLED}) from built", _ENGINEERED), _BASE, _ROWS, _LAGGED, _BUILT),
-)
+@query("feature_table", over("training", "select * from features", *FEATURES))
 def feature_table(spark: SparkSession, folder: str) -> DataFrame:
-    return rounded(features.build_features(training(spark, folder), KEYS), _ENGINEERED)
+    return rounded(features.build_features(training(spark, folder), KEYS, CHUNK), ENGINEERED)
 
 
 @query(
@@ -122,5 +120,5 @@ def feature_table(spark: SparkSession, folder: str) -> DataFrame:
     ),
 )
 def operating_hours(spark: SparkSession, folder: str) -> DataFrame:
-    hours = features.cumulative_hours(readings(spark, folder), KEYS)
+    hours = features.cumulative_hours(readings(spark, folder), KEYS, chunk_seconds=CHUNK)
     return rounded(hours.select("event_id", "turbine_id", "reading_ts", "operating_hours"), ["operating_hours"])

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fleetlens.catalog import query
-from fleetlens.catalog.data import LABEL, silver, training
+from fleetlens.catalog.data import CHUNK, LABEL, silver, training
 from fleetlens.catalog.sql import over, rounded, rounded_sql
 from fleetlens.functions import domain
 from fleetlens.operators import episodes, kpi, labels
@@ -96,7 +96,7 @@ _BY_LEAD = over(
 
 @query("failure_labels", _BY_LEAD)
 def failure_labels(spark: SparkSession, folder: str) -> DataFrame:
-    marked = labels.label_by_next_event(silver(spark, folder), KEYS)
+    marked = labels.label_by_next_event(silver(spark, folder), KEYS, chunk_seconds=CHUNK)
     return marked.where("failure_flag = 0").select("event_id", "turbine_id", "reading_ts", LABEL)
 
 
@@ -119,7 +119,7 @@ def failure_labels_join(spark: SparkSession, folder: str) -> DataFrame:
     ),
 )
 def time_to_failure(spark: SparkSession, folder: str) -> DataFrame:
-    marked = labels.label_by_next_event(silver(spark, folder), KEYS).where("failure_flag = 0")
+    marked = labels.label_by_next_event(silver(spark, folder), KEYS, chunk_seconds=CHUNK).where("failure_flag = 0")
     return rounded(marked.select("event_id", "turbine_id", "reading_ts", "failure_time", "lead_hours"), ["lead_hours"])
 
 
@@ -161,13 +161,13 @@ jobs as (select printf('M-%s-%05d', turbine_id, episode) as maintenance_id, turb
 
 @query("failure_episodes", over("readings", rounded_sql("select * from failures", ["downtime_hours"]), _episodes_sql(10)))
 def failure_episodes(spark: SparkSession, folder: str) -> DataFrame:
-    return rounded(episodes.failure_episodes(readings(spark, folder), KEYS), ["downtime_hours"])
+    return rounded(episodes.failure_episodes(readings(spark, folder), KEYS, chunk_seconds=CHUNK), ["downtime_hours"])
 
 
 @query("maintenance_episodes", over("readings", rounded_sql("select * from jobs", ["downtime_hours"]), _episodes_sql(10)))
 def maintenance_episodes(spark: SparkSession, folder: str) -> DataFrame:
     return rounded(
-        episodes.maintenance_episodes(episodes.failure_episodes(readings(spark, folder), KEYS), KEYS), ["downtime_hours"]
+        episodes.maintenance_episodes(episodes.failure_episodes(readings(spark, folder), KEYS, chunk_seconds=CHUNK), KEYS), ["downtime_hours"]
     )
 
 
@@ -187,14 +187,14 @@ _DAY = 1440
 )
 def maintenance_interval_join(spark: SparkSession, folder: str) -> DataFrame:
     feed = readings(spark, folder)
-    jobs = episodes.maintenance_episodes(episodes.failure_episodes(feed, KEYS, interval_minutes=_DAY), KEYS)
+    jobs = episodes.maintenance_episodes(episodes.failure_episodes(feed, KEYS, interval_minutes=_DAY, chunk_seconds=CHUNK), KEYS)
     seconds = (F.col("downtime_hours") * 3600).cast("decimal(18,6)")
     spans = jobs.select(
         "turbine_id",
         F.col("maintenance_timestamp").alias("start"),
         (F.col("maintenance_timestamp") + F.make_dt_interval(secs=seconds)).alias("end"),
     )
-    return episodes.label_intervals(feed, spans, KEYS).select("event_id", "turbine_id", "reading_ts", "in_maintenance")
+    return episodes.label_intervals(feed, spans, KEYS, chunk_seconds=CHUNK).select("event_id", "turbine_id", "reading_ts", "in_maintenance")
 
 
 # --- row formulas -----------------------------------------------------------------------

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -12,7 +14,8 @@ from fleetlens.catalog.sql import FLAGS, over
 from fleetlens.config import raw_schema
 from fleetlens.functions.shaping import add_aliases, conform, stamp_ingestion
 from fleetlens.operators.dedup import dedup_latest
-from fleetlens.operators.ingest import merge_new_only
+from fleetlens.operators.ingest import merge_new_only, upsert_new_only
+from fleetlens.session import shared_folder
 from fleetlens.sources.readings import KEYS, MAPPING, raw_readings, readings
 from fleetlens.sources.tables import changes_since, read_table
 
@@ -101,6 +104,30 @@ def bronze_rerun_noop(spark: SparkSession, folder: str) -> DataFrame:
     return again.groupBy("batch_id").agg(F.count(F.lit(1)).alias("rows"))
 
 
+_LOST = 40  # every so many readings arrive once more without their machine
+
+
+@query(
+    "bronze_upsert",
+    over(
+        "readings",
+        "select * from merged union all select event_id, cast(null as varchar), reading_ts, wind_speed, ingestion_date, 'batch-2' from merged "
+        f"where cast(event_id as bigint) % {_LOST} = 0 and reading_ts >= timestamp '{_CUT_2}'",
+        _MERGED,
+    ),
+)
+def bronze_upsert(spark: SparkSession, folder: str) -> DataFrame:
+    """Three deliveries into a stored table, the last one a repetition; some readings name no machine."""
+    path = f"{shared_folder(spark)}/bronze-{uuid.uuid4().hex}"
+    feed = readings(spark, folder)
+    first = feed.where(F.col("reading_ts") < F.lit(_CUT_1).cast("timestamp_ntz"))
+    second = feed.where(F.col("reading_ts") >= F.lit(_CUT_2).cast("timestamp_ntz"))
+    lost = second.where(F.col("event_id").cast("long") % _LOST == 0).withColumn("turbine_id", F.lit(None).cast("string"))
+    for part, name in ((first, "batch-1"), (second.unionByName(lost), "batch-2"), (second.unionByName(lost), "batch-3")):
+        upsert_new_only(path, stamp_ingestion(part, name, "events", AS_OF), KEYS.reading, KEYS.time)
+    return read_table(spark, path).select(*_SHOWN)
+
+
 @query("bronze_changes", over("readings", "select * from merged where batch_id = 'batch-2'", _MERGED))
 def bronze_changes(spark: SparkSession, folder: str) -> DataFrame:
     first, second = _batches(spark, folder)

@@ -2,15 +2,21 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fleetlens.catalog import query
-from fleetlens.catalog.data import AS_OF, LABEL, training
+from fleetlens.catalog.data import AS_OF, CHUNK, LABEL, training
+from fleetlens.config import FolderLayout
 from fleetlens.functions.shaping import feature_columns
 from fleetlens.operators import evaluate, features, train
+from fleetlens.plans import learning
+from fleetlens.session import cut_lineage, shared_folder
 from fleetlens.sources.readings import KEYS
+from fleetlens.sources.tables import read_table, write_overwrite
 
 IDS = ("turbine_id", "farm_id", "reading_ts")
 
@@ -18,9 +24,9 @@ CANDIDATES = {c.name: c for c in train.CANDIDATES}
 
 
 def _split(spark: SparkSession, folder: str) -> tuple[DataFrame, list[str]]:
-    """Features with their split. A fit reads its input many times, so it is cached."""
-    table = features.build_features(training(spark, folder), KEYS)
-    split = evaluate.temporal_split(table, KEYS).persist()
+    """Features with their split. A fit reads its input many times, so it is stored."""
+    table = cut_lineage(features.build_features(training(spark, folder), KEYS, CHUNK))
+    split = evaluate.temporal_split(table, KEYS)
     return split, feature_columns(split, [*IDS, LABEL, "split"])
 
 
@@ -72,6 +78,30 @@ def batch_scores(spark: SparkSession, folder: str) -> DataFrame:
     return train.score(split.where("split = 'test'"), fitted, IDS, names, run_id="logistic_regression", as_of=AS_OF)
 
 
+def _champion_scores(spark: SparkSession, folder: str, gate: float) -> DataFrame:
+    """From stored features to stored comparison, promoted model and scores of the test part."""
+    root = f"{shared_folder(spark)}/learning-{uuid.uuid4().hex}"
+    layout = FolderLayout(root=root)
+    write_overwrite(features.build_features(training(spark, folder), KEYS, CHUNK), layout.features)
+    stored = read_table(spark, layout.features)
+    learning.train_and_compare(spark, f"{root}/models", layout, KEYS, train.CANDIDATES[:1], min_recall=gate, as_of=AS_OF)
+    test = evaluate.temporal_split(stored, KEYS).where("split = 'test'").drop("split")
+    scores = learning.champion_scores(spark, test, f"{root}/models", layout, KEYS, as_of=AS_OF)
+    return scores.drop("model_run_id")  # a new one in every run
+
+
+@query("champion_scores")
+def champion_scores(spark: SparkSession, folder: str) -> DataFrame:
+    """Scores by the model that a low gate promotes."""
+    return _champion_scores(spark, folder, 0.1)
+
+
+@query("champion_scores_none")
+def champion_scores_none(spark: SparkSession, folder: str) -> DataFrame:
+    """A gate that no model reaches: rows stay unscored."""
+    return _champion_scores(spark, folder, 1.01)
+
+
 @query("ml_pipeline")
 def ml_pipeline(spark: SparkSession, folder: str) -> DataFrame:
     """Four candidates on validation data, the champion again on test data."""

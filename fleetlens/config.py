@@ -42,6 +42,9 @@ RAW_COLUMNS = (
     "alarm_flag alarm_code alarm_severity failure_flag failure_type operating_hours health_status"
 ).split()
 
+#: Day of a reading, by which the raw table is partitioned.
+EVENT_DATE = "event_date"
+
 INGESTION_SCHEMA = T.StructType(
     [
         T.StructField("ingestion_timestamp", T.TimestampType()),
@@ -242,3 +245,13 @@ class TableLayout:
 
     def monitor(self, check: str) -> str:
         return self.name(self.monitoring, check)
+
+
+@dataclass(frozen=True)
+class FolderLayout(TableLayout):
+    """The same tables as parquet folders under `root`, for sessions without a catalog."""
+
+    root: str = ""
+
+    def name(self, schema: str, table: str) -> str:
+        return f"{self.root}/{schema}/{table}"

@@ -17,8 +17,7 @@ from pyspark.sql import functions as F
 
 from fleetlens.functions.tests_of_fit import chi2_pvalue, ks_pvalue
 from fleetlens.operators.evaluate import binary_metrics, now
-from fleetlens.operators.ordering import MAX_ROWS, find_splits, running
-from fleetlens.session import cut_lineage
+from fleetlens.operators.ordering import drop_chunk, range_chunks, running
 
 BINS = 10
 EMPTY_SHARE = 0.0001
@@ -48,40 +47,6 @@ def value_counts(samples: DataFrame) -> DataFrame:
     )
 
 
-def moments(counts: DataFrame) -> DataFrame:
-    """Size, mean and sample deviation of both sides per feature, from the value counts.
-
-    Deviations are taken from the mean found first, so nothing cancels out. Features that are
-    empty on a side are dropped.
-    """
-    totals = (
-        counts.groupBy("feature")
-        .agg(
-            F.sum("nb").alias("n_base"), F.sum("nc").alias("n_cur"),
-            F.sum(F.col("value") * F.col("nb")).alias("__sb"), F.sum(F.col("value") * F.col("nc")).alias("__sc"),
-        )
-        .where((F.col("n_base") > 0) & (F.col("n_cur") > 0))
-        .select(
-            "feature", "n_base", "n_cur",
-            (F.col("__sb") / F.col("n_base")).alias("mean_base"), (F.col("__sc") / F.col("n_cur")).alias("mean_cur"),
-        )
-    )
-
-    def spread(n: str, mean: str) -> Column:
-        distance = F.col("value") - F.col(mean)
-        return F.sum(F.col(n) * distance * distance)
-
-    def deviation(squares: str, n: str) -> Column:
-        return F.when(F.col(n) > 1, F.sqrt(F.col(squares) / (F.col(n) - 1)))
-
-    squares = counts.join(totals, "feature").groupBy("feature").agg(
-        spread("nb", "mean_base").alias("__qb"), spread("nc", "mean_cur").alias("__qc")
-    )
-    return totals.join(squares, "feature").select(
-        *totals.columns, deviation("__qb", "n_base").alias("std_base"), deviation("__qc", "n_cur").alias("std_cur")
-    )
-
-
 # --- KS and PSI -------------------------------------------------------------------------
 
 
@@ -118,70 +83,93 @@ def _percentiles(ordered: DataFrame, bins: int) -> DataFrame:
     )
 
 
-def _psi(counts: DataFrame, edges: DataFrame, sizes: DataFrame, bins: int) -> DataFrame:
+def _psi(ordered: DataFrame, edges: DataFrame, bins: int) -> DataFrame:
     """Bins are left-closed, the last closed on both ends; values outside count in the size only.
 
-    A bin empty on both sides adds nothing, so only occupied bins need a row.
+    A bin empty on both sides adds nothing, so only occupied bins need a row. The edges, one row per
+    compared column, are broadcast: their number is that of columns, not of rows.
     """
     passed = " + ".join(f"cast(value >= __edges[{i}] as int)" for i in range(bins + 1))
     index = F.expr(f"if(value = __edges[{bins}], {bins - 1}, {passed} - 1)")
     occupied = (
-        counts.join(edges, "feature").where(f"value between __edges[0] and __edges[{bins}]")
-        .groupBy("feature", index.alias("__bin")).agg(F.sum("nb").alias("__e"), F.sum("nc").alias("__a"))
+        ordered.join(F.broadcast(edges), "feature").where(f"value between __edges[0] and __edges[{bins}]")
+        .groupBy("feature", index.alias("__bin"))
+        .agg(F.sum("nb").alias("__e"), F.sum("nc").alias("__a"), F.max("n_base").alias("n_base"), F.max("n_cur").alias("n_cur"))
     )
 
     def share(name: str, size: str) -> Column:
         return F.when(F.col(name) == 0, EMPTY_SHARE).otherwise(F.col(name) / F.col(size))
 
     expected, actual = share("__e", "n_base"), share("__a", "n_cur")
-    return occupied.join(sizes.select("feature", "n_base", "n_cur"), "feature").groupBy("feature").agg(
-        F.sum((actual - expected) * F.log(actual / expected)).alias("psi_value")
-    )
+    return occupied.groupBy("feature").agg(F.sum((actual - expected) * F.log(actual / expected)).alias("psi_value"))
 
 
-def compare_samples(samples: DataFrame, bins: int = BINS, max_rows: int = MAX_ROWS) -> DataFrame:
-    """KS distance, its p-value, PSI and moments for every feature present on both sides.
+def ordered_counts(samples: DataFrame) -> DataFrame:
+    """Rows per distinct (feature, value), in both samples (nb, nc) and up to the value (cb, cc).
 
-    PSI compares the shares in the baseline's percentile bins; an empty share becomes 1e-4.
+    Counts are range partitioned by (feature, value) and stored; each row also knows its feature's
+    sizes and sums, which come with what is carried between partitions. So no feature is a key that
+    rows meet by, however few features there are. Features empty on a side are left out.
     """
-    counts = cut_lineage(value_counts(samples))  # five readers below
-    sizes = moments(counts)
-    plan = find_splits(counts, ["feature"], "value", max_rows=max_rows)
-    ordered = running(counts, plan, {"cb": ("sum", "nb"), "cc": ("sum", "nc")}).join(
-        sizes.select("feature", "n_base", "n_cur"), "feature"
+    counts = value_counts(samples).withColumns({"__vb": F.col("value") * F.col("nb"), "__vc": F.col("value") * F.col("nc")})
+    whole = {"n_base": "nb", "n_cur": "nc", "__sb": "__vb", "__sc": "__vc"}
+    ordered = running(
+        range_chunks(counts, ["feature"], "value"), "value", {"cb": ("sum", "nb"), "cc": ("sum", "nc")},
+        whole={o: ("sum", c) for o, c in whole.items()},
     )
+    return drop_chunk(ordered).drop("__vb", "__vc").where((F.col("n_base") > 0) & (F.col("n_cur") > 0))
+
+
+def distances(ordered: DataFrame) -> DataFrame:
+    """Size, mean and sample deviation of both sides, and the KS distance, per feature.
+
+    Deviations are taken from the mean known beforehand, so nothing cancels out.
+    """
+    means = {"mean_base": F.col("__sb") / F.col("n_base"), "mean_cur": F.col("__sc") / F.col("n_cur")}
     gap = F.abs(F.col("cb") / F.col("n_base") - F.col("cc") / F.col("n_cur"))
-    distances = ordered.groupBy("feature").agg(F.max(gap).alias("ks_statistic"))
-    stability = _psi(counts, _percentiles(ordered, bins), sizes, bins)
-    return sizes.join(distances, "feature").join(stability, "feature").withColumn(
-        "ks_pvalue", ks_pvalue(F.col("ks_statistic"), F.col("n_base"), F.col("n_cur"))
+
+    def squares(n: str, mean: str) -> Column:
+        return F.sum(F.col(n) * (F.col("value") - F.col(mean)) * (F.col("value") - F.col(mean)))
+
+    def deviation(total: str, n: str) -> Column:
+        return F.when(F.col(n) > 1, F.sqrt(F.col(total) / (F.col(n) - 1)))
+
+    known = ["n_base", "n_cur", "mean_base", "mean_cur"]
+    found = ordered.withColumns(means).groupBy("feature").agg(
+        *[F.max(c).alias(c) for c in known], squares("nb", "mean_base").alias("__qb"), squares("nc", "mean_cur").alias("__qc"),
+        F.max(gap).alias("ks_statistic"),
+    )
+    return found.select(
+        "feature", *known, deviation("__qb", "n_base").alias("std_base"), deviation("__qc", "n_cur").alias("std_cur"), "ks_statistic",
+        ks_pvalue(F.col("ks_statistic"), F.col("n_base"), F.col("n_cur")).alias("ks_pvalue"),
     )
 
 
-def psi(baseline: DataFrame, current: DataFrame, columns: Sequence[str], bins: int = BINS, max_rows: int = MAX_ROWS) -> DataFrame:
+def compare_samples(samples: DataFrame, bins: int = BINS) -> DataFrame:
+    """KS distance, its p-value, PSI and moments for every feature present on both sides.
+
+    PSI compares the shares in the baseline's percentile bins; an empty share becomes 1e-4.
+    """
+    ordered = ordered_counts(samples)
+    return distances(ordered).join(_psi(ordered, _percentiles(ordered, bins), bins), "feature")
+
+
+def psi(baseline: DataFrame, current: DataFrame, columns: Sequence[str], bins: int = BINS) -> DataFrame:
     """PSI per feature; 0 for a feature that is empty on either side."""
-    measured = compare_samples(two_samples(baseline, current, columns), bins, max_rows).select("feature", "psi_value")
+    measured = compare_samples(two_samples(baseline, current, columns), bins).select("feature", "psi_value")
     return _all_features(baseline, columns).join(measured, "feature", "left").select(
         _name(columns).alias("feature"), F.coalesce("psi_value", F.lit(0.0)).alias("psi_value")
     )
 
 
-def ks_two_sample(baseline: DataFrame, current: DataFrame, columns: Sequence[str], max_rows: int = MAX_ROWS) -> DataFrame:
-    """Two-sample KS distance per feature, with the asymptotic p-value."""
-    samples = two_samples(baseline, current, columns)
-    counts = value_counts(samples)
-    sizes = counts.groupBy("feature").agg(F.sum("nb").alias("n_base"), F.sum("nc").alias("n_cur"))
-    plan = find_splits(samples, ["feature"], "value", max_rows=max_rows)
-    gap = F.abs(F.col("cb") / F.col("n_base") - F.col("cc") / F.col("n_cur"))
-    return (
-        running(counts, plan, {"cb": ("sum", "nb"), "cc": ("sum", "nc")})
-        .join(sizes.where((F.col("n_base") > 0) & (F.col("n_cur") > 0)), "feature")
-        .groupBy("feature", "n_base", "n_cur").agg(F.max(gap).alias("ks_statistic"))
-        .select(
-            _name(columns).alias("feature"), "n_base", "n_cur", "ks_statistic",
-            ks_pvalue(F.col("ks_statistic"), F.col("n_base"), F.col("n_cur")).alias("ks_pvalue"),
-        )
-    )
+def ks_of_samples(samples: DataFrame) -> DataFrame:
+    """Two-sample KS distance and p-value for each value of `feature` in (feature, value, __cur) rows."""
+    return distances(ordered_counts(samples)).select("feature", "n_base", "n_cur", "ks_statistic", "ks_pvalue")
+
+
+def ks_two_sample(baseline: DataFrame, current: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Two-sample KS distance per feature, with its p-value."""
+    return ks_of_samples(two_samples(baseline, current, columns)).withColumn("feature", _name(columns))
 
 
 def _name(columns: Sequence[str]) -> Column:
@@ -202,12 +190,11 @@ def data_drift(
     threshold_psi: float = 0.2,
     threshold_ks: float = 0.05,
     as_of: datetime | None = None,
-    max_rows: int = MAX_ROWS,
 ) -> DataFrame:
     """One row per feature. Columns absent from a side, or empty on one, are left out."""
     shared = [c for c in columns if c in baseline.columns and c in current.columns]
     far, rare = F.col("psi_value") > threshold_psi, F.col("ks_pvalue") < threshold_ks
-    return compare_samples(two_samples(baseline, current, shared), BINS, max_rows).select(
+    return compare_samples(two_samples(baseline, current, shared)).select(
         _name(shared).alias("feature"),
         "ks_statistic",
         "ks_pvalue",
@@ -293,11 +280,10 @@ def concept_drift(
 
 
 def prediction_drift(
-    baseline: DataFrame, current: DataFrame, score: str, threshold: float = 0.1, as_of: datetime | None = None,
-    max_rows: int = MAX_ROWS,
+    baseline: DataFrame, current: DataFrame, score: str, threshold: float = 0.1, as_of: datetime | None = None
 ) -> DataFrame:
     """Shift of the score distribution: means, KS and PSI in one row."""
-    compared = compare_samples(two_samples(baseline, current, [score]), BINS, max_rows)
+    compared = compare_samples(two_samples(baseline, current, [score]))
     shift = F.abs(F.col("mean_base") - F.col("mean_cur"))
     psi_value = F.col("psi_value")
     return compared.select(

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from fleetlens.config import Keys
-from fleetlens.operators.ordering import CHUNK, HALO, Splits, find_splits, halo_rows, running
+from fleetlens.operators.ordering import CHUNK, CHUNK_SECONDS, GROUP, PART, drop_chunk, running, time_chunks
 
 
 def failure_episodes(
@@ -15,26 +15,30 @@ def failure_episodes(
     event_flag: str = "failure_flag",
     event_type: str = "failure_type",
     interval_minutes: float = 10.0,
-    splits: Splits | None = None,
+    chunk_seconds: int = CHUNK_SECONDS,
 ) -> DataFrame:
     """One row per run of consecutive failing readings of a machine.
 
-    A run starts where the previous reading was fine; a running count of starts numbers the
-    runs. Only failing readings and the one that ends a run take part in the count.
+    Runs are found per chunk and joined where one goes on: a chunk's summary is the flag it ends
+    with and the number of runs that start in it. Scanned over a machine's chunks, summaries tell each
+    chunk whether a run is open when it begins and how many came before; a run's parts then meet in
+    a grouping. Only failing readings and the one that ends a run leave their chunk.
     """
-    plan = splits or find_splits(df, [keys.entity], keys.time)
     narrow = df.select(keys.entity, keys.site, keys.time, F.coalesce(event_flag, F.lit(0)).alias("__on"), F.col(event_type).alias("__type"))
-    framed = halo_rows(narrow, plan, 1)
-    before = F.lag("__on", 1, 0).over(Window.partitionBy(*plan.partition).orderBy(keys.time))
+    chunked = time_chunks(narrow, [keys.entity], keys.time, chunk_seconds)
+    inside = F.lag("__on").over(Window.partitionBy(*PART).orderBy(keys.time))
+    last = F.max_by("__on", F.struct(keys.time))
+    open_before = F.lag("__last").over(Window.partitionBy(GROUP).orderBy(CHUNK))
+    carried = chunked.groupBy(*PART).agg(last.alias("__last")).select(*PART, open_before.alias("__open"))
     edges = (
-        framed.withColumn("__before", before)
-        .where(~F.col(HALO) & ((F.col("__on") == 1) | (F.col("__before") == 1)))
+        chunked.withColumn("__inside", inside).where((F.col("__on") == 1) | (F.col("__inside") == 1) | F.col("__inside").isNull())
+        .join(carried, list(PART)).withColumn("__before", F.coalesce("__inside", "__open", F.lit(0)))
+        .where((F.col("__on") == 1) | (F.col("__before") == 1))
         .withColumn("__starts", ((F.col("__on") == 1) & (F.col("__before") == 0)).cast("long"))
-        .drop(HALO)
     )
     failing = F.col("__on") == 1
     runs = (
-        running(edges, plan, {"episode": ("sum", "__starts")})
+        running(edges, keys.time, {"episode": ("sum", "__starts")})
         .groupBy(keys.entity, "episode")
         .agg(
             F.min_by(keys.site, F.when(failing, F.col(keys.time))).alias(keys.site),
@@ -75,7 +79,7 @@ def label_intervals(
     start: str = "start",
     end: str = "end",
     out: str = "in_maintenance",
-    splits: Splits | None = None,
+    chunk_seconds: int = CHUNK_SECONDS,
 ) -> DataFrame:
     """1 for readings inside any closed interval of their machine; an interval without end stays open.
 
@@ -95,9 +99,7 @@ def label_intervals(
         machine, F.col("m.at").alias(time), F.col("m.turn").alias("__turn"), F.col("m.step").alias("__step")
     )
     readings = df.withColumns({"__turn": F.lit(1), "__step": F.lit(0)})
-    plan = splits or find_splits(df, [machine], time)
-    swept = running(
-        readings.unionByName(marks, allowMissingColumns=True), plan, {"__open": ("sum", "__step")}, order_by=[time, "__turn"]
-    )
+    events = time_chunks(readings.unionByName(marks, allowMissingColumns=True), [machine], time, chunk_seconds)
+    swept = running(events, time, {"__open": ("sum", "__step")}, order_by=[time, "__turn"])
     inside = F.coalesce((F.col("__open") > 0) & F.col(machine).isNotNull(), F.lit(False)).cast("int")
-    return swept.where(F.col("__turn") == 1).withColumn(out, inside).drop("__turn", "__step", "__open", CHUNK)
+    return drop_chunk(swept.where(F.col("__turn") == 1).withColumn(out, inside)).drop("__turn", "__step", "__open")

@@ -9,22 +9,22 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from fleetlens.config import Keys
-from fleetlens.operators.ordering import MAX_ROWS, before_key, find_splits, keys_at_ranks, running
+from fleetlens.operators.ordering import before_key, keys_at_ranks, range_chunks, running
 
 
 # --- splits -----------------------------------------------------------------------------
 
 
-def time_cuts(df: DataFrame, order: Sequence[str], fractions: Sequence[float], max_rows: int = MAX_ROWS) -> list[tuple | None]:
-    """The keys at which a table ordered by `order` passes each fraction of its rows.
+def before_cuts(df: DataFrame, order: Sequence[str], fractions: Sequence[float], first_only: bool = False) -> list[Column]:
+    """For each fraction, whether a row lies before the one at which a table ordered by `order` passes it.
 
-    A cut is floor(n * fraction) in floating point. None stands for a cut at the very end.
+    A cut is floor(n * fraction) in floating point; every row lies before a cut at the very end. Times
+    are compared as numbers of microseconds, so no time zone has a say. `first_only` compares
+    the first column alone.
     """
-    n = df.count()
-    ranks = [int(n * f) for f in fractions]
-    inside = sorted({r for r in ranks if r < n})
-    found = dict(zip(inside, keys_at_ranks(df, order, inside, max_rows) if inside else []))
-    return [found.get(r) for r in ranks]
+    codes, cuts = keys_at_ranks(df, order, lambda n: [int(n * f) for f in fractions])
+    width = 1 if first_only else len(codes)
+    return [F.lit(True) if c is None else before_key(codes[:width], c[:width]) for c in cuts]
 
 
 def temporal_split(
@@ -34,7 +34,6 @@ def temporal_split(
     validation: float = 0.15,
     order: Sequence[str] | None = None,
     on_time_boundary: bool = False,
-    max_rows: int = MAX_ROWS,
     out: str = "split",
 ) -> DataFrame:
     """Past to train, then validation, then test: a comparison of each row with two cut keys.
@@ -44,21 +43,15 @@ def temporal_split(
     together. `on_time_boundary` keeps all readings of one instant on the same side.
     """
     columns = list(order or [keys.time, keys.entity])
-    cuts = time_cuts(df, columns, [train, train + validation], max_rows)
-    if on_time_boundary:
-        columns, cuts = columns[:1], [c and c[:1] for c in cuts]
-    first, second = [F.lit(True) if c is None else before_key(df.schema, columns, c) for c in cuts]
+    first, second = before_cuts(df, columns, [train, train + validation], on_time_boundary)
     return df.withColumn(out, F.when(first, "train").when(second, "validation").otherwise("test"))
 
 
 def baseline_and_current(
     df: DataFrame, keys: Keys = Keys(), fraction: float = 0.7, overlap: bool = False, order: Sequence[str] | None = None,
-    max_rows: int = MAX_ROWS,
 ) -> tuple[DataFrame, DataFrame]:
     """Earlier and later part of a table. With `overlap` the baseline is the whole table."""
-    columns = list(order or [keys.time, keys.entity])
-    cut = time_cuts(df, columns, [fraction], max_rows)[0]
-    early = F.lit(True) if cut is None else before_key(df.schema, columns, cut)
+    early = before_cuts(df, list(order or [keys.time, keys.entity]), [fraction])[0]
     return (df if overlap else df.where(early)), df.where(~early)
 
 
@@ -99,17 +92,18 @@ def weight_column(df: DataFrame, label: str, scheme: str = "balanced") -> Column
     return F.when(F.col(label) == 1, by_class.get(1, 1.0)).otherwise(by_class.get(0, 1.0))
 
 
-def standardise(df: DataFrame, columns: Sequence[str], fit: DataFrame | None = None, suffix: str = "_z") -> DataFrame:
-    """(x - mean) / population deviation, learned on `fit`; a constant column is only centred."""
-    stats = (df if fit is None else fit).agg(
+def scaling(fit: DataFrame, columns: Sequence[str]) -> dict[str, tuple[float, float]]:
+    """(mean, population deviation) of each column; a constant column has deviation 1, an empty one mean 0."""
+    stats = fit.agg(
         *[F.avg(c).alias(f"{c}__mean") for c in columns], *[F.stddev_pop(c).alias(f"{c}__std") for c in columns]
     ).first()
+    return {c: (float(stats[f"{c}__mean"] or 0.0), float(stats[f"{c}__std"] or 1.0)) for c in columns}
 
-    def scaled(c: str) -> Column:
-        mean, std = stats[f"{c}__mean"], stats[f"{c}__std"]
-        return (F.col(c) - F.lit(mean).cast("double")) / F.lit(std or 1.0)
 
-    return df.withColumns({f"{c}{suffix}": scaled(c) for c in columns})
+def standardise(df: DataFrame, columns: Sequence[str], fit: DataFrame | None = None, suffix: str = "_z") -> DataFrame:
+    """(x - mean) / population deviation, learned on `fit`; a constant column is only centred."""
+    learned = scaling(df if fit is None else fit, columns)
+    return df.withColumns({f"{c}{suffix}": (F.col(c) - F.lit(mean)) / F.lit(std) for c, (mean, std) in learned.items()})
 
 
 # --- metrics ----------------------------------------------------------------------------
@@ -137,29 +131,24 @@ def binary_metrics(df: DataFrame, label: str, prediction: str, by: Sequence[str]
     )
 
 
-def ranking_metrics(df: DataFrame, label: str, score: str, by: Sequence[str] = (), max_rows: int = MAX_ROWS) -> DataFrame:
-    """ROC-AUC with tied scores averaged, and average precision over distinct scores.
+def ranking_metrics(df: DataFrame, label: str, score: str, by: Sequence[str] = ()) -> DataFrame:
+    """ROC-AUC with tied scores averaged, and average precision over distinct scores. NaN is no score.
 
-    Rows collapse to counts per distinct score, then prefix sums in score order do the rest.
+    Rows collapse to counts per distinct score, which are range partitioned by (model, score)
+    and stored; prefix sums in score order do the rest. A model's totals come with what is
+    carried from partition to partition, so no model is a key that rows meet by.
     Average precision is the step-wise sum, not the trapezoid under the PR curve.
     """
-    complete = df.select(*by, score, label).where(F.col(score).isNotNull() & F.col(label).isNotNull())
+    complete = df.select(*by, F.col(score).cast("double").alias(score), label)
+    complete = complete.where(F.col(score).isNotNull() & ~F.isnan(score) & F.col(label).isNotNull())
     counts = complete.groupBy(*by, score).agg(
         F.count_if(F.col(label) == 1).alias("__t"), F.count_if(F.col(label) != 1).alias("__f")
     )
-    plan = find_splits(complete, by, score, max_rows=max_rows)
-    upto = running(counts, plan, {"__ct": ("sum", "__t"), "__cf": ("sum", "__f")})
+    sums = {"__ct": ("sum", "__t"), "__cf": ("sum", "__f")}
+    upto = running(range_chunks(counts, by, score), score, sums, whole={"__p": ("sum", "__t"), "__q": ("sum", "__f")})
     # what lies strictly below each score, so that one pass serves both metrics
     t, f = F.col("__t"), F.col("__f")
-    steps = upto.select(*by, "__t", "__f", (F.col("__ct") - t).alias("__bt"), (F.col("__cf") - f).alias("__bf"))
-    totals = counts.groupBy(*by).agg(F.sum("__t").alias("__p"), F.sum("__f").alias("__q"))
-    if by:
-        on = [F.col(c).eqNullSafe(F.col(f"__g{i}")) for i, c in enumerate(by)]
-        named = totals.select(*[F.col(c).alias(f"__g{i}") for i, c in enumerate(by)], "__p", "__q")
-        joined = steps.join(named, on, "inner")
-    else:
-        p, q = totals.first()
-        joined = steps.withColumns({"__p": F.lit(p).cast("long"), "__q": F.lit(q).cast("long")})
+    joined = upto.select(*by, "__t", "__f", (F.col("__ct") - t).alias("__bt"), (F.col("__cf") - f).alias("__bf"), "__p", "__q")
     p, q = F.col("__p"), F.col("__q")
     at_or_above_t, at_or_above_f = p - F.col("__bt"), q - F.col("__bf")
     gain = F.when(t > 0, t / p * at_or_above_t / (at_or_above_t + at_or_above_f)).otherwise(0.0)
@@ -170,10 +159,10 @@ def ranking_metrics(df: DataFrame, label: str, score: str, by: Sequence[str] = (
     )
 
 
-def model_metrics(df: DataFrame, label: str, prediction: str, score: str, by: Sequence[str] = ("model_name",), max_rows: int = MAX_ROWS) -> DataFrame:
+def model_metrics(df: DataFrame, label: str, prediction: str, score: str, by: Sequence[str] = ("model_name",)) -> DataFrame:
     """The six metrics of each model, from rows of (model, label, prediction, score)."""
     confusion = binary_metrics(df, label, prediction, by)
-    ranking = ranking_metrics(df, label, score, by, max_rows).drop("positives", "negatives")
+    ranking = ranking_metrics(df, label, score, by).drop("positives", "negatives")
     return confusion.join(ranking, list(by), "left")
 
 

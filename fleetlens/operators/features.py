@@ -11,8 +11,9 @@ from fleetlens.config import Keys
 from fleetlens.functions import domain
 from fleetlens.functions.shaping import fill_zero
 from fleetlens.operators.ordering import (
-    CHUNK, Splits, drop_halo, find_splits, halo_range, halo_rows, running, with_chunk,
+    CHUNK_SECONDS, GROUP, NO_TIME, PART, drop_chunk, drop_halo, epoch_seconds, group_key, halo_rows, running, time_chunks,
 )
+from fleetlens.operators.panes import deviation_of, mean_of, sliding_moments
 
 
 @dataclass(frozen=True)
@@ -79,17 +80,18 @@ def windowed(
     lags: tuple[Lag, ...] = LAGS,
     short: int = 6,
     long: int = 36,
-    splits: Splits | None = None,
+    chunk_seconds: int = CHUNK_SECONDS,
 ) -> DataFrame:
-    """Rolling and lag columns over preceding rows: one shuffle and one sort for all of them.
+    """Rolling and lag columns over preceding rows: one shuffle and one sort of the rows for all of them.
 
     Frames count rows, the current one included, so a gap in the feed stretches them in time.
+    Rows are spread by machine and time; a frame that begins in earlier chunks gets copies from there.
     """
     back = {"short": short, "long": long}
     reach = max([back[r.span] for r in rolling] + [lag.rows for lag in lags])
-    plan = splits or find_splits(df, [keys.entity], keys.time)
-    framed = halo_rows(df, plan, reach)
-    series = Window.partitionBy(*plan.partition).orderBy(keys.time)
+    sources = [r.source for r in rolling] + [lag.source for lag in lags]
+    framed = halo_rows(time_chunks(df, [keys.entity], keys.time, chunk_seconds), keys.time, reach, sources)
+    series = Window.partitionBy(*PART).orderBy(keys.time)
     columns = {
         r.name: getattr(F, r.stat)(r.source).over(series.rowsBetween(-back[r.span], 0)) for r in rolling
     } | {lag.name: F.lag(lag.source, lag.rows).over(series) for lag in lags}
@@ -117,16 +119,23 @@ def time_rolling(
     rolling: tuple[Rolling, ...] = ROLLING,
     short_seconds: int = 3600,
     long_seconds: int = 6 * 3600,
-    splits: Splits | None = None,
+    pane_seconds: int | None = None,
 ) -> DataFrame:
-    """The rolling columns over elapsed time instead of row counts, in whole seconds."""
-    span = {"short": short_seconds, "long": long_seconds}
-    timed = with_vibration(df).withColumn("__sec", F.unix_timestamp(keys.time))
-    plan = splits or find_splits(timed, [keys.entity], "__sec")
-    framed = halo_range(timed, plan, max(span.values()))
-    series = Window.partitionBy(*plan.partition).orderBy("__sec")
-    columns = {r.name: getattr(F, r.stat)(r.source).over(series.rangeBetween(-span[r.span], 0)) for r in rolling}
-    return drop_halo(framed.withColumns(columns)).drop("__sec")
+    """The rolling columns over elapsed time instead of row counts, in whole seconds.
+
+    Frames are put together from panes, by default as long as the shorter frame. A task
+    holds one pane of a machine, so where even a frame outgrows a task, shorter panes do not.
+    """
+    spans = [short_seconds, long_seconds]
+    timed = with_vibration(df).withColumns({GROUP: group_key([keys.entity]), "__sec": F.coalesce(epoch_seconds(df, keys.time), F.lit(NO_TIME))})
+    sources = list(dict.fromkeys(r.source for r in rolling))
+    at = {r.name: (("short", "long").index(r.span), sources.index(r.source)) for r in rolling}
+    wanted: dict[tuple[int, int], bool] = {}
+    for r in rolling:
+        wanted[at[r.name]] = wanted.get(at[r.name], False) or r.stat != "avg"
+    moments = sliding_moments(timed.select(GROUP, "__sec", *sources), "__sec", sources, spans, pane_seconds or min(spans), wanted)
+    told = moments.select(GROUP, "__sec", *[(mean_of if r.stat == "avg" else deviation_of)(*at[r.name]).alias(r.name) for r in rolling])
+    return timed.join(told, [GROUP, "__sec"], "left").drop(GROUP, "__sec")
 
 
 def domain_features(df: DataFrame) -> DataFrame:
@@ -141,9 +150,9 @@ def domain_features(df: DataFrame) -> DataFrame:
     )
 
 
-def build_features(df: DataFrame, keys: Keys = Keys(), splits: Splits | None = None) -> DataFrame:
+def build_features(df: DataFrame, keys: Keys = Keys(), chunk_seconds: int = CHUNK_SECONDS) -> DataFrame:
     """Training rows plus 30 engineered columns. Nulls left by lags and deltas become 0."""
-    series = delta_features(windowed(domain_features(df), keys, splits=splits)).withColumn(
+    series = delta_features(windowed(domain_features(df), keys, chunk_seconds=chunk_seconds)).withColumn(
         "temp_anomaly_score", domain.temp_anomaly("gearbox_temperature", "gearbox_temp_avg_6h", "gearbox_temp_std_1h")
     )
     return fill_zero(series, [lag.name for lag in LAGS] + list(DELTAS))
@@ -151,10 +160,9 @@ def build_features(df: DataFrame, keys: Keys = Keys(), splits: Splits | None = N
 
 def cumulative_hours(
     df: DataFrame, keys: Keys = Keys(), rotor: str = "rotor_speed_rpm", interval_minutes: float = 10.0,
-    out: str = "operating_hours", splits: Splits | None = None,
+    out: str = "operating_hours", chunk_seconds: int = CHUNK_SECONDS,
 ) -> DataFrame:
     """Hours the rotor has turned so far. Turning intervals are counted, so sums stay exact."""
-    plan = splits or find_splits(df, [keys.entity], keys.time)
-    turning = with_chunk(df.withColumn("__turns", (F.coalesce(F.col(rotor), F.lit(0.0)) > 0).cast("long")), plan)
-    counted = running(turning, plan, {"__turned": ("sum", "__turns")})
-    return counted.withColumn(out, F.col("__turned") * interval_minutes / 60.0).drop("__turns", "__turned", CHUNK)
+    turning = df.withColumn("__turns", (F.coalesce(F.col(rotor), F.lit(0.0)) > 0).cast("long"))
+    counted = running(time_chunks(turning, [keys.entity], keys.time, chunk_seconds), keys.time, {"__turned": ("sum", "__turns")})
+    return drop_chunk(counted.withColumn(out, F.col("__turned") * interval_minutes / 60.0)).drop("__turns", "__turned")

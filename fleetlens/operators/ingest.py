@@ -9,8 +9,8 @@ from operator import and_
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from fleetlens.config import EVENT_DATE, INGESTION_SCHEMA
 from fleetlens.operators.dedup import dedup_latest
-from fleetlens.operators.ordering import literal
 from fleetlens.sources.tables import append_history, read_table, table_exists
 
 
@@ -25,13 +25,15 @@ def new_rows(target: DataFrame, batch: DataFrame, keys: Sequence[str]) -> DataFr
     return batch.where(complete).join(present, list(keys), "left_anti").unionByName(batch.where(~complete))
 
 
-def within_batch_times(target: DataFrame, batch: DataFrame, time: str) -> DataFrame:
-    """The part of `target` that `batch` can collide with. The constant range reaches the scan."""
-    low, high = batch.agg(F.min(time), F.max(time)).first()
-    if low is None:
-        return target.limit(0)
-    kind = target.schema[time].dataType
-    return target.where(F.col(time).between(literal(low, kind), literal(high, kind)))
+def within_batch_dates(target: DataFrame, batch: DataFrame, date: str = EVENT_DATE) -> DataFrame:
+    """The part of `target`, which is partitioned by `date`, that `batch` can collide with.
+
+    The dates of the batch (a number of days, whatever its rows) become a condition on the
+    partition column, so other partitions are not even listed.
+    """
+    dates = [r[0] for r in batch.select(date).distinct().collect()]
+    known = F.col(date).isin([d for d in dates if d is not None])
+    return target.where(known | F.col(date).isNull() if None in dates else known)
 
 
 def merge_new_only(target: DataFrame, batch: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -39,15 +41,33 @@ def merge_new_only(target: DataFrame, batch: DataFrame, keys: Sequence[str]) ->
     return target.unionByName(new_rows(target, batch, keys))
 
 
+def replayed(target: DataFrame, batch: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The rows of `batch` without a whole key that `target` does not hold already, column by column.
+
+    A null key equals nothing, so a merge on keys would add such a row again whenever its batch is
+    repeated. Rows are compared as a whole, without what ingestion stamped on them; that also
+    spreads them, as no two different rows share a key.
+    """
+    stamps = {*INGESTION_SCHEMA.fieldNames(), EVENT_DATE}
+    complete = reduce(and_, [F.col(k).isNotNull() for k in keys])
+    content = F.struct(*[F.col(c) for c in batch.columns if c not in stamps])
+    present = target.where(~complete).select(content.alias("__content")).distinct()
+    return batch.where(~complete).join(present, content == F.col("__content"), "left_anti")
+
+
 def upsert_new_only(
     name: str, batch: DataFrame, keys: Sequence[str], time: str | None = None, partition_by: Sequence[str] = ("ingestion_date",)
 ) -> None:
     """Appends the new rows of `batch`, de-duplicated, to the stored table `name`, or creates it.
 
-    Running the same batch again adds nothing. Each append commits as a whole; two writers that
-    run at the same time could both see a key as absent, so one writer per table is assumed.
+    With `time` the table is partitioned by the day of that column, and only the days of the
+    batch are compared. Running the same batch again adds nothing, rows with a null key included. Each
+    append commits as a whole; two writers that run at the same time could both see a key as absent,
+    so one writer per table is assumed.
     """
     spark = batch.sparkSession
+    if time is not None:
+        batch, partition_by = batch.withColumn(EVENT_DATE, F.to_date(time)), (EVENT_DATE,)
     candidates = dedup_latest(batch, keys)
     if not table_exists(spark, name):
         append_history(candidates, name, partition_by)
@@ -56,5 +76,7 @@ def upsert_new_only(
     if "/" not in name:
         spark.catalog.refreshTable(name)
     stored = read_table(spark, name)
-    target = stored if time is None else within_batch_times(stored, batch, time)
-    append_history(new_rows(target, candidates, keys).select(*stored.columns), name, partition_by)
+    target = stored if time is None else within_batch_dates(stored, batch)
+    complete = reduce(and_, [F.col(k).isNotNull() for k in keys])
+    added = new_rows(target, candidates.where(complete), keys).unionByName(replayed(target, candidates, keys))
+    append_history(added.select(*stored.columns), name, partition_by)

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from fleetlens.config import TRAINING_COLUMNS, Keys, label_name
 from fleetlens.operators.dedup import drop_duplicates
-from fleetlens.operators.ordering import Splits, find_splits, running
+from fleetlens.operators.ordering import CHUNK_SECONDS, drop_chunk, epoch_seconds, running, time_chunks
 
 _SEC = "__sec"
 
@@ -56,7 +56,7 @@ def next_event(
     keys: Keys = Keys(),
     event_flag: str = "failure_flag",
     out: str = "next_failure_sec",
-    splits: Splits | None = None,
+    chunk_seconds: int = CHUNK_SECONDS,
 ) -> DataFrame:
     """Epoch second of the machine's next event at or after each reading, or null.
 
@@ -64,12 +64,12 @@ def next_event(
     """
     timed = df.withColumns(
         {
-            _SEC: F.unix_timestamp(keys.time),
-            "__event": F.when(F.col(event_flag) == 1, F.unix_timestamp(keys.time)),
+            _SEC: epoch_seconds(df, keys.time),
+            "__event": F.when(F.col(event_flag) == 1, epoch_seconds(df, keys.time)),
         }
     )
-    plan = splits or find_splits(timed, [keys.entity], _SEC)
-    return running(timed, plan, {out: ("min", "__event")}, descending=True).drop(_SEC, "__event")
+    chunked = time_chunks(timed, [keys.entity], _SEC, chunk_seconds)
+    return drop_chunk(running(chunked, _SEC, {out: ("min", "__event")}, descending=True)).drop(_SEC, "__event")
 
 
 def label_by_next_event(
@@ -78,12 +78,12 @@ def label_by_next_event(
     horizon_hours: int = 24,
     event_flag: str = "failure_flag",
     label: str | None = None,
-    splits: Splits | None = None,
+    chunk_seconds: int = CHUNK_SECONDS,
 ) -> DataFrame:
     """The same label by window, with the lead time to the event where it lies in the horizon."""
     width = horizon_hours * 3600
-    sec = F.unix_timestamp(keys.time)
-    ahead = next_event(df, keys, event_flag, "__ahead", splits)
+    sec = epoch_seconds(df, keys.time)
+    ahead = next_event(df, keys, event_flag, "__ahead", chunk_seconds)
     inside = F.col(keys.entity).isNotNull() & (F.col("__ahead") <= sec + width)
     return ahead.withColumns(
         {

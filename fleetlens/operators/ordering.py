@@ -1,269 +1,95 @@
 """Ordered computations that stay parallel when one group holds much of the table.
 
-`Window.partitionBy(entity)` gives each group to one task. That is right while groups are
-ordinary, and wrong once a single machine (or one feature, or the whole table for a global
-rank) outgrows a task. `find_splits` looks for such groups. Where it finds none the plan is
-the ordinary window. Where it does, the group is cut into consecutive chunks of the order
-column and
-
-* cumulative windows run per chunk, and add what the earlier chunks sum up to (`running`);
-* sliding windows run per chunk, with the few rows the frame reaches back to copied into
-  the next chunk and dropped again afterwards (`halo_rows`, `halo_range`, `drop_halo`).
-
-Split points come from a hash sample of the keys and are constants in every later plan, so a
-retried task sees the same chunks. They steer parallelism only: any split points give the
-same result, and no row is ever left out.
+`Window.partitionBy(entity)` gives each group to one task, whatever its size. Here every group is cut
+into chunks, always and in the same way:
+
+* `time_chunks` cuts by stretches of time of a given width. A row's chunk is a function of the row
+  alone: no split points, nothing on the driver, and a task's size does not depend on the
+  table's.
+* `range_chunks` cuts by range partitions, for orders that are no time (scores, sensor values).
+
+Cumulative windows (`running`) run per chunk and add what earlier chunks sum up to. Sliding windows run
+per chunk with the few rows the frame reaches back to copied in from earlier chunks and dropped
+again (`halo_rows`, `drop_halo`). Chunk summaries hold one row per chunk; only they are
+scanned per group. Results are the plain window's.
 """
 
 from __future__ import annotations
 
-import bisect
-import math
 from collections.abc import Callable, Mapping, Sequence
-from dataclasses import dataclass, field, replace
-from functools import reduce
-from operator import and_
+from types import MappingProxyType
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from fleetlens.session import cut_lineage
+
+GROUP = "__group"
 CHUNK = "__chunk"
 HALO = "__halo"
+PART = (GROUP, CHUNK)
 
-MAX_ROWS = 1_000_000
-MAX_CHUNKS = 2048
-SAMPLES_PER_CHUNK = 16
-_HASH_SPACE = 1 << 30
-
+#: Default width of a chunk: a week, 1,008 readings at one every ten minutes.
+CHUNK_SECONDS = 7 * 86_400
 
-@dataclass(frozen=True)
-class Splits:
-    """Ascending split values of each oversized group; empty for a well-behaved table.
-
-    At most `MAX_CHUNKS` split values exist in total, whatever the size of the table, which
-    bounds everything derived from them that is broadcast.
-    """
+NO_TIME = -(1 << 62)  # stands for a missing time, which comes first
 
-    by: tuple[str, ...]
-    order: str
-    bounds: Mapping[tuple, tuple] = field(default_factory=dict)
-    schema: T.StructType = field(default_factory=T.StructType)
-    halo: Mapping[tuple, tuple] | None = None
 
-    @property
-    def active(self) -> bool:
-        return bool(self.bounds)
+# --- time as numbers --------------------------------------------------------------------
 
-    @property
-    def partition(self) -> list[str]:
-        """Window partition: the group, and the chunk where groups are split."""
-        return [*self.by, CHUNK] if self.active else list(self.by)
 
-    def _order_type(self) -> T.DataType:
-        return self.schema[self.order].dataType
+def epoch_micros(df: DataFrame, column: str) -> Column:
+    """Microseconds since 1970, in time order whatever the session's time zone does.
 
-    def _key_fields(self) -> list[T.StructField]:
-        return [T.StructField(f"__key{i}", self.schema[c].dataType) for i, c in enumerate(self.by)]
+    Times without a zone are counted on their own calendar, so no gap or repeated hour of a
+    zone can move them.
+    """
+    kind, c = df.schema[column].dataType, F.col(column)
+    if isinstance(kind, T.TimestampType):
+        return F.unix_micros(c)
+    if isinstance(kind, T.DateType):
+        return F.unix_date(c).cast("long") * 86_400_000_000
+    seconds = F.unix_date(c.cast("date")).cast("long") * 86_400 + F.hour(c) * 3600 + F.minute(c) * 60
+    return seconds * 1_000_000 + (F.extract(F.lit("SECOND"), c) * 1_000_000).cast("long")
 
-    def keys(self, df: DataFrame) -> DataFrame:
-        """The oversized groups, one row each."""
-        return df.sparkSession.createDataFrame([tuple(k) for k in self.bounds], T.StructType(self._key_fields()))
 
-    def matches(self) -> Column:
-        return reduce(and_, [F.col(c).eqNullSafe(F.col(f"__key{i}")) for i, c in enumerate(self.by)])
+def epoch_seconds(df: DataFrame, column: str) -> Column:
+    """Whole seconds since 1970 of a time column; a numeric column is taken as seconds."""
+    if isinstance(df.schema[column].dataType, T.NumericType):
+        return F.floor(F.col(column)).cast("long")
+    return F.floor(epoch_micros(df, column) / 1_000_000).cast("long")
 
-    def only_oversized(self, df: DataFrame) -> DataFrame:
-        if not self.by:
-            return df
-        return df.join(F.broadcast(self.keys(df)), self.matches(), "left_semi")
 
+# --- chunks -----------------------------------------------------------------------------
 
-def literal(value: object, kind: T.DataType) -> Column:
-    """A typed constant. Zone-less timestamps go through text, so no time zone can shift them."""
-    if isinstance(kind, T.TimestampNTZType) and value is not None:
-        return F.lit(value.isoformat(sep=" ")).cast(kind)
-    return F.lit(value).cast(kind)
 
+def group_key(by: Sequence[str]) -> Column:
+    """One key for the group. Inside a struct nulls equal each other, so plain joins find them."""
+    return F.struct(*[F.col(c) for c in by]) if by else F.lit(0)
 
-def _blocks(values: Sequence) -> tuple[list, list[list]]:
-    """Split values in blocks of about sqrt(n), and the first value of every later block."""
-    width = max(1, math.isqrt(len(values)))
-    blocks = [list(values[i : i + width]) for i in range(0, len(values), width)]
-    return [b[0] for b in blocks[1:]], blocks
 
+def time_chunks(df: DataFrame, by: Sequence[str], order: str, seconds: int = CHUNK_SECONDS) -> DataFrame:
+    """Adds the group and the number of the stretch of `seconds` that `order` falls into."""
+    number = F.floor(epoch_seconds(df, order) / seconds)
+    return df.withColumns({GROUP: group_key(by), CHUNK: F.coalesce(number, F.lit(NO_TIME))})
 
-def _not_above(values: Column, x: Column) -> Column:
-    return F.coalesce(F.size(F.filter(values, lambda v: v <= x)), F.lit(0))
 
+def range_chunks(df: DataFrame, by: Sequence[str], order: str) -> DataFrame:
+    """Adds the group and the number of the range partition by (group, order).
 
-def find_splits(
-    df: DataFrame,
-    by: Sequence[str],
-    order: str,
-    max_rows: int = MAX_ROWS,
-    max_chunks: int = MAX_CHUNKS,
-    samples_per_chunk: int = SAMPLES_PER_CHUNK,
-) -> Splits:
-    """Split points for every group of more than `max_rows` rows.
-
-    Job 1 counts the groups (partial aggregation; only `by` is read). Job 2 runs when a group
-    is oversized: it takes distinct keys of those groups by hash, about `samples_per_chunk`
-    per chunk to be made. Both bring a bounded number of rows to the driver. Only the
-    `max_chunks` largest groups are considered: any other holds less than one `max_chunks`-th
-    of the table, which is an ordinary task, so it stays whole.
+    The partitions are stored with their numbers, so a repeated task finds the same ones. Rows that
+    agree on `by` and `order` share a partition: reduce them to counts first.
     """
-    by = tuple(by)
-    empty = Splits(by, order, schema=df.select(*by, order).schema)
-    if by:
-        sizes = (
-            df.groupBy(*by).agg(F.count(F.lit(1)).alias("__n")).where(F.col("__n") > max_rows)
-            .orderBy(F.desc("__n")).limit(max_chunks).collect()
-        )
-        oversized = {tuple(r)[:-1]: r["__n"] for r in sizes}
-    else:
-        n = df.count()
-        oversized = {(): n} if n > max_rows else {}
-    if not oversized:
-        return empty
-    total = sum(oversized.values())
-    chunk_rows = max(max_rows, total // max_chunks)
-    share = min(1.0, samples_per_chunk / chunk_rows)
-    candidates = replace(empty, bounds={k: () for k in oversized})
-    hashed = F.pmod(F.xxhash64(*[F.col(c) for c in (*by, order)]), F.lit(_HASH_SPACE))
-    sample = (
-        candidates.only_oversized(df.select(*by, order))
-        .where(F.col(order).isNotNull() & (hashed < int(share * _HASH_SPACE)))
-        .groupBy(*by, order).count().drop("count").collect()
-    )
-    values: dict[tuple, list] = {}
-    for row in sample:
-        values.setdefault(tuple(row)[:-1], []).append(row[-1])
-    bounds = {}
-    for key, seen in values.items():
-        seen.sort()
-        chunks = max(2, oversized[key] // chunk_rows)
-        step = max(1, len(seen) // chunks)
-        cuts = tuple(seen[step::step])
-        if cuts:
-            bounds[key] = cuts
-    return replace(empty, bounds=bounds)
-
-
-def with_chunk(df: DataFrame, splits: Splits) -> DataFrame:
-    """Adds the chunk number; 0 throughout for groups that are not split."""
-    if not splits.active:
-        return df.withColumn(CHUNK, F.lit(0))
-    value, kind = F.col(splits.order), T.ArrayType(splits._order_type())
-
-    def located(edges: Column, blocks: Column, width: Column) -> Column:
-        block = _not_above(edges, value)
-        return F.coalesce((block * width + _not_above(F.get(blocks, block), value)).cast("int"), F.lit(0))
-
-    if not splits.by:
-        edges, blocks = _blocks(splits.bounds[()])
-        literal = [_array(b, kind.elementType) for b in blocks]
-        return df.withColumn(
-            CHUNK, located(_array(edges, kind.elementType), F.array(*literal), F.lit(len(blocks[0])))
-        )
-    rows = []
-    for key, cuts in splits.bounds.items():
-        edges, blocks = _blocks(cuts)
-        halo = list(splits.halo[key]) if splits.halo is not None else None
-        rows.append((*key, edges, blocks, len(blocks[0]), halo))
-    schema = T.StructType(
-        splits._key_fields()
-        + [
-            T.StructField("__edges", kind),
-            T.StructField("__blocks", T.ArrayType(kind)),
-            T.StructField("__width", T.IntegerType()),
-            T.StructField("__starts", kind),
-        ]
-    )
-    table = df.sparkSession.createDataFrame(rows, schema)
-    joined = df.join(F.broadcast(table), splits.matches(), "left")
-    chunked = joined.withColumn(CHUNK, located(F.col("__edges"), F.col("__blocks"), F.col("__width")))
-    keep = [] if splits.halo is None else ["__starts"]
-    return chunked.select(*df.columns, CHUNK, *keep)
-
-
-def _array(values: Sequence, kind: T.DataType) -> Column:
-    return F.array(*[literal(v, kind) for v in values]).cast(T.ArrayType(kind))
-
-
-def _spread(df: DataFrame, splits: Splits) -> DataFrame:
-    """Chunk numbers, plus a marked copy in the next chunk of each row that chunk looks back to."""
-    if not splits.active:
-        return with_chunk(df, splits).withColumn(HALO, F.lit(False))
-    chunked = with_chunk(df, splits)
-    needed = F.col(splits.order) >= F.get(F.col("__starts"), F.col(CHUNK))
-    here, following = F.col(CHUNK), F.col(CHUNK) + 1
-    targets = F.when(needed, F.array(here, following)).otherwise(F.array(here))
-    return (
-        chunked.withColumn("__to", F.explode(targets))
-        .withColumn(HALO, F.col("__to") != F.col(CHUNK))
-        .withColumn(CHUNK, F.col("__to"))
-        .drop("__to", "__starts")
-    )
-
+    ranged = df.repartitionByRange(*by, order).withColumns({GROUP: group_key(by), CHUNK: F.spark_partition_id().cast("long")})
+    return cut_lineage(ranged)
 
-def halo_rows(df: DataFrame, splits: Splits, rows: int) -> DataFrame:
-    """For frames that reach back `rows` rows.
 
-    Where each chunk's last `rows` rows begin is looked up first (a top-k per chunk over the
-    keys). A chunk too short to supply them is merged with its successor.
-    """
-    if not splits.active:
-        return _spread(df, splits)
-    part = [*splits.by, CHUNK]
-    keys = splits.only_oversized(df.select(*splits.by, splits.order)).where(F.col(splits.order).isNotNull())
-    backwards = Window.partitionBy(*part).orderBy(F.desc(splits.order))
-    tails = (
-        with_chunk(keys, replace(splits, halo=None))
-        .withColumn("__rank", F.row_number().over(backwards)).where(F.col("__rank") <= rows)
-        .groupBy(*part).agg(F.min(splits.order).alias("__start"), F.count(F.lit(1)).alias("__n"))
-        .collect()
-    )
-    width = len(splits.by)
-    found = {(tuple(r)[:width], r[CHUNK]): (r["__start"], r["__n"]) for r in tails}
-    bounds, starts = {}, {}
-    for key, cuts in splits.bounds.items():
-        kept, kept_starts, pending = [], [], []
-        for chunk, cut in enumerate(cuts):
-            pending.append(found.get((key, chunk), (None, 0)))
-            supply = 0
-            for start, n in reversed(pending):
-                supply += n
-                if supply >= rows:
-                    kept.append(cut)
-                    kept_starts.append(start)
-                    pending = []
-                    break
-        if kept:
-            bounds[key], starts[key] = tuple(kept), tuple(kept_starts)
-    return _spread(df, replace(splits, bounds=bounds, halo=starts))
-
-
-def halo_range(df: DataFrame, splits: Splits, span: int) -> DataFrame:
-    """For frames that reach back `span` units of a numeric order column.
-
-    Split values closer than `span` are thinned out, so a row has at most one copy. A chunk
-    is therefore never narrower than the frame: the frame is what bounds a task here.
-    """
-    bounds, starts = {}, {}
-    for key, cuts in splits.bounds.items():
-        kept = [cuts[0]]
-        for cut in cuts[1:]:
-            if cut - kept[-1] >= span:
-                kept.append(cut)
-        bounds[key], starts[key] = tuple(kept), tuple(c - span for c in kept)
-    return _spread(df, replace(splits, bounds=bounds, halo=starts))
+def drop_chunk(df: DataFrame) -> DataFrame:
+    return df.drop(GROUP, CHUNK)
 
 
-def drop_halo(df: DataFrame) -> DataFrame:
-    """Removes the copies and the helper columns."""
-    return df.where(~F.col(HALO)).drop(HALO, CHUNK)
-
+# --- cumulative -------------------------------------------------------------------------
 
 _MERGE: dict[str, Callable[[Column, Column], Column]] = {
     "sum": lambda own, carried: F.coalesce(own + carried, own, carried),
@@ -273,114 +99,180 @@ _MERGE: dict[str, Callable[[Column, Column], Column]] = {
 
 
 def running(
-    df: DataFrame,
-    splits: Splits,
+    chunked: DataFrame,
+    order: str,
     outputs: Mapping[str, tuple[str, str]],
     order_by: Sequence[str] | None = None,
     descending: bool = False,
-    keep_chunk: bool = False,
+    whole: Mapping[str, tuple[str, str]] = MappingProxyType({}),
 ) -> DataFrame:
     """Cumulative `sum`, `min` or `max` up to and including the peers of the current row.
 
-    `outputs` maps a new column to (function, input column). A frame growing from one end costs
-    one update per row; the suffix form is the same frame over the descending order.
+    `outputs` maps a new column to (function, input column); `whole` does the same for values of
+    the entire group. A frame growing from one end costs one update per row; the suffix form is the
+    same frame over the descending order. The rows are shuffled once, by (group, chunk); what is
+    carried comes to them by the same key, from a table of one row per chunk.
     """
-    chunked = df if CHUNK in df.columns else with_chunk(df, splits)
-    part = splits.partition
     direct = F.desc if descending else F.asc
     frame = (
-        Window.partitionBy(*part)
-        .orderBy(*[direct(c) for c in (order_by or [splits.order])])
+        Window.partitionBy(*PART).orderBy(*[direct(c) for c in (order_by or [order])])
         .rangeBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    result = chunked.withColumns({o: getattr(F, fn)(c).over(frame) for o, (fn, c) in outputs.items()})
-    if splits.active:
-        totals = (
-            splits.only_oversized(chunked).groupBy(*part)
-            .agg(*[getattr(F, fn)(c).alias(f"__carry_{o}") for o, (fn, c) in outputs.items()])
-        )
-        before = (
-            Window.partitionBy(*splits.by).orderBy(direct(CHUNK)).rowsBetween(Window.unboundedPreceding, -1)
-        )
-        carry = totals.select(
-            *[F.col(c).alias(f"__on{i}") for i, c in enumerate(part)],
-            *[getattr(F, fn)(f"__carry_{o}").over(before).alias(f"__carry_{o}") for o, (fn, _) in outputs.items()],
-        )
-        on = reduce(and_, [F.col(c).eqNullSafe(F.col(f"__on{i}")) for i, c in enumerate(part)])
-        joined = result.join(F.broadcast(carry), on, "left")
-        merged = {o: _MERGE[fn](F.col(o), F.col(f"__carry_{o}")) for o, (fn, _) in outputs.items()}
-        result = joined.withColumns(merged).select(*result.columns)
-    return result if keep_chunk else result.drop(CHUNK)
+    own = chunked.withColumns({o: getattr(F, fn)(c).over(frame) for o, (fn, c) in outputs.items()})
+    totals = chunked.groupBy(*PART).agg(*[getattr(F, fn)(c).alias(o) for o, (fn, c) in {**outputs, **whole}.items()])
+    order = F.desc(CHUNK) if descending else F.asc(CHUNK)
+    series = Window.partitionBy(GROUP)
+    before = series.orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+    carry = totals.select(
+        *PART,
+        *[getattr(F, fn)(o).over(before).alias(f"__carry_{o}") for o, (fn, _) in outputs.items()],
+        *[getattr(F, fn)(o).over(series).alias(o) for o, (fn, _) in whole.items()],
+    )
+    merged = {o: _MERGE[fn](F.col(o), F.col(f"__carry_{o}")) for o, (fn, _) in outputs.items()}
+    return own.join(carry, list(PART), "left").withColumns(merged).select(*own.columns, *whole)
 
 
-def keys_at_ranks(
-    df: DataFrame, order: Sequence[str], ranks: Sequence[int], max_rows: int = MAX_ROWS
-) -> list[tuple]:
-    """The `order` key found at each 0-based rank of the global ascending order, nulls first.
+# --- sliding ----------------------------------------------------------------------------
 
-    No global sort: counts per chunk find the chunk of a rank, counts per distinct value find
-    the value within it, and ties are resolved the same way on the next column.
+
+def halo_rows(chunked: DataFrame, order: str, rows: int, sources: Sequence[str]) -> DataFrame:
+    """For frames that reach back `rows` rows: a marked copy of each row in every later chunk that sees it.
+
+    Only a chunk's last `rows` rows can be seen from a later one, and only with their `sources`. A
+    chunk is seen by as many of its successors as it takes to hold `rows` rows, so gaps and
+    chunks of any size are right.
     """
-    first, rest = order[0], list(order[1:])
-    return [tuple(k) for k in _locate_ranks(df.select(*order), first, rest, list(ranks), max_rows)]
-
-
-def _locate_ranks(df: DataFrame, first: str, rest: list[str], ranks: list[int], max_rows: int) -> list[list]:
-    splits = find_splits(df, [], first, max_rows=max_rows)
-    kind = df.schema[first].dataType
-    pieces: dict[int, list[tuple[int, int]]] = {}
-    if splits.active:
-        sizes = {r[CHUNK]: r["n"] for r in with_chunk(df, splits).groupBy(CHUNK).agg(F.count(F.lit(1)).alias("n")).collect()}
-        ends, total = [], 0
-        for chunk in range(len(splits.bounds[()]) + 1):
-            total += sizes.get(chunk, 0)
-            ends.append(total)
-        for i, rank in enumerate(ranks):
-            chunk = bisect.bisect_right(ends, rank)
-            pieces.setdefault(chunk, []).append((i, rank - (ends[chunk - 1] if chunk else 0)))
-    else:
-        pieces[0] = list(enumerate(ranks))
-    answers: list[list] = [[] for _ in ranks]
-    for chunk, wanted in pieces.items():
-        part = df
-        if splits.active:
-            cuts = splits.bounds[()]
-            low, high = (cuts[chunk - 1] if chunk else None), (cuts[chunk] if chunk < len(cuts) else None)
-            if low is not None:
-                part = part.where(F.col(first) >= literal(low, kind))
-            if high is not None:
-                under = F.col(first) < literal(high, kind)
-                part = part.where(under | F.col(first).isNull() if low is None else under)
-        counts = part.groupBy(first).agg(F.count(F.lit(1)).alias("__n"))
-        inner = find_splits(counts, [], first, max_rows=max_rows) if splits.active else Splits((), first)
-        ordered = running(counts, inner, {"__upto": ("sum", "__n")})
-        spot = reduce(lambda a, b: a | b, [(F.col("__upto") > r) & (F.col("__upto") - F.col("__n") <= r) for _, r in wanted])
-        spots = ordered.where(spot).collect()
-        unique = [s[first] for s in spots if s["__n"] == 1 and s[first] is not None]
-        rows = {}
-        if rest and unique:
-            found = part.where(F.col(first).isin([literal(v, kind) for v in unique]))
-            rows = {r[first]: r for r in found.collect()}
-        for i, rank in wanted:
-            spot_row = next(s for s in spots if s["__upto"] - s["__n"] <= rank < s["__upto"])
-            value = spot_row[first]
-            tail: list = []
-            if rest and value in rows:
-                tail = [rows[value][c] for c in rest]
-            elif rest:
-                tied = part.where(F.col(first).eqNullSafe(literal(value, kind)))
-                offset = rank - (spot_row["__upto"] - spot_row["__n"])
-                tail = _locate_ranks(tied, rest[0], rest[1:], [offset], max_rows)[0]
-            answers[i] = [value, *tail]
-    return answers
-
-
-def before_key(schema: T.StructType, order: Sequence[str], key: Sequence) -> Column:
+    backwards = Window.partitionBy(*PART).orderBy(F.desc(order))
+    tails = (
+        chunked.select(*PART, order, *[c for c in dict.fromkeys(sources) if c != order])
+        .withColumn("__rank", F.row_number().over(backwards)).where(F.col("__rank") <= rows)
+    )
+    sizes = tails.groupBy(*PART).agg(F.max("__rank").cast("long").alias("__n"))
+    series = Window.partitionBy(GROUP).orderBy(CHUNK)
+    begins = sizes.withColumn("__begin", F.sum("__n").over(series) - F.col("__n"))
+    following = F.collect_list(F.struct(F.col(CHUNK).alias("chunk"), F.col("__begin").alias("begin"))).over(series.rowsBetween(1, rows))
+    seen_by = F.filter(following, lambda x: x["begin"] < F.col("__begin") + F.col("__n") + rows)
+    plan = begins.withColumn("__later", seen_by).where(F.size("__later") > 0)
+    place = F.col("__begin") + F.col("__n") - F.col("__rank")
+    copies = (
+        tails.join(plan, list(PART)).withColumn("__place", place)
+        .withColumn("__to", F.explode(F.filter("__later", lambda x: x["begin"] <= F.col("__place") + rows)))
+        .withColumns({CHUNK: F.col("__to.chunk"), HALO: F.lit(True)})
+        .drop("__rank", "__n", "__begin", "__later", "__place", "__to")
+    )
+    return chunked.withColumn(HALO, F.lit(False)).unionByName(copies, allowMissingColumns=True)
+
+
+def drop_halo(df: DataFrame) -> DataFrame:
+    """Removes the copies and the helper columns."""
+    return drop_chunk(df.where(~F.col(HALO))).drop(HALO)
+
+
+# --- ranks ------------------------------------------------------------------------------
+
+#: Cells of one histogram pass: 16 bits of an order code.
+CELLS = 1 << 16
+_TEXT_BYTES = 7
+
+
+def _codes(df: DataFrame, column: str, longest: int) -> list[Column]:
+    """Numbers whose order, one after the other, is that of the column."""
+    kind, c = df.schema[column].dataType, F.col(column)
+    if isinstance(kind, T.TimestampType | T.TimestampNTZType | T.DateType):
+        return [epoch_micros(df, column)]
+    if isinstance(kind, T.StringType):
+        raw = c.cast("binary")
+        pieces = [F.rpad(F.hex(F.substring(raw, 1 + i, _TEXT_BYTES)), 2 * _TEXT_BYTES, "0") for i in range(0, max(longest, 1), _TEXT_BYTES)]
+        return [F.conv(p, 16, 10).cast("long") for p in pieces] + [F.octet_length(c).cast("long")]
+    if isinstance(kind, T.IntegralType | T.BooleanType):
+        return [c.cast("long")]
+    return [c.cast("double")]
+
+
+def _cell(code: Column, low: float, high: float) -> Column:
+    """The cell of a code between `low` and `high`: never descending, so cells can be counted in order."""
+    if isinstance(low, int):
+        wide = code.cast("decimal(20,0)") if high - low >= 1 << 63 else code
+        return F.call_function("div", wide - low, F.lit((high - low) // CELLS + 1))
+    return F.least(F.floor((code / 2 - low / 2) / (high / 2 - low / 2) * CELLS), F.lit(CELLS - 1))
+
+
+def _ends(code: Column) -> list[Column]:
+    return [F.count(F.lit(1)).alias("n"), F.count(code).alias("known"), F.min(code).alias("low"), F.max(code).alias("high")]
+
+
+def _select(codes: DataFrame, names: list[str], ranks: list[int]) -> list[tuple]:
+    """The tuple of codes at each 0-based rank, nulls first, by histogram passes.
+
+    A pass counts the cells of the interval a rank lies in and keeps the one that holds it, with
+    its least and greatest code; two equal codes end the search. All ranks share their passes.
+    """
+    first, rest = names[0], names[1:]
+    head = codes.agg(*_ends(F.col(first))).first()
+    nulls = head["n"] - head["known"]
+    # rank -> (rank within the interval, least and greatest code of the interval, rows in it)
+    spots = {r: (r - nulls, head["low"], head["high"], head["known"]) if r >= nulls else (r, None, None, nulls) for r in ranks}
+    tails: dict[int, list] = {}
+    while True:
+        opened = sorted({s[1:3] for s in spots.values() if s[1] != s[2]})
+        if not opened:
+            break
+        interval, cell = F.lit(None).cast("int"), F.lit(None).cast("long")
+        for i, (low, high) in enumerate(opened):
+            inside = F.col(first).between(low, high)
+            interval = F.when(inside, i).otherwise(interval)
+            cell = F.when(inside, _cell(F.col(first), low, high).cast("long")).otherwise(cell)
+        cells = (
+            codes.withColumns({"__interval": interval, "__cell": cell}).where("__interval is not null").groupBy("__interval", "__cell")
+            .agg(F.count(F.lit(1)).alias("n"), F.min(first).alias("low"), F.max(first).alias("high"), *[F.min(c).alias(c) for c in rest])
+        )
+        upto = F.sum("n").over(Window.partitionBy("__interval").orderBy("__cell"))
+        wanted = F.lit(False)
+        for within, low, high, _ in spots.values():
+            if low != high:
+                wanted = wanted | ((F.col("__interval") == opened.index((low, high))) & (F.col("upto") > within) & (F.col("upto") - F.col("n") <= within))
+        found = cells.withColumn("upto", upto).where(wanted).collect()
+        for r, (within, low, high, _) in spots.items():
+            if low != high:
+                at = opened.index((low, high))
+                row = next(x for x in found if x["__interval"] == at and x["upto"] - x["n"] <= within < x["upto"])
+                spots[r] = (within - row["upto"] + row["n"], row["low"], row["high"], row["n"])
+                if row["n"] == 1:
+                    tails[r] = [row[c] for c in rest]
+    answers = {}
+    for key in {s[1] for s in spots.values()}:
+        same = [r for r in ranks if spots[r][1] == key]
+        missing = [r for r in same if r not in tails]
+        if rest and missing:
+            tied = codes.where(F.col(first) == key if key is not None else F.col(first).isNull())
+            inner = _select(tied, rest, [spots[r][0] for r in missing])
+            tails |= {r: list(t) for r, t in zip(missing, inner)}
+        answers |= {r: (key, *(tails[r] if rest else ())) for r in same}
+    return [answers[r] for r in ranks]
+
+
+def keys_at_ranks(df: DataFrame, order: Sequence[str], ranks: Callable[[int], Sequence[int]]) -> tuple[list[Column], list[tuple | None]]:
+    """(codes of `order` as columns over `df`, the codes found at each 0-based rank, nulls first).
+
+    `ranks` gets the number of rows; a rank beyond the last row has no key. Only the `order` columns are stored
+    and counted; a few rows come to the driver in each pass.
+    """
+    narrow = cut_lineage(df.select(*order))
+    texts = [c for c in order if isinstance(df.schema[c].dataType, T.StringType)]
+    told = narrow.agg(F.count(F.lit(1)).alias("__n"), *[F.max(F.octet_length(c)).alias(c) for c in texts]).first()
+    codes = [code for c in order for code in _codes(df, c, (told[c] or 0) if c in texts else 0)]
+    names = [f"__code{i}" for i in range(len(codes))]
+    wanted = list(ranks(told["__n"]))
+    inside = sorted({r for r in wanted if r < told["__n"]})
+    found = dict(zip(inside, _select(narrow.select(*[c.alias(n) for c, n in zip(codes, names)]), names, inside))) if inside else {}
+    return codes, [found.get(r) for r in wanted]
+
+
+def before_key(codes: Sequence[Column], key: Sequence) -> Column:
     """True for rows strictly before `key` in the ascending order, nulls first: a map-side test."""
-    column, value = F.col(order[0]), key[0]
+    column, value = codes[0], key[0]
     if value is None:
         smaller, equal = F.lit(False), column.isNull()
     else:
-        mark = literal(value, schema[order[0]].dataType)
-        smaller, equal = F.coalesce(column < mark, F.lit(True)), F.coalesce(column == mark, F.lit(False))
-    return smaller if len(order) == 1 else smaller | (equal & before_key(schema, order[1:], key[1:]))
+        smaller, equal = F.coalesce(column < value, F.lit(True)), F.coalesce(column == value, F.lit(False))
+    return smaller if len(codes) == 1 else smaller | (equal & before_key(codes[1:], key[1:]))

@@ -7,15 +7,16 @@ from dataclasses import dataclass
 from datetime import datetime
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
-from pyspark.ml.feature import Imputer, StandardScaler, VectorAssembler
+from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
+from pyspark.ml.feature import SQLTransformer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from fleetlens.functions.domain import risk_level
-from fleetlens.operators.evaluate import now, weight_column
+from fleetlens.operators.boosting import SecondOrderBoosting, Settings
+from fleetlens.operators.evaluate import now, scaling, weight_column
 
 WEIGHT = "__weight"
 
@@ -43,7 +44,7 @@ CANDIDATES = (
 )
 
 
-def _estimator(c: Candidate, label: str, total_weight: float, seed: int):
+def _estimator(c: Candidate, columns: Sequence[str], label: str, total_weight: float, seed: int):
     common = {"featuresCol": "features", "labelCol": label, "weightCol": WEIGHT}
     if c.kind == "logistic":
         # L2 strength of 1 / (C * sum of weights) matches a penalty of C on the summed loss
@@ -54,20 +55,31 @@ def _estimator(c: Candidate, label: str, total_weight: float, seed: int):
         return RandomForestClassifier(
             numTrees=c.trees, maxDepth=c.depth, minInstancesPerNode=c.min_instances, seed=seed, **common
         )
-    return GBTClassifier(maxIter=c.trees, maxDepth=c.depth, stepSize=c.step, seed=seed, **common)
+    return SecondOrderBoosting(columns, label, WEIGHT, Settings(rounds=c.trees, depth=c.depth, rate=c.step))
+
+
+def scaler(train: DataFrame, features: Sequence[str], suffix: str = "__scaled") -> SQLTransformer:
+    """A fitted stage: missing values become the mean, then (x - mean) / population deviation.
+
+    What was learned on `train` are literals of its statement, so it is saved with the model and
+    does to a row exactly what `evaluate.standardise` does to a column.
+    """
+    learned = scaling(train, features)
+    columns = [f"(coalesce(`{c}`, {mean!r}D) - {mean!r}D) / {deviation!r}D as `{c}{suffix}`" for c, (mean, deviation) in learned.items()]
+    return SQLTransformer(statement=f"SELECT *, {', '.join(columns)} FROM __THIS__")
 
 
 def train_model(train: DataFrame, features: Sequence[str], label: str, candidate: Candidate, seed: int = 42) -> PipelineModel:
-    """Impute, assemble, scale, fit. Everything is learned on `train` alone."""
-    cast = train.select(*[F.col(c).cast(T.DoubleType()).alias(c) for c in features], F.col(label).cast("double").alias(label))
+    """Impute, scale, assemble, fit. Everything is learned on `train` alone."""
+    numbers = [F.nanvl(F.col(c).cast(T.DoubleType()), F.lit(None).cast("double")).alias(c) for c in features]
+    cast = train.select(*numbers, F.col(label).cast("double").alias(label))
     weighted = cast.where(F.col(label).isNotNull()).withColumn(WEIGHT, weight_column(cast, label, candidate.weights))
     total = weighted.agg(F.sum(WEIGHT)).first()[0] if candidate.kind == "logistic" else 1.0
-    filled = [f"{c}__filled" for c in features]
+    scaled = [f"{c}__scaled" for c in features]
     stages = [
-        Imputer(inputCols=list(features), outputCols=filled, strategy="mean"),
-        VectorAssembler(inputCols=filled, outputCol="raw_features"),
-        StandardScaler(inputCol="raw_features", outputCol="features", withMean=True, withStd=True),
-        _estimator(candidate, label, float(total), seed),
+        scaler(weighted, features),
+        VectorAssembler(inputCols=scaled, outputCol="features"),
+        _estimator(candidate, scaled, label, float(total), seed),
     ]
     return Pipeline(stages=stages).fit(weighted)
 
@@ -82,7 +94,7 @@ def score(
     as_of: datetime | None = None,
 ) -> DataFrame:
     """Probability, class and risk level per row, with the identity of the model."""
-    ready = df.withColumns({c: F.col(c).cast("double") for c in features})
+    ready = df.withColumns({c: F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double")) for c in features})
     return model.transform(ready).select(
         *ids,
         vector_to_array("probability")[1].alias("failure_probability"),

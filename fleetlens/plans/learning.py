@@ -119,5 +119,27 @@ def score_batch(
     return read_table(spark, layout.predictions)
 
 
+def champion_scores(
+    spark: SparkSession,
+    rows: DataFrame,
+    model_root: str,
+    layout: TableLayout = TableLayout(),
+    keys: Keys = Keys(),
+    horizon_hours: int = 24,
+    as_of: datetime | None = None,
+) -> DataFrame:
+    """`rows` with the champion's scores and the outcome of the selection.
+
+    Without a champion every row is there, unscored, and says so.
+    """
+    scored = score_batch(spark, rows, model_root, layout, keys, horizon_hours, as_of)
+    if scored is not None:
+        return scored.withColumn("selection_status", F.lit("CHAMPION SELECTED"))
+    ids = rows.select(keys.entity, keys.site, keys.time)
+    empty = {"failure_probability": "double", "prediction": "int", "risk_level": "string", "model_version": "string",
+             "model_run_id": "string", "prediction_timestamp": "timestamp"}
+    return ids.withColumns({c: F.lit(None).cast(kind) for c, kind in empty.items()}).withColumn("selection_status", F.lit("NO QUALIFIED CHAMPION"))
+
+
 def held_out_scores(spark: SparkSession, layout: TableLayout, run_id: str, split: str) -> DataFrame:
     return read_table(spark, _evaluations(layout)).where((F.col("model_run_id") == run_id) & (F.col("split") == split))

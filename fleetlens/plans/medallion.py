@@ -8,7 +8,7 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from fleetlens.config import INGESTION_SCHEMA, Keys, QualityRules, TableLayout, raw_schema
+from fleetlens.config import EVENT_DATE, INGESTION_SCHEMA, Keys, QualityRules, TableLayout, raw_schema
 from fleetlens.functions.shaping import conform, stamp_ingestion
 from fleetlens.functions.silver import silver
 from fleetlens.operators import features, kpi, labels
@@ -22,9 +22,9 @@ def prepare(
     """Schemas and the Bronze table; safe to repeat."""
     for schema in layout.schemas:
         ensure_schema(spark, schema)
-    columns = T.StructType(raw_schema(keys, time_type).fields + INGESTION_SCHEMA.fields)
+    columns = T.StructType(raw_schema(keys, time_type).fields + INGESTION_SCHEMA.fields + [T.StructField(EVENT_DATE, T.DateType())])
     create_partitioned_table(
-        spark, layout.readings_raw, columns, ["ingestion_date"], "Raw sensor readings with ingestion metadata"
+        spark, layout.readings_raw, columns, [EVENT_DATE], "Raw sensor readings with ingestion metadata"
     )
 
 
@@ -45,8 +45,11 @@ def ingest(
     return batch
 
 
-def build_silver(spark: SparkSession, layout: TableLayout = TableLayout(), rules: QualityRules = QualityRules()) -> DataFrame:
-    write_overwrite(silver(read_table(spark, layout.readings_raw), rules), layout.readings_clean)
+def build_silver(
+    spark: SparkSession, layout: TableLayout = TableLayout(), rules: QualityRules = QualityRules(), keys: Keys = Keys()
+) -> DataFrame:
+    """Silver, its files in order of machine and time, so that later readers skip row groups."""
+    write_overwrite(silver(read_table(spark, layout.readings_raw), rules), layout.readings_clean, cluster_by=[keys.entity, keys.time])
     return read_table(spark, layout.readings_clean)
 
 
@@ -54,12 +57,12 @@ def build_gold(spark: SparkSession, layout: TableLayout = TableLayout(), keys: K
     """Daily KPIs, health per reading, and the training table."""
     clean = read_table(spark, layout.readings_clean)
     write_overwrite(kpi.daily_kpi(clean, keys), layout.daily_kpi)
-    write_overwrite(kpi.machine_health(clean), layout.health)
-    write_overwrite(labels.training_set(clean, keys, horizon_hours), layout.training)
+    write_overwrite(kpi.machine_health(clean), layout.health, cluster_by=[keys.entity, keys.time])
+    write_overwrite(labels.training_set(clean, keys, horizon_hours), layout.training, cluster_by=[keys.entity, keys.time])
 
 
 def build_feature_table(spark: SparkSession, layout: TableLayout = TableLayout(), keys: Keys = Keys()) -> DataFrame:
-    write_overwrite(features.build_features(read_table(spark, layout.training), keys), layout.features)
+    write_overwrite(features.build_features(read_table(spark, layout.training), keys), layout.features, cluster_by=[keys.time])
     return read_table(spark, layout.features)
 
 

@@ -29,20 +29,29 @@ def tune(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Stores an intermediate result that several branches of a plan read, in reliable storage.
+_LOCAL_FOLDER: list[str] = []
+
+
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that all executors and the driver see: `spark.checkpoint.dir` of the session.
 
-    The folder is the session's `spark.checkpoint.dir`. Where none is set, a session on one
-    machine gets a temporary one, and a cluster session keeps the plan as it is.
+    Only a session on one machine may do without the setting; it gets a temporary folder.
     """
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if folder:
+        return folder.rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    if not _LOCAL_FOLDER:
+        _LOCAL_FOLDER.append(tempfile.mkdtemp(prefix="checkpoint-"))
+    return _LOCAL_FOLDER[0]
+
+
+def cut_lineage(df: DataFrame) -> DataFrame:
+    """Stores an intermediate result that several branches of a plan read, in the shared folder."""
     context = df.sparkSession.sparkContext
     if context.getCheckpointDir() is None:
-        folder = context.getConf().get("spark.checkpoint.dir", None)
-        if folder is None and context.master.startswith("local"):
-            folder = tempfile.mkdtemp(prefix="checkpoint-")
-        if folder is None:
-            return df
-        context.setCheckpointDir(folder)
+        context.setCheckpointDir(shared_folder(df.sparkSession))
     return df.checkpoint()
 
 

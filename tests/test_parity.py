@@ -17,7 +17,8 @@ def duck():
 
 def test_only_fitted_models_lack_sql():
     assert set(all_queries()) - set(all_sql()) == {
-        "train_logistic", "train_forest", "train_gbt", "feature_importance", "batch_scores", "ml_pipeline"
+        "train_logistic", "train_forest", "train_gbt", "feature_importance", "batch_scores", "ml_pipeline",
+        "champion_scores", "champion_scores_none",
     }
 
 

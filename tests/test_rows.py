@@ -128,6 +128,24 @@ def test_upsert_into_a_path_is_idempotent(spark, tmp_path):
     assert spark.read.parquet(path).count() == 5
 
 
+def test_upsert_reads_the_days_of_the_batch_and_repeats_nothing(spark, tmp_path):
+    path = f"{tmp_path}/bronze"
+    schema = "turbine_id string, reading_ts timestamp_ntz, v int"
+    rows = [("A", T0 + timedelta(days=d), d) for d in range(20)] + [(None, T0, 1), ("B", None, 2), (None, None, 3)]
+    df = spark.createDataFrame(rows, schema)
+    ingest.upsert_new_only(path, df.where("v < 10"), ["turbine_id", "reading_ts"], "reading_ts")
+    for _ in range(2):
+        ingest.upsert_new_only(path, df, ["turbine_id", "reading_ts"], "reading_ts")
+    stored = spark.read.parquet(path)
+    assert stored.count() == len(rows) and stored.select("event_date").distinct().count() == 21
+    part = ingest.within_batch_dates(stored, df.where("v = 4").withColumn("event_date", F.to_date("reading_ts")))
+    assert {r.v for r in part.collect()} == {4}
+    plan = part._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(event_date" in plan or "PartitionFilters: [event_date" in plan
+    undated = ingest.within_batch_dates(stored, df.where("v = 2").withColumn("event_date", F.to_date("reading_ts")))
+    assert {r.turbine_id for r in undated.collect()} == {"A", "B", None}
+
+
 def test_horizon_is_closed_and_exact(spark):
     keys = Keys(time="ts")
     rows = [("A", T0, 0), ("A", T0 + timedelta(seconds=1), 0), ("A", T0 + timedelta(hours=24, seconds=1), 1), ("B", T0, 0)]

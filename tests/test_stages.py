@@ -37,7 +37,7 @@ def bronze(spark):
 
 @pytest.fixture(scope="module")
 def features(spark, bronze):
-    assert medallion.build_silver(spark, LAYOUT).count() == 1000
+    assert medallion.build_silver(spark, LAYOUT, keys=KEYS).count() == 1000
     medallion.build_gold(spark, LAYOUT, KEYS)
     return medallion.build_feature_table(spark, LAYOUT, KEYS)
 

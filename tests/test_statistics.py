@@ -8,7 +8,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from fleetlens.functions.tests_of_fit import chi2_pvalue, ks_pvalue
+from fleetlens.functions.tests_of_fit import chi2_pvalue, ks_pvalue, ks_pvalue_asymptotic
 from fleetlens.operators import drift, evaluate
 
 RNG = np.random.default_rng(5)
@@ -40,15 +40,14 @@ SAMPLES = {
 }
 
 
-@pytest.mark.parametrize("max_rows", [20, 10_000])
-def test_psi_and_ks_match_numpy(spark, max_rows):
+def test_psi_and_ks_match_numpy(spark):
     names = list(SAMPLES)
     sides = []
     for side in (0, 1):
         longest = max(len(SAMPLES[n][side]) for n in names)
         wide = [[float(SAMPLES[n][side][i]) if i < len(SAMPLES[n][side]) else None for n in names] for i in range(longest)]
         sides.append(spark.createDataFrame(wide, ", ".join(f"`{n}` double" for n in names)))
-    out = {r["feature"]: r for r in drift.data_drift(*sides, names, max_rows=max_rows).collect()}
+    out = {r["feature"]: r for r in drift.data_drift(*sides, names).collect()}
     assert set(out) == set(names)
     for n, (base, cur) in SAMPLES.items():
         assert out[n]["psi_value"] == pytest.approx(psi_by_hand(base, cur), abs=1e-12), n
@@ -80,6 +79,57 @@ def test_tail_probabilities(spark):
     assert row.select(ks_pvalue(F.lit(1.3581 / math.sqrt(500)), F.lit(1000), F.lit(1000))).first()[0] == pytest.approx(0.05, abs=1e-4)
 
 
+def ks_orders(d, n, m):
+    """The share of all orders of n and m rows that come as far apart as d, every order counted."""
+    import itertools
+
+    hits = total = 0
+    for ones in itertools.combinations(range(n + m), n):
+        i = j = far = 0
+        for k in range(n + m):
+            i, j = (i + 1, j) if k in ones else (i, j + 1)
+            far = max(far, abs(i * m - j * n))
+        total += 1
+        hits += far >= round(d * n * m)
+    return hits / total
+
+
+def test_exact_ks_pvalue(spark):
+    cases = [(n, m, k / (n * m)) for n, m in ((1, 1), (1, 4), (3, 3), (5, 4), (6, 7), (2, 9)) for k in range(0, n * m + 1, max(1, n * m // 5))]
+    df = spark.createDataFrame([(n, m, d) for n, m, d in cases], "n long, m long, d double")
+    found = {(r.n, r.m, r.d): r.p for r in df.select("*", ks_pvalue(F.col("d"), F.col("n"), F.col("m")).alias("p")).collect()}
+    for n, m, d in cases:
+        assert found[(n, m, d)] == pytest.approx(ks_orders(d, n, m), abs=1e-12), (n, m, d)
+    # far apart: 2 / C(60, 30), no digits lost; large samples: the limit, which the exact value approaches
+    far, near, limit = spark.range(1).select(
+        ks_pvalue(F.lit(1.0), F.lit(30), F.lit(30)), ks_pvalue(F.lit(0.1), F.lit(500), F.lit(500)),
+        ks_pvalue_asymptotic(F.lit(0.1), F.lit(500), F.lit(500)),
+    ).first()
+    assert far == pytest.approx(2 / math.comb(60, 30), rel=1e-9) and near == pytest.approx(limit, rel=0.15)
+    over = spark.range(1).select(ks_pvalue(F.lit(0.1), F.lit(501), F.lit(500)), ks_pvalue_asymptotic(F.lit(0.1), F.lit(501), F.lit(500))).first()
+    assert over[0] == over[1]
+
+
+def test_no_score_row_moves_by_its_feature_or_model_alone(spark):
+    import re
+
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        rows = spark.range(500).selectExpr("cast(id % 3 as string) model_name", "cast(id % 2 as int) y", "id / 7.0D s")
+        ranked = evaluate.ranking_metrics(rows, "y", "s", ["model_name"])._jdf.queryExecution().executedPlan().toString()
+        samples = drift.two_samples(rows, rows, ["s", "y"])
+        compared = drift.compare_samples(samples)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    for plan, key in ((ranked, "model_name"), (compared, "feature")):
+        # an exchange by the key alone carries partial aggregates, one row per task and key
+        for part in plan.split("Exchange hashpartitioning(")[1:]:
+            keys, below = part.split(", ", 1)
+            if re.match(rf"{key}#\d+$", keys):
+                assert "partial_" in below.split("\n")[1] or "Aggregate" in below.split("\n")[1], part[:300]
+
+
 def test_chi_square_by_hand(spark):
     def labels(zeros, ones, twos=0):
         return spark.createDataFrame([(0,)] * zeros + [(1,)] * ones + [(2,)] * twos, "y int")
@@ -101,13 +151,12 @@ def test_chi_square_by_hand(spark):
     assert gone["target_shift"] == 0.5 and gone["chi2_statistic"] is None
 
 
-@pytest.mark.parametrize("max_rows", [10, 10_000])
-def test_ranking_metrics_match_brute_force(spark, max_rows):
+def test_ranking_metrics_match_brute_force(spark):
     score = RNG.integers(0, 40, 300) / 40
     y = (RNG.random(300) < 0.2 + 0.4 * score).astype(int)
     df = spark.createDataFrame([("m", int(a), float(s)) for a, s in zip(y, score)], "model_name string, y int, s double")
     for by in ((), ("model_name",)):
-        out = evaluate.ranking_metrics(df, "y", "s", by, max_rows=max_rows).first()
+        out = evaluate.ranking_metrics(df, "y", "s", by).first()
         pos, neg = score[y == 1], score[y == 0]
         auc = np.mean((pos[:, None] > neg[None, :]) + 0.5 * (pos[:, None] == neg[None, :]))
         steps = [(np.sum(pos == s) / len(pos)) * np.sum(pos >= s) / np.sum(score >= s) for s in np.unique(score)]
