@@ -33,10 +33,15 @@ def unique_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def distinct_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the smallest id of each group of near duplicates (five words, 0.8), and rows without an id."""
+    """Keeps the smallest id of each group of near duplicates (five words, 0.8), and rows without an id.
+
+    Different texts of a kept id all stay; of rows alike in id and text the first by the other columns.
+    """
     found = minhash.near_duplicates(docs)
     kept = found.where("kept and id is not null").select(F.col("id").alias("doc_id")).distinct()
-    one = docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    others = [c for c in docs.columns if c not in ("doc_id", "text")]
+    one = docs.join(kept, "doc_id", "left_semi").groupBy("doc_id", "text").agg(F.min(F.struct(*others)).alias("rest"))
+    one = one.select("doc_id", "text", "rest.*").select(*docs.columns)
     return one.unionByName(docs.where(F.col("doc_id").isNull()))
 
 

@@ -8,7 +8,7 @@ places are grouped by the chunk's own bytes.
 
 Every row of the input is one document. Null text stays null and has no lines; an empty text
 has one empty line. The first place is the one with the smallest (id, chunk number), rows
-without an id last. Rows alike in id and text count as one document, so a repeated row keeps
+without an id last; among different texts of one id, or without one, the smallest digest goes first. Rows alike in id and text count as one document, so a repeated row keeps
 what its twin keeps.
 """
 
@@ -97,12 +97,12 @@ def dedup_lines(
     nominated = stored(hashed.join(repeated, "hash", "left_semi"), "line-chunks")
 
     place = nominated.withColumn("order", id_order("id"))
-    # two plain minima: the smallest id, then the smallest chunk number with that id
-    smallest = place.groupBy("bytes", "order").agg(F.min("number").alias("number"))
-    first = smallest.groupBy("bytes").agg(F.min(F.struct("order", "number")).alias("first"))
+    # the smallest chunk number of each document, then the first document: rows may share an id or have none
+    smallest = place.groupBy("bytes", "order", "key").agg(F.min("number").alias("number"))
+    first = smallest.groupBy("bytes").agg(F.min(F.struct("order", "key", "number")).alias("first"))
     later = (
         place.join(first, "bytes")
-        .where((F.col("order") != F.col("first.order")) | (F.col("number") != F.col("first.number")))
+        .where((F.col("key") != F.col("first.key")) | (F.col("number") != F.col("first.number")))
         .select("key", "number", "n")
     )
     removed = (

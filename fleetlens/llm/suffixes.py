@@ -134,11 +134,12 @@ def _contexts(settings: Settings):
                     before = padded[width + at[:, None] + settings.gram - 1 - reach]
                     first, grams, hashes = runs(own, crowded) if len(crowded) else ([], [], [])
                     none, others = [None] * len(at), [None] * len(crowded)
+                    digests = [digest] * (len(at) + len(crowded))
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(np.full(len(at) + len(crowded), one), pa.int64()), pa.array([*at, *first], pa.int64()),
                          pa.array([*(r.tobytes() for r in after.astype(">u4")), *others], pa.binary()),
                          pa.array([*(r.tobytes() for r in before.astype(">u4")), *others], pa.binary()),
-                         pa.array([*none, *[digest] * len(crowded)], pa.binary()), pa.array([*none, *grams], pa.int64()),
+                         pa.array(digests, pa.binary()), pa.array([*none, *grams], pa.int64()),
                          pa.array([*none, *hashes], pa.list_(pa.int64()))],
                         names=["id", "place", "after", "before", "digest", "gram", "runs"],
                     )
@@ -240,6 +241,24 @@ def _run_spans(places: DataFrame, settings: Settings) -> DataFrame:
     )
 
 
+#: A gram that more than this share of all repeated ones has is hot; there are at most as many hot grams.
+HOT_SHARE = 50_000
+
+
+def _with_times(suffixes: DataFrame, shared: DataFrame) -> DataFrame:
+    """The suffixes whose gram occurs more than once, with `times`.
+
+    A hot gram may have a third of all suffixes. Hot ones are at most `HOT_SHARE`, as each
+    holds more than a `HOT_SHARE`-th of all, so they are broadcast and their suffixes stay where they
+    are; all others meet their count by a join whose largest key is small.
+    """
+    total = shared.agg(F.sum("times")).first()[0] or 0
+    hot = shared.where(F.col("times") * HOT_SHARE > total).where("times > 1000")
+    marked = suffixes.join(F.broadcast(hot), "gram", "left")
+    cold = marked.where("times is null").drop("times").join(shared.join(F.broadcast(hot.select("gram")), "gram", "left_anti"), "gram")
+    return marked.where("times is not null").unionByName(cold)
+
+
 def _sorted_spans(contexts: DataFrame, order: str, settings: Settings, name: str) -> DataFrame:
     """Spans (id, begin, end) from the suffix order by `order`.
 
@@ -251,7 +270,7 @@ def _sorted_spans(contexts: DataFrame, order: str, settings: Settings, name: str
     found = stored(ordered.mapInArrow(_compare(settings, True), _SPANS), name)
     borders = (
         found.where("edge > 0").select("id", "place", "after", "before")
-        .coalesce(1).sortWithinPartitions(order, "id", "place").mapInArrow(_compare(settings, False), _SPANS)
+        .repartition(1).sortWithinPartitions(order, "id", "place").mapInArrow(_compare(settings, False), _SPANS)
     )
     return found.where("edge = 0").unionByName(borders).select("id", "begin", "end")
 
@@ -276,8 +295,8 @@ def repeated_passages(
     classes = stored(classes, "suffix-classes")
     pairs = F.explode(F.arrays_zip("places", "grams")).alias("s")
     suffixes = classes.select("id", "digest", pairs).select("id", "digest", F.col("s.places").alias("place"), F.col("s.grams").alias("gram"))
-    shared = suffixes.groupBy("gram").agg(F.count(F.lit(1)).alias("times")).where("times > 1")
-    wanted = suffixes.join(shared, "gram").groupBy("id", "digest").agg(
+    shared = stored(suffixes.groupBy("gram").agg(F.count(F.lit(1)).alias("times")).where("times > 1"), "suffix-grams")
+    wanted = _with_times(suffixes, shared).groupBy("id", "digest").agg(
         F.collect_list(F.when(F.col("times") == 2, F.col("place"))).alias("places"),
         F.collect_list(F.when(F.col("times") > 2, F.col("place"))).alias("crowded"),
     )
@@ -285,12 +304,14 @@ def repeated_passages(
         wanted.join(base.where("text is not null"), "id").select("id", "digest", "places", "crowded", "text")
         .mapInArrow(_contexts(settings), _PLACES), "suffix-contexts",
     )
-    pairs = contexts.where("after is not null").select("id", "place", "after", "before")
+    # from here on a text is known by its digest: ids may be shared by different texts
+    code = F.xxhash64("digest")
+    pairs = contexts.where("after is not null").select(code.alias("id"), "place", "after", "before")
     spans = _sorted_spans(pairs, "after", settings, "suffix-after")
     runs = _run_spans(contexts.where("runs is not null").select("digest", "place", "gram", "runs"), settings)
-    runs = runs.join(classes.select("digest", F.xxhash64("digest").alias("class")), "class").select("digest", "begin", "end")
+    runs = runs.join(classes.select("digest", code.alias("class")), "class").select("digest", "begin", "end")
     # copies of a class take over its spans; a class of several ids is repeated as a whole
-    per_class = spans.join(classes.select("id", "digest", "n", "other"), "id").where("id = other")
+    per_class = spans.join(classes.where("id = other").select(code.alias("id"), "digest"), "id")
     copied = classes.where("id != other").select("digest", F.lit(0).cast("long").alias("begin"), F.col("n").alias("end"))
     by_digest = per_class.select("digest", "begin", "end").unionByName(copied).unionByName(runs).groupBy("digest").agg(
         F.collect_set(F.struct("begin", "end")).alias("spans")
