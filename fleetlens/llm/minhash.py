@@ -306,6 +306,18 @@ def _family_links(families: DataFrame, signatures: DataFrame, texts: DataFrame,
     )
 
 
+def _same_id(whole: DataFrame, classes: DataFrame) -> DataFrame:
+    """Edges (a, b) between the classes that texts of one id belong to. None where ids are unique."""
+    code = F.xxhash64("set_key")
+    several = whole.groupBy("id").agg(F.min(code).alias("low"), F.max(code).alias("high")).where("low != high").select("id")
+    named = stored(
+        whole.join(several, "id").select("id", "set_key").join(classes.select("set_key", "class"), "set_key").select("id", "class").distinct(),
+        "minhash-shared-ids",
+    )
+    least = named.groupBy("id").agg(F.min("class").alias("a"))
+    return named.join(least, "id").select("a", F.col("class").alias("b")).where("a != b").distinct()
+
+
 def near_duplicates(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", settings: Settings = Settings()
 ) -> DataFrame:
@@ -337,7 +349,7 @@ def near_duplicates(
     )
     signatures = whole.join(classes.select(F.col("class").alias("id"), "set_key"), ["id", "set_key"], "left_semi").select("id", "signature")
     texts = base.where("id is not null and text is not null")
-    first = _links(stars, signatures, texts, settings, "minhash-first")
+    first = _links(stars, signatures, texts, settings, "minhash-first").unionByName(_same_id(whole, classes))
     roots = components(first, "minhash-first")
     placed = stored(
         classes.select("class", "n").join(roots.withColumnRenamed("node", "class"), "class", "left")
@@ -356,10 +368,13 @@ def near_duplicates(
         roots.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(second), "minhash-final"
     )
     named = classes.select("set_key", "class").join(final.withColumnRenamed("node", "class"), "class", "left")
-    # rows that share an id are one node: the node's component is the smallest of its sets'
     component = named.select("set_key", F.coalesce("root", "class").alias("component_id"))
+    filled = prints.where("set_key is not null").select("id", "n", "set_key").join(component, "set_key", "left").select("id", "n", "component_id")
+    # an empty text goes with the other texts of its id, if there are any
+    empty = prints.where("set_key is null").select("id", "n")
+    empty = empty.join(filled.groupBy("id").agg(F.min("component_id").alias("component_id")), "id", "left")
     return (
-        prints.select("id", "n", "set_key").join(component, "set_key", "left")
+        filled.unionByName(empty)
         .select(
             "id", F.col("n").alias("n_shingles"),
             F.when(F.col("id").isNotNull(), F.coalesce("component_id", "id")).alias("component_id"),

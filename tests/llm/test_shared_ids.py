@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import corpus_pipeline
-from fleetlens.llm import lines, suffixes
+from fleetlens.llm import lines, minhash, suffixes
 from tests.llm.test_corners import words
 
 
@@ -43,3 +43,15 @@ def test_near_dedup_stage_keeps_different_texts_of_an_id(spark):
     rows = [(1, a, "en", "s2", 1), (1, a, "en", "s1", 1), (1, b, "en", "s", 1), (2, words(50, 83), None, None, None), (None, a, "en", "s", 1)]
     kept = corpus_pipeline.distinct_documents(spark, spark.createDataFrame(rows, schema).repartition(3), "").collect()
     assert sorted((r.doc_id or 0, r.text, r.source) for r in kept) == sorted([(1, a, "s1"), (1, b, "s"), (2, rows[3][1], None), (0, a, "s")])
+
+
+def test_near_duplicates_of_texts_that_share_an_id(spark):
+    """Rows of one id are one node: what one of its texts is linked with, all are."""
+    a, b, c = (words(60, 90 + k) for k in range(3))
+    near = " ".join(c.split()[:58] + ["other", "end"])
+    rows = [(5, a), (5, b), (3, b), (9, c), (5, ""), (8, near), (8, a), (11, words(60, 99)), (12, None), (None, a)]
+    found = minhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()
+    assert len(found) == len(rows)
+    assert {(r.id, r.component_id, r.kept) for r in found} == {
+        (5, 3, False), (3, 3, True), (8, 3, False), (9, 3, False), (11, 11, True), (12, 12, True), (None, None, True)
+    }
