@@ -11,11 +11,14 @@ from fleetlens.config import label_name
 from fleetlens.functions.domain import vibration_magnitude
 from fleetlens.functions.silver import silver as to_silver
 from fleetlens.operators import evaluate, labels
-from fleetlens.sources.readings import KEYS, readings
+from fleetlens.session import cut_lineage
+from fleetlens.catalog.readings import KEYS, readings
 
 AS_OF = datetime(2024, 2, 1)
 #: Width of a chunk of time: the feed covers 30 days, so each machine has 20 chunks.
 CHUNK = 36 * 3600
+#: The same for frames over 36 earlier rows, which is 18 days here: every row is copied into all chunks that see it.
+FRAME_CHUNK = 72 * 3600
 LABEL = label_name()
 
 
@@ -31,6 +34,11 @@ def training(spark: SparkSession, folder: str) -> DataFrame:
     return labels.training_set(silver(spark, folder), KEYS)
 
 
+def stored_training(spark: SparkSession, folder: str) -> DataFrame:
+    """The training table as later stages meet it: stored."""
+    return cut_lineage(training(spark, folder))
+
+
 def scored(spark: SparkSession, folder: str) -> DataFrame:
     """Labelled readings with a score that does not depend on a fitted model."""
     step = (F.col("event_id").cast("long") * 61) % 1001

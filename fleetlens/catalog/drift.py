@@ -13,7 +13,8 @@ from fleetlens.catalog.sql import over, rounded, rounded_sql
 from fleetlens.config import TRAINING_COLUMNS
 from fleetlens.functions.tests_of_fit import EXACT_CELLS
 from fleetlens.operators import drift
-from fleetlens.sources.readings import readings
+from fleetlens.session import cut_lineage
+from fleetlens.catalog.readings import readings
 
 #: Every numeric column of the feature table.
 FEATURES = (*TRAINING_COLUMNS, *ENGINEERED)
@@ -27,7 +28,7 @@ _FRACTION = 0.9
 
 
 def _samples(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
-    baseline, current = halves(feature_table(spark, folder), _FRACTION)
+    baseline, current = halves(cut_lineage(feature_table(spark, folder)), _FRACTION)
     return baseline, current.withColumns({c: F.expr(e.replace("e0", "D")) for c, e in _SHIFTS.items()})
 
 

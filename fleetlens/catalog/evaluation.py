@@ -12,7 +12,7 @@ from fleetlens.config import TRAINING_COLUMNS
 from fleetlens.functions.domain import risk_level
 from fleetlens.operators import evaluate, kpi, train
 from fleetlens.operators.ordering import epoch_micros
-from fleetlens.sources.readings import KEYS
+from fleetlens.catalog.readings import KEYS
 
 _SPLIT = """split_rows as (select *, case when position < floor(n * 0.7e0) then 'train' when position < floor(n * 0.85e0)
  then 'validation' else 'test' end as split from (select *, row_number() over (order by reading_ts, turbine_id) - 1 as position,

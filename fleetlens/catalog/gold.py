@@ -10,7 +10,7 @@ from fleetlens.catalog.data import CHUNK, LABEL, silver, training
 from fleetlens.catalog.sql import over, rounded, rounded_sql
 from fleetlens.functions import domain
 from fleetlens.operators import episodes, kpi, labels
-from fleetlens.sources.readings import KEYS, readings
+from fleetlens.catalog.readings import KEYS, readings
 
 _KPI_DOUBLES = (
     "average_wind_speed", "max_wind_speed", "average_power", "total_energy", "average_temperature",
@@ -251,7 +251,7 @@ _ELECTRICAL = ("reactive_kvar", "apparent_kva", "power_factor_calc", "load_pct",
     ),
 )
 def electrical_derived(spark: SparkSession, folder: str) -> DataFrame:
-    derived = readings(spark, folder).select("event_id", *[c.alias(n) for n, c in domain.electrical().items()])
+    derived = readings(spark, folder).select("event_id", *[c.alias(n) for n, c in domain.derived().items()])
     return rounded(derived, _ELECTRICAL)
 
 
@@ -280,6 +280,23 @@ def status_flags(spark: SparkSession, folder: str) -> DataFrame:
     return stated.select("event_id", *[c.alias(n) for n, c in domain.status_flags().items()])
 
 
+@query(
+    "status_disagreements",
+    over(
+        "readings",
+        f"select turbine_id, count(*) as readings, count(*) filter (where operating_state is distinct from {_STATE}) as operating_state_differs, "
+        "count(*) filter (where availability_flag is distinct from cast(health_status >= 0.3e0 as int)) as availability_flag_differs, "
+        "count(*) filter (where grid_connected_flag is distinct from cast(operating_state = 'RUNNING' as int)) as grid_connected_flag_differs, "
+        "count(*) filter (where maintenance_mode_flag is distinct from cast(health_status >= 0.3e0 and health_status < 1 as int)) as maintenance_mode_flag_differs, "
+        "count(*) filter (where alarm_flag is distinct from cast(health_status < 0.7e0 as int)) as alarm_flag_differs, "
+        "count(*) filter (where failure_flag is distinct from cast(health_status < 0.3e0 as int)) as failure_flag_differs "
+        "from readings group by turbine_id",
+    ),
+)
+def status_disagreements(spark: SparkSession, folder: str) -> DataFrame:
+    return kpi.disagreements(readings(spark, folder), KEYS)
+
+
 @query(
     "classify_alarms",
     over(

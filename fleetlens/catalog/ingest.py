@@ -16,7 +16,7 @@ from fleetlens.functions.shaping import add_aliases, conform, stamp_ingestion
 from fleetlens.operators.dedup import dedup_latest
 from fleetlens.operators.ingest import merge_new_only, upsert_new_only
 from fleetlens.session import shared_folder
-from fleetlens.sources.readings import KEYS, MAPPING, raw_readings, readings
+from fleetlens.catalog.readings import KEYS, MAPPING, raw_readings, readings
 from fleetlens.sources.tables import changes_since, read_table
 
 _ID = "event_id, turbine_id, reading_ts"

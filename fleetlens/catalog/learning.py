@@ -9,13 +9,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fleetlens.catalog import query
-from fleetlens.catalog.data import AS_OF, CHUNK, LABEL, training
+from fleetlens.catalog.data import AS_OF, FRAME_CHUNK, LABEL, stored_training
 from fleetlens.config import FolderLayout
 from fleetlens.functions.shaping import feature_columns
 from fleetlens.operators import evaluate, features, train
 from fleetlens.plans import learning
 from fleetlens.session import cut_lineage, shared_folder
-from fleetlens.sources.readings import KEYS
+from fleetlens.catalog.readings import KEYS
 from fleetlens.sources.tables import read_table, write_overwrite
 
 IDS = ("turbine_id", "farm_id", "reading_ts")
@@ -25,7 +25,7 @@ CANDIDATES = {c.name: c for c in train.CANDIDATES}
 
 def _split(spark: SparkSession, folder: str) -> tuple[DataFrame, list[str]]:
     """Features with their split. A fit reads its input many times, so it is stored."""
-    table = cut_lineage(features.build_features(training(spark, folder), KEYS, CHUNK))
+    table = cut_lineage(features.build_features(stored_training(spark, folder), KEYS, FRAME_CHUNK))
     split = evaluate.temporal_split(table, KEYS)
     return split, feature_columns(split, [*IDS, LABEL, "split"])
 
@@ -82,7 +82,7 @@ def _champion_scores(spark: SparkSession, folder: str, gate: float) -> DataFrame
     """From stored features to stored comparison, promoted model and scores of the test part."""
     root = f"{shared_folder(spark)}/learning-{uuid.uuid4().hex}"
     layout = FolderLayout(root=root)
-    write_overwrite(features.build_features(training(spark, folder), KEYS, CHUNK), layout.features)
+    write_overwrite(features.build_features(stored_training(spark, folder), KEYS, FRAME_CHUNK), layout.features)
     stored = read_table(spark, layout.features)
     learning.train_and_compare(spark, f"{root}/models", layout, KEYS, train.CANDIDATES[:1], min_recall=gate, as_of=AS_OF)
     test = evaluate.temporal_split(stored, KEYS).where("split = 'test'").drop("split")
@@ -107,7 +107,7 @@ def ml_pipeline(spark: SparkSession, folder: str) -> DataFrame:
     """Four candidates on validation data, the champion again on test data."""
     split, names = _split(spark, folder)
     models = {name: _fit(split, names, name) for name in CANDIDATES}
-    selection = evaluate.select_champion(_measured(split, names, models, "validation")).persist()
+    selection = cut_lineage(evaluate.select_champion(_measured(split, names, models, "validation")))
     winner = selection.where("is_champion").select("model_name").first()
     validation = selection.withColumn("evaluated_on", F.lit("validation"))
     if winner is None:

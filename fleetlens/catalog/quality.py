@@ -12,7 +12,7 @@ from fleetlens.config import SILVER_DEFAULTS, raw_schema
 from fleetlens.functions.quality import add_quality
 from fleetlens.functions.shaping import add_aliases, nan_to_null
 from fleetlens.operators import kpi
-from fleetlens.sources.readings import KEYS, readings
+from fleetlens.catalog.readings import KEYS, readings
 
 
 def _flagged(spark: SparkSession, folder: str, *columns: str) -> DataFrame:

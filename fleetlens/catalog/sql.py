@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fleetlens.config import SILVER_DEFAULTS, TRAINING_COLUMNS, label_name
-from fleetlens.sources.readings import MAPPING
+from fleetlens.catalog.readings import MAPPING
 
 DIGITS = 6
 NUDGE = 1e-9

@@ -28,19 +28,18 @@ _STRINGS = {
 _FLAGS = {
     "availability_flag", "grid_connected_flag", "maintenance_mode_flag", "alarm_flag", "failure_flag",
 }
-RAW_COLUMNS = (
-    "event_id turbine_id farm_id timestamp turbine_model turbine_age_years "
-    "wind_speed wind_direction ambient_temperature humidity atmospheric_pressure air_density precipitation "
-    "rotor_speed_rpm generator_speed_rpm blade_pitch_angle yaw_angle yaw_error "
-    "gearbox_temperature generator_temperature bearing_temperature "
-    "main_bearing_temperature nacelle_temperature brake_temperature "
-    "hydraulic_pressure hydraulic_oil_temperature gearbox_oil_temperature gearbox_oil_pressure "
-    "vibration_x vibration_y vibration_z vibration_rms vibration_peak vibration_kurtosis "
-    "active_power_kw reactive_power_kvar apparent_power_kva voltage_v current_a power_factor "
-    "grid_frequency_hz generator_load_pct electrical_efficiency "
-    "operating_state availability_flag grid_connected_flag maintenance_mode_flag "
-    "alarm_flag alarm_code alarm_severity failure_flag failure_type operating_hours health_status"
-).split()
+RAW_COLUMNS = [
+    "event_id", "turbine_id", "farm_id", "timestamp", "turbine_model", "turbine_age_years", "wind_speed",
+    "wind_direction", "ambient_temperature", "humidity", "atmospheric_pressure", "air_density", "precipitation",
+    "rotor_speed_rpm", "generator_speed_rpm", "blade_pitch_angle", "yaw_angle", "yaw_error", "gearbox_temperature",
+    "generator_temperature", "bearing_temperature", "main_bearing_temperature", "nacelle_temperature",
+    "brake_temperature", "hydraulic_pressure", "hydraulic_oil_temperature", "gearbox_oil_temperature",
+    "gearbox_oil_pressure", "vibration_x", "vibration_y", "vibration_z", "vibration_rms", "vibration_peak",
+    "vibration_kurtosis", "active_power_kw", "reactive_power_kvar", "apparent_power_kva", "voltage_v", "current_a",
+    "power_factor", "grid_frequency_hz", "generator_load_pct", "electrical_efficiency", "operating_state",
+    "availability_flag", "grid_connected_flag", "maintenance_mode_flag", "alarm_flag", "alarm_code", "alarm_severity",
+    "failure_flag", "failure_type", "operating_hours", "health_status",
+]
 
 #: Day of a reading, by which the raw table is partitioned.
 EVENT_DATE = "event_date"
@@ -148,6 +147,33 @@ ALARMS: tuple[tuple[str, str], ...] = (
 # Severity by the first bound that the health is under.
 SEVERITIES: tuple[tuple[float, str], ...] = ((0.3, "CRITICAL"), (0.5, "WARNING"), (0.7, "INFO"))
 
+# The state a machine should report; the first condition that holds decides.
+STATES: tuple[tuple[str, str], ...] = (
+    ("wind_speed < 3", "STOPPED"),
+    ("health_status < 0.3", "FAULT"),
+    ("wind_speed > 25", "EMERGENCY_STOP"),
+    ("wind_speed < 4", "STARTING"),
+    ("true", "RUNNING"),
+)
+# The flags it should set.
+STATUS_FLAGS: dict[str, str] = {
+    "availability_flag": "health_status >= 0.3",
+    "grid_connected_flag": "operating_state = 'RUNNING'",
+    "maintenance_mode_flag": "health_status >= 0.3 and health_status < 1",
+    "alarm_flag": "health_status < 0.7",
+    "failure_flag": "health_status < 0.3",
+}
+# Electrical quantities that follow from active power and voltage, and the density of air.
+ELECTRICAL: dict[str, str] = {
+    "reactive_kvar": "active_power_kw * 0.08D",
+    "apparent_kva": "sqrt(pow(active_power_kw, 2) + pow(active_power_kw * 0.08D, 2))",
+    "power_factor_calc": "case when active_power_kw <> 0 then active_power_kw / sqrt(pow(active_power_kw, 2) + pow(active_power_kw * 0.08D, 2)) "
+    "when active_power_kw = 0 then 1D end",
+    "load_pct": "active_power_kw / 2500D * 100D",
+    "current_calc": "case when voltage_v > 0 then active_power_kw * 1000D / (voltage_v * (sqrt(3D) * 0.99D)) else 0D end",
+}
+AIR_DENSITY = "1.225D * (atmospheric_pressure / 1013D) * (288D / (ambient_temperature + 273D))"
+
 # Working names of raw columns, as SQL.
 ALIASES: dict[str, str] = {
     "rotor_speed": "rotor_speed_rpm",
@@ -177,12 +203,12 @@ SILVER_DEFAULTS: dict[str, float] = {
 }
 
 # Measurements that reach the training table.
-TRAINING_COLUMNS = (
-    "wind_speed wind_direction ambient_temperature rotor_speed generator_speed "
-    "gearbox_temperature generator_temperature bearing_temperature nacelle_temperature oil_temperature "
-    "hydraulic_pressure vibration_x vibration_y vibration_z power_output active_power blade_pitch_angle "
-    "operating_hours quality_score"
-).split()
+TRAINING_COLUMNS = [
+    "wind_speed", "wind_direction", "ambient_temperature", "rotor_speed", "generator_speed", "gearbox_temperature",
+    "generator_temperature", "bearing_temperature", "nacelle_temperature", "oil_temperature", "hydraulic_pressure",
+    "vibration_x", "vibration_y", "vibration_z", "power_output", "active_power", "blade_pitch_angle",
+    "operating_hours", "quality_score",
+]
 
 
 def label_name(horizon_hours: int = 24) -> str:

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterable, Mapping, Sequence
 from functools import reduce
 from operator import add
@@ -10,7 +9,9 @@ from operator import add
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from fleetlens.config import ALARMS, HEALTH_PENALTIES, HEALTH_WEIGHTS, SEVERITIES
+from fleetlens.config import (
+    AIR_DENSITY, ALARMS, ELECTRICAL, HEALTH_PENALTIES, HEALTH_WEIGHTS, SEVERITIES, STATES, STATUS_FLAGS,
+)
 
 
 def magnitude(*columns: str) -> Column:
@@ -79,48 +80,26 @@ def expected_power(
     return F.when(w.isNull(), None).when(w.between(cut_in, cut_out), curve).otherwise(0.0)
 
 
-def air_density(pressure: str = "atmospheric_pressure", temperature: str = "ambient_temperature") -> Column:
-    return F.lit(1.225) * (F.col(pressure) / 1013.0) * (F.lit(288.0) / (F.col(temperature) + 273.0))
+def air_density(formula: str = AIR_DENSITY) -> Column:
+    return F.expr(formula)
 
 
-def electrical(active_kw: str = "active_power_kw", voltage: str = "voltage_v", rated_kw: float = 2500.0) -> dict[str, Column]:
-    """Quantities derived from active power; every division is guarded for ANSI mode."""
-    p = F.col(active_kw)
-    reactive = p * 0.08
-    apparent = F.sqrt(p * p + reactive * reactive)
-    volts = F.col(voltage)
-    return {
-        "reactive_kvar": reactive,
-        "apparent_kva": apparent,
-        "power_factor_calc": F.when(apparent > 0, p / apparent).when(apparent.isNotNull(), 1.0),
-        "load_pct": p / rated_kw * 100.0,
-        "current_calc": F.when(volts > 0, p * 1000.0 / (volts * (math.sqrt(3.0) * 0.99))).otherwise(0.0),
-    }
+def derived(formulas: Mapping[str, str] = ELECTRICAL) -> dict[str, Column]:
+    """What columns should hold by the others of their row."""
+    return {name: F.expr(formula) for name, formula in formulas.items()}
 
 
-def operating_state(
-    wind: str = "wind_speed", health: str = "health_status", cut_in: float = 3.0, cut_out: float = 25.0
-) -> Column:
-    """First matching rule wins."""
-    w, h = F.col(wind), F.col(health)
-    return (
-        F.when(w < cut_in, "STOPPED")
-        .when(h < 0.3, "FAULT")
-        .when(w > cut_out, "EMERGENCY_STOP")
-        .when(w < cut_in + 1, "STARTING")
-        .otherwise("RUNNING")
-    )
+def operating_state(rules: Sequence[tuple[str, str]] = STATES) -> Column:
+    return _first_match((F.expr(condition), state) for condition, state in rules)
+
+
+def status_flags(rules: Mapping[str, str] = STATUS_FLAGS) -> dict[str, Column]:
+    return {name: F.expr(condition).cast("int") for name, condition in rules.items()}
 
 
-def status_flags(health: str = "health_status", state: str = "operating_state") -> dict[str, Column]:
-    h = F.col(health)
-    return {
-        "availability_flag": (h >= 0.3).cast("int"),
-        "grid_connected_flag": (F.col(state) == "RUNNING").cast("int"),
-        "maintenance_mode_flag": ((h >= 0.3) & (h < 1.0)).cast("int"),
-        "alarm_flag": (h < 0.7).cast("int"),
-        "failure_flag": (h < 0.3).cast("int"),
-    }
+def disagrees(delivered: str, expected: Column) -> Column:
+    """Whether a delivered value is another than the expected one; two missing values agree."""
+    return ~F.col(delivered).eqNullSafe(expected)
 
 
 def _first_match(rules: Iterable[tuple[Column, str]]) -> Column:

@@ -35,6 +35,7 @@ from fleetlens.session import shared_folder
 
 BLOCK_ROWS = 8192
 FAN_IN = 64
+MOST_BYTES = 1 << 25  # of histograms that reach the driver at once
 _BLOCK = "rows int, codes binary, y binary, w binary, margin binary"
 
 
@@ -111,15 +112,14 @@ def best_splits(histogram: np.ndarray, settings: Settings) -> list[tuple[float,
     return out
 
 
-def _summed(partial: DataFrame) -> np.ndarray:
-    """The sum of arrays of doubles, one per task, by groups of `FAN_IN` at a time."""
+def _summed(partial: DataFrame, parts: int, size: int) -> np.ndarray:
+    """The sum of arrays of doubles (`size` bytes, one in each of `parts`), by groups of `FAN_IN` until the rest fits `MOST_BYTES`."""
 
     def add(key: tuple, group: pa.Table) -> pa.Table:
         total = np.sum([np.frombuffer(b, dtype=np.float64) for b in group.column("sums").to_pylist()], axis=0)
         return pa.table({"part": pa.array([key[0].as_py()], pa.int64()), "sums": pa.array([total.tobytes()], pa.binary())})
 
-    parts = partial.rdd.getNumPartitions()
-    while parts > 1:
+    while parts * size > MOST_BYTES and parts > 1:
         parts = -(-parts // FAN_IN)
         partial = partial.withColumn("part", F.col("part") % parts).groupBy("part").applyInArrow(add, "part long, sums binary")
     return np.sum([np.frombuffer(r["sums"], dtype=np.float64) for r in partial.collect()], axis=0)
@@ -168,6 +168,7 @@ def fit_trees(rows: DataFrame, features: Sequence[str], label: str, weight: str,
         return spark.read.schema(_BLOCK).parquet(path)
 
     blocks, trees, newest = stored(known.mapInArrow(pack, _BLOCK)), [], []
+    parts = blocks.rdd.getNumPartitions()
     width = 1 + settings.bins
 
     def histogram(tree: Tree, level: int) -> np.ndarray:
@@ -186,7 +187,7 @@ def fit_trees(rows: DataFrame, features: Sequence[str], label: str, weight: str,
             yield pa.RecordBatch.from_arrays([pa.array([sums.tobytes()], pa.binary())], names=["sums"])
 
         partial = blocks.mapInArrow(count_up, "sums binary").select(F.spark_partition_id().cast("long").alias("part"), "sums")
-        total = _summed(partial)
+        total = _summed(partial, parts, 16 * nodes * count * width)
         return np.moveaxis(np.reshape(total, (2, nodes, count, width)), 0, -1)
 
     for _ in range(settings.rounds):
@@ -213,6 +214,7 @@ def fit_trees(rows: DataFrame, features: Sequence[str], label: str, weight: str,
                         yield _block(codes, y, w, _plus(margin, codes, done))
 
             blocks = stored(blocks.mapInArrow(moved, _BLOCK))
+            parts = blocks.rdd.getNumPartitions()
             newest.clear()
     return edges, trees
 

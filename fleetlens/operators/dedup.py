@@ -3,8 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from functools import reduce
-from operator import add
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -14,10 +12,6 @@ from pyspark.sql import types as T
 SENTINELS = {"wind_speed": -999.0}
 
 
-def _count(flags: Sequence[Column]) -> Column:
-    return reduce(add, [F.coalesce(f, F.lit(False)).cast("int") for f in flags], F.lit(0))
-
-
 def best_copy(
     df: DataFrame, keys: Sequence[str], newest: str = "ingestion_timestamp", sentinels: Mapping[str, float] = SENTINELS
 ) -> list[Column]:
@@ -29,12 +23,15 @@ def best_copy(
     arrived; copies that agree in all this differ in measured values only, and none is better.
     """
     rest = [f for f in df.schema if f.name not in keys]
-    marked = {f.name: F.col(f.name) == sentinels[f.name] for f in rest if f.name in sentinels}
-    missing = [F.col(f.name).isNull() for f in rest] + list(marked.values())
-    missing += [F.isnan(f.name) for f in rest if isinstance(f.dataType, (T.FloatType, T.DoubleType))]
+    named = {f.name: f"`{f.name}`" for f in rest}
+    marked = [f"int(coalesce({named[f.name]} = {sentinels[f.name]!r}, false))" for f in rest if f.name in sentinels]
+    missing = [f"int({c} is null)" for c in named.values()]
+    missing += [f"int(isnan({named[f.name]}))" for f in rest if isinstance(f.dataType, (T.FloatType, T.DoubleType))]
+    # one number: missing values count before sentinels
+    packed = f"({' + '.join(missing + marked) or '0'}) * {len(rest) + 1} + {' + '.join(marked) or '0'}"
     recent = [F.col(newest).desc_nulls_last()] if newest in df.columns else []
-    settled = [F.xxhash64(*[F.col(f.name) for f in rest])] if rest else []
-    return [*recent, _count(missing), _count(list(marked.values())), *settled]
+    settled = [F.expr(f"xxhash64({', '.join(named.values())})")] if rest else []
+    return [*recent, F.expr(packed), *settled]
 
 
 def dedup_latest(df: DataFrame, keys: Sequence[str], order: Sequence[Column] | None = None) -> DataFrame:

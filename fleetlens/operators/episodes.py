@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from fleetlens.config import Keys
 from fleetlens.operators.ordering import CHUNK, CHUNK_SECONDS, GROUP, PART, drop_chunk, running, time_chunks
+from fleetlens.session import cut_lineage
 
 
 def failure_episodes(
@@ -99,6 +100,7 @@ def label_intervals(
         machine, F.col("m.at").alias(time), F.col("m.turn").alias("__turn"), F.col("m.step").alias("__step")
     )
     readings = df.withColumns({"__turn": F.lit(1), "__step": F.lit(0)})
+    marks = cut_lineage(marks)  # few rows at the end of a long plan, read twice
     events = time_chunks(readings.unionByName(marks, allowMissingColumns=True), [machine], time, chunk_seconds)
     swept = running(events, time, {"__open": ("sum", "__step")}, order_by=[time, "__turn"])
     inside = F.coalesce((F.col("__open") > 0) & F.col(machine).isNotNull(), F.lit(False)).cast("int")

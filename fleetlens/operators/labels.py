@@ -24,11 +24,12 @@ def label_within_horizon(
     crowded machine is spread over its slots.
     """
     width = horizon_hours * 3600
-    slot = F.floor(F.unix_timestamp(keys.time) / F.lit(width)).cast("long")
+    sec = epoch_seconds(df, keys.time)
+    slot = F.floor(sec / F.lit(width)).cast("long")
     events = (
         df.where((F.col(event_flag) == 1) & F.col(keys.entity).isNotNull() & F.col(keys.time).isNotNull())
         .groupBy(F.col(keys.entity).alias("__machine"), slot.alias("__at"))
-        .agg(F.min(F.unix_timestamp(keys.time)).alias("__first"), F.max(F.unix_timestamp(keys.time)).alias("__last"))
+        .agg(F.min(sec).alias("__first"), F.max(sec).alias("__last"))
     )
     reach = F.explode(
         F.array(
@@ -41,7 +42,6 @@ def label_within_horizon(
         .groupBy("__machine", F.col("__r.slot").alias("__at"))
         .agg(F.max("__r.own").alias("__own"), F.min("__r.next").alias("__next"))
     )
-    sec = F.unix_timestamp(keys.time)
     hit = (F.col("__own") >= sec) | (F.col("__next") <= sec + width)
     return (
         df.withColumn("__slot", slot)

@@ -4,44 +4,37 @@ A frame that reaches back `span` seconds begins inside one pane of `pane` second
 inside another. Whole panes count by their moments (number, mean, sum of squared deviations);
 only the two panes at its ends are summed instant by instant. A task holds a (group, pane), never a
 frame, so a frame may be any number of tasks long. Sums are taken around a mean nearby (the pane's, or the
-group's for whole panes) and parts are merged by Chan's formula, so few digits cancel.
+that of the whole panes) and parts are merged by Chan's formula, so few digits cancel.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from functools import reduce
-from operator import add
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fleetlens.operators.ordering import CHUNK, GROUP, PART
+from fleetlens.session import cut_lineage
 
 #: (span, source) -> whether the deviation is wanted besides the mean
 Wanted = Mapping[tuple[int, int], bool]
 
 
 def _moments(sources: Sequence[str]) -> list[Column]:
-    out = []
-    for j, source in enumerate(sources):
-        x = F.col(source)
-        out += [
-            F.count(x).alias(f"n{j}"), F.coalesce(F.avg(x), F.lit(0.0)).alias(f"a{j}"),
-            F.coalesce(F.var_pop(x) * F.count(x), F.lit(0.0)).alias(f"q{j}"),
-        ]
-    return out
+    stats = [("n", "count({0})"), ("a", "coalesce(avg({0}), 0D)"), ("q", "coalesce(var_pop({0}) * count({0}), 0D)")]
+    return [F.expr(f"{stat.format(f'`{source}`')} as {m}{j}") for j, source in enumerate(sources) for m, stat in stats]
 
 
-def _number(seconds: Column, pane: int) -> Column:
+def _number(seconds: str, pane: int) -> str:
     """The pane of a second, in whole numbers."""
-    return F.call_function("div", seconds - F.pmod(seconds, F.lit(pane)), F.lit(pane))
+    return f"({seconds} - pmod({seconds}, {pane}L)) div {pane}L"
 
 
-def _around(j: int, centre: str) -> dict[str, Column]:
+def _around(j: int, centre: str) -> list[str]:
     """Sums of source j around a centre: s of the distances, v of their squares."""
-    off = F.col(f"a{j}") - F.col(f"{centre}{j}")
-    return {f"s{j}": F.col(f"n{j}") * off, f"v{j}": F.col(f"q{j}") + F.col(f"n{j}") * off * off}
+    off = f"(a{j} - {centre}{j})"
+    return [f"n{j} * {off} as s{j}", f"q{j} + n{j} * {off} * {off} as v{j}"]
 
 
 def sliding_moments(rows: DataFrame, seconds: str, sources: Sequence[str], spans: Sequence[int], pane: int, wanted: Wanted) -> DataFrame:
@@ -52,67 +45,71 @@ def sliding_moments(rows: DataFrame, seconds: str, sources: Sequence[str], spans
     if pane > min(spans):
         raise ValueError("a pane must not be longer than a frame")
     each = range(len(sources))
-    number = _number(F.col(seconds), pane)
-    instants = rows.groupBy(GROUP, seconds).agg(*_moments(sources)).withColumn(CHUNK, number)
-    panes = rows.withColumn(CHUNK, number).groupBy(*PART).agg(*_moments(sources))
+    number = _number(seconds, pane)
+    instants = rows.groupBy(GROUP, seconds).agg(*_moments(sources)).withColumn(CHUNK, F.expr(number))
+    panes = rows.withColumn(CHUNK, F.expr(number)).groupBy(*PART).agg(*_moments(sources))
 
     # whole panes between the two ends, for each span: one more of them where a frame begins early in its pane
-    group, series = Window.partitionBy(GROUP), Window.partitionBy(GROUP).orderBy(CHUNK)
-    near = panes.withColumns({f"g{j}": F.sum(F.col(f"n{j}") * F.col(f"a{j}")).over(group) / F.greatest(F.sum(f"n{j}").over(group), F.lit(1)) for j in each})
-    near = near.withColumns({name: c for j in each for name, c in _around(j, "g").items()})
-    middle: dict[str, Column] = {}
-    for i, j in wanted:
+    group = f"over (partition by {GROUP})"
+    near = panes.selectExpr("*", *[f"sum(n{j} * a{j}) {group} / greatest(sum(n{j}) {group}, 1) as g{j}" for j in each])
+    near = near.selectExpr("*", *[_around(j, "g")[0] for j in each])
+    lists, means, middle = [], [], []
+    for (i, j), spread in wanted.items():
         for extra in (0, 1) if spans[i] % pane else (0,):
-            back = spans[i] // pane - 1 + extra
-            for m in "nsv":
-                total = F.sum(f"{m}{j}").over(series.rangeBetween(-back, -1)) if back else F.lit(None).cast("double")
-                middle[f"{m}m{i}_{j}_{extra}"] = F.coalesce(total, F.lit(0))
-    centres = near.withColumns(middle).select(*PART, *[F.col(f"a{j}").alias(f"c{j}") for j in each], *[f"g{j}" for j in each], *middle)
-
-    # sums up to each instant in its pane, around the pane's mean
-    own = instants.join(centres, list(PART))
-    own = own.withColumns({name: c for j in each for name, c in _around(j, "c").items()})
-    upto = Window.partitionBy(*PART).orderBy(seconds).rangeBetween(Window.unboundedPreceding, Window.currentRow)
-    ends = own.withColumns({f"{m}p{j}": F.sum(f"{m}{j}").over(upto) for j in each for m in "nsv"})
-
-    # sums from the beginning of each frame to the end of the pane it lies in: probes between the instants
-    data = own.select(*PART, F.col(seconds).alias("__at"), *[f"{m}{j}" for j in each for m in "nsvc"])
-    probe = F.explode(F.array(*[F.struct(F.lit(i).alias("i"), (F.col(seconds) - s).alias("at")) for i, s in enumerate(spans)]))
-    probes = instants.select(GROUP, F.col(seconds).alias("__owner"), probe.alias("p")).select(
-        GROUP, _number(F.col("p.at"), pane).alias(CHUNK), "__owner", F.col("p.i").alias("__span"), F.col("p.at").alias("__at")
+            back, name = spans[i] // pane - 1 + extra, f"m{i}_{j}_{extra}"
+            frame = f"over (partition by {GROUP} order by {CHUNK} range between {back} preceding and 1 preceding)"
+            if spread and back:
+                # deviations from the very mean of these panes, which are few
+                lists.append(f"collect_list(struct(n{j} as n, a{j} as a, q{j} as q)) {frame} as l{name}")
+                means += [f"aggregate(l{name}, 0L, (t, p) -> t + p.n) as n{name}",
+                          f"aggregate(l{name}, 0D, (t, p) -> t + p.n * p.a) / greatest(aggregate(l{name}, 0L, (t, p) -> t + p.n), 1) as c{name}"]
+                middle += [f"n{name}", f"c{name}", f"0D as s{name}", f"aggregate(l{name}, 0D, (t, p) -> t + p.q + p.n * pow(p.a - c{name}, 2)) as v{name}"]
+            else:
+                sums = [f"{f'coalesce(sum({m}{j}) {frame}, 0)' if back else '0'} as {m}{name}" for m in "ns"]
+                lists += [*sums, f"g{j} as c{name}", f"0D as v{name}"]
+                middle += [f"{m}{name}" for m in "nscv"]
+    near = near.selectExpr("*", *lists).selectExpr("*", *means)
+    centres = near.selectExpr(*PART, *[f"a{j} as c{j}" for j in each], *middle)
+
+    # around the pane's mean: sums up to each instant in its pane
+    own = cut_lineage(instants.join(centres, list(PART)).selectExpr("*", *[e for j in each for e in _around(j, "c")]))
+    pane_of = f"partition by {', '.join(PART)}"
+    ends = own.selectExpr("*", *[f"sum({m}{j}) over ({pane_of} order by {seconds}) as {m}p{j}" for j in each for m in "nsv"])
+
+    # and sums from the beginning of each frame to the end of the pane it lies in: probes between the instants
+    data = own.selectExpr(*PART, f"{seconds} as __at", *[f"{m}{j}" for j in each for m in "nsvc"])
+    probe = ", ".join(f"struct({i} as i, {seconds} - {span} as at)" for i, span in enumerate(spans))
+    probes = own.selectExpr(GROUP, f"{seconds} as __owner", f"explode(array({probe})) as p").selectExpr(
+        GROUP, f"{_number('p.at', pane)} as {CHUNK}", "__owner", "p.i as __span", "p.at as __at"
     )
-    since = Window.partitionBy(*PART).orderBy(F.desc("__at")).rangeBetween(Window.unboundedPreceding, Window.currentRow)
-    sums = {f"{m}b{j}": F.sum(f"{m}{j}").over(since) for j in each for m in "nsv"} | {f"cb{j}": F.max(f"c{j}").over(since) for j in each}
-    begun = data.unionByName(probes, allowMissingColumns=True).withColumns(sums).where("__owner is not null")
+    since = f"over ({pane_of} order by __at desc)"
+    begun = data.unionByName(probes, allowMissingColumns=True).selectExpr(
+        GROUP, "__owner", "__span", *[f"sum({m}{j}) {since} as {m}b{j}" for j in each for m in "nsv"], *[f"max(c{j}) {since} as cb{j}" for j in each]
+    ).where("__owner is not null")
     begins = begun.groupBy(GROUP, F.col("__owner").alias(seconds)).agg(*[
-        F.max(F.when(F.col("__span") == i, F.col(f"{m}b{j}"))).alias(f"{m}b{i}_{j}") for i, j in wanted for m in "nsvc"
+        F.expr(f"coalesce(max(if(__span = {i}, {m}b{j}, null)), 0) as {m}b{i}_{j}") for i, j in wanted for m in "nsvc"
     ])
 
-    out = []
+    # the three parts of each frame, then their number, mean and squared deviations
+    parts, totals, means, out = [], [], [], [GROUP, seconds]
     for (i, j), spread in wanted.items():
-        early = F.pmod(F.col(seconds), F.lit(pane)) < spans[i] % pane
-
-        def between(m: str, i: int = i, j: int = j, early: Column = early) -> Column:
-            whole = F.col(f"{m}m{i}_{j}_0")
-            return F.when(early, F.col(f"{m}m{i}_{j}_1")).otherwise(whole) if spans[i] % pane else whole
-
-        parts = [
-            tuple(F.coalesce(F.col(f"{m}b{i}_{j}"), F.lit(0)) for m in "nsvc"),
-            (*[between(m) for m in "nsv"], F.col(f"g{j}")),
-            tuple(F.col(f"{m}{j}") for m in ("np", "sp", "vp", "c")),
-        ]
-        n, mean, squares = _merged(parts)
-        out += [n.alias(f"n_{i}_{j}"), mean.alias(f"mean_{i}_{j}")] + ([squares.alias(f"m2_{i}_{j}")] if spread else [])
-    return ends.join(begins, [GROUP, seconds]).select(GROUP, seconds, *out)
-
-
-def _merged(parts: Sequence[tuple[Column, ...]]) -> tuple[Column, Column, Column]:
-    """Number, mean and squared deviations of parts given by (n, s, v) around a centre of their own."""
-    n = reduce(add, [p[0] for p in parts])
-    means = [c + s / F.greatest(k, F.lit(1)) for k, s, _, c in parts]
-    mean = reduce(add, [p[0] * m for p, m in zip(parts, means)]) / F.greatest(n, F.lit(1))
-    inside = [F.greatest(v - s * s / F.greatest(k, F.lit(1)), F.lit(0.0)) for k, s, v, _ in parts]
-    return n, mean, reduce(add, [q + p[0] * (m - mean) * (m - mean) for p, m, q in zip(parts, means, inside)])
+        name, early = f"{i}_{j}", f"pmod({seconds}, {pane}L) < {spans[i] % pane}"
+        whole = [f"if({early}, {m}m{name}_1, {m}m{name}_0)" if spans[i] % pane else f"{m}m{name}_0" for m in "nsvc"]
+        ends_of = {"b": [f"{m}b{name}" for m in "nsvc"], "m": whole, "p": [f"np{j}", f"sp{j}", f"vp{j}", f"c{j}"]}
+        for k, (n, s, v, c) in ends_of.items():
+            parts += [
+                f"{n} as n{k}_{name}", f"{c} + {s} / greatest({n}, 1) as a{k}_{name}", f"greatest({v} - {s} * {s} / greatest({n}, 1), 0D) as q{k}_{name}",
+            ]
+        n = " + ".join(f"n{k}_{name}" for k in ends_of)
+        totals.append(f"{n} as n_{name}")
+        means.append(f"({' + '.join(f'n{k}_{name} * a{k}_{name}' for k in ends_of)}) / greatest(n_{name}, 1) as mean_{name}")
+        out += [f"n_{name}", f"mean_{name}"]
+        if spread:
+            out.append(" + ".join(f"q{k}_{name} + n{k}_{name} * pow(a{k}_{name} - mean_{name}, 2)" for k in ends_of) + f" as m2_{name}")
+    return (
+        ends.join(begins, [GROUP, seconds]).selectExpr(GROUP, seconds, *parts)
+        .selectExpr("*", *totals).selectExpr("*", *means).selectExpr(*out)
+    )
 
 
 def mean_of(i: int, j: int) -> Column:

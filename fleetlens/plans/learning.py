@@ -39,7 +39,7 @@ def train_and_compare(
     """
     label = label_name(horizon_hours)
     ids = [keys.entity, keys.site, keys.time]
-    split = evaluate.temporal_split(read_table(spark, layout.features), keys).persist()
+    split = evaluate.temporal_split(read_table(spark, layout.features), keys)
     names = feature_columns(split, [*ids, label, "split"])
     fit_on = split.where("split = 'train'")
     runs = {}
@@ -54,7 +54,6 @@ def train_and_compare(
         else:
             append_history(scored, _evaluations(layout))
         runs[candidate.name] = run_id
-    split.unpersist()
     held_out = read_table(spark, _evaluations(layout))
     measured = evaluate.model_metrics(
         held_out.where("split = 'validation'"), label, "prediction", "failure_probability", ["model_name", "model_run_id"]

@@ -134,7 +134,7 @@ def test_time_frames_of_odd_tables(spark):
         ours = features.time_rolling(df.withColumns({c: F.lit(0.0) for c in ("vibration_x", "vibration_y", "vibration_z")}), KEYS, rolled, 25, 110, pane)
         assert rows(ours.withColumns({c: F.round(c, 6) for c in "mdl"}), *"mdl") == rows(plain.withColumns({c: F.round(c, 6) for c in "mdl"}), *"mdl")
     with pytest.raises(ValueError):
-        features.time_rolling(df, KEYS, rolled, 25, 110, 30)
+        features.time_rolling(df.withColumns({c: F.lit(0.0) for c in ("vibration_x", "vibration_y", "vibration_z")}), KEYS, rolled, 25, 110, 30)
 
 
 def test_operators_do_not_depend_on_chunks(skewed):
@@ -207,11 +207,10 @@ def test_rank_keys_of_extreme_numbers(spark):
     assert [df.where(before_key(codes, k)).count() for k in keys] == list(range(9))
 
 
-@pytest.mark.parametrize("zone", ["UTC", "Europe/Berlin"])
-def test_time_order_when_clocks_change(spark, zone):
+def test_time_order_when_clocks_change(spark):
     """One reading a minute while Central Europe sets its clocks back, and forward."""
     before = spark.conf.get("spark.sql.session.timeZone")
-    spark.conf.set("spark.sql.session.timeZone", zone)
+    spark.conf.set("spark.sql.session.timeZone", "Europe/Berlin")
     try:
         for start in (1698530400, 1711836000):  # the nights of 2023-10-29 and 2024-03-31
             instants = spark.range(3000).select("id", F.timestamp_seconds(F.lit(start) + F.col("id") * 60).alias("reading_ts"), F.lit("M").alias("turbine_id"))

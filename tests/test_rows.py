@@ -85,7 +85,7 @@ def test_null_health_is_critical(spark):
 
 
 def test_electrical_guards(spark):
-    out = frame(spark, {"voltage_v": 0.0, "active_power_kw": 0.0}).select(*[c.alias(n) for n, c in domain.electrical().items()]).first()
+    out = frame(spark, {"voltage_v": 0.0, "active_power_kw": 0.0}).select(*[c.alias(n) for n, c in domain.derived().items()]).first()
     assert out["current_calc"] == 0.0 and out["power_factor_calc"] == 1.0
     assert frame(spark, {"atmospheric_pressure": 1013.0, "ambient_temperature": 15.0}).select(domain.air_density()).first()[0] == pytest.approx(1.225)
 

@@ -10,10 +10,11 @@ from pyspark.sql import types as T
 
 from fleetlens.config import TableLayout, label_name, raw_schema
 from fleetlens.catalog import all_queries
+from fleetlens.functions.shaping import feature_columns
 from fleetlens.operators import labels, train
 from fleetlens.operators.features import build_features
 from fleetlens.plans import learning, medallion, monitoring
-from fleetlens.sources.readings import KEYS, raw_readings, readings
+from fleetlens.catalog.readings import KEYS, raw_readings, readings
 from fleetlens.sources.tables import changes_since, create_partitioned_table, read_table, table_exists
 from fleetlens.streaming.ingest import ingest_stream
 
@@ -115,9 +116,20 @@ def executed(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-def test_features_shuffle_and_sort_once(spark, features):
+def test_features_shuffle_their_rows_once(spark, features):
+    """One exchange takes whole rows and the narrow copies that frames reach back to; no other has all columns."""
     plan = executed(build_features(read_table(spark, LAYOUT.training), KEYS))
-    assert plan.count("Exchange hashpartitioning") == 1 and plan.count("Sort [") == 1
+    assert plan.count("Union") == 1 and "SinglePartition" not in plan and "hashpartitioning(turbine_id" not in plan
+    wide = [line for line in plan.splitlines() if "Scan parquet" in line and "hydraulic_pressure" in line]
+    assert len(wide) == 1
+
+
+def test_drift_queries_watch_every_numeric_feature(spark, features):
+    from fleetlens.catalog.drift import FEATURES
+
+    ids = [KEYS.entity, KEYS.site, KEYS.time, label_name()]
+    assert set(FEATURES) == set(feature_columns(features, ids))
+    assert len(FEATURES) == len(set(FEATURES)) == 49
 
 
 def test_kpi_reads_few_columns_and_filters_in_the_scan(spark, features):
