@@ -3,7 +3,7 @@
 Each document becomes a few statistics of its characters, words and lines. They are standardised
 and mapped to cos(Wx + b) with random W, which approximates a Gaussian kernel. Ridge regression on
 the labels needs only the sums Z'Z and Z'y: each partition adds up its own, and the sums are added
-in two levels. Scores of labelled rows that the ridge has not seen are then calibrated by isotonic
+in a tree of bounded fan-in. Scores of labelled rows that the ridge has not seen are then calibrated by isotonic
 regression (pool adjacent violators over a histogram of scores), read off by linear interpolation.
 
 Null and empty texts have statistics of 0 and get a score like any other. Where nothing can be
@@ -83,10 +83,15 @@ def statistics(texts: pa.Array) -> np.ndarray:
     return out
 
 
-def summed(df: DataFrame, partial: Callable[[pa.RecordBatch], np.ndarray | None], groups: int = 32) -> np.ndarray | None:
-    """The sum of one vector per batch: per partition, then per group of partitions, then on the driver.
+#: Vectors that are added up at a time, in a task or on the driver.
+FAN_IN = 16
 
-    Only `groups` vectors come to the driver, whatever the number of partitions.
+
+def summed(df: DataFrame, partial: Callable[[pa.RecordBatch], np.ndarray | None], fan_in: int = FAN_IN) -> np.ndarray | None:
+    """The sum of one vector per batch: per partition, then level by level over `fan_in` neighbours.
+
+    No task gets more than `fan_in` vectors at a time, and the driver at most as many, whatever the number of
+    partitions. Each level adds in the order of the partitions, so the sum of the same partitions is the same.
     """
 
     def inner(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -96,15 +101,25 @@ def summed(df: DataFrame, partial: Callable[[pa.RecordBatch], np.ndarray | None]
             if value is not None:
                 total = value if total is None else total + value
         if total is not None:
-            k = TaskContext.get().partitionId() % groups
+            k = TaskContext.get().partitionId()
             yield pa.RecordBatch.from_arrays([pa.array([k], pa.int64()), pa.array([total.tobytes()], pa.binary())], names=["k", "v"])
 
-    def outer(key: tuple, group: pa.Table) -> pa.Table:
-        total = sum(np.frombuffer(v.as_py(), dtype=np.float64) for v in group.column("v"))
-        return pa.table({"v": pa.array([total.tobytes()], pa.binary())})
+    def add(numbers: list[int], vectors: list[bytes]) -> np.ndarray:
+        return sum(np.frombuffer(v, dtype=np.float64) for _, v in sorted(zip(numbers, vectors), key=lambda pair: pair[0]))
 
-    rows = df.mapInArrow(inner, "k long, v binary").groupBy("k").applyInArrow(outer, "v binary").collect()
-    return sum(np.frombuffer(r["v"], dtype=np.float64) for r in rows) if rows else None
+    def outer(key: tuple, group: pa.Table) -> pa.Table:
+        total = add(group.column("k").to_pylist(), group.column("v").to_pylist())
+        return pa.table({"k": pa.array([key[0].as_py()], pa.int64()), "v": pa.array([total.tobytes()], pa.binary())})
+
+    level = stored(df.mapInArrow(inner, "k long, v binary"), "partial-sums")
+    last = level.agg(F.max("k")).first()[0]
+    if last is None:
+        return None
+    while last >= fan_in:
+        level = level.groupBy(F.expr(f"k div {fan_in}").alias("above")).applyInArrow(outer, "k long, v binary")
+        last //= fan_in
+    rows = level.collect()
+    return add([r["k"] for r in rows], [r["v"] for r in rows])
 
 
 def _vectors(column: pa.Array) -> np.ndarray:
