@@ -11,8 +11,9 @@ upper bound reaches it are scored on the original numbers.
 Queries and candidates meet block by block: a block of candidates holds about `block` rows, by a
 hash of the id, one of queries about `query_block`. Every candidate is indexed. Vectors that are
 null, zero or hold a null or non-finite component take no part, as queries or candidates, nor
-do rows without an id. Only vectors of the same number of dimensions are compared. Rows with the
-query's own id are not among its candidates. Ties go to the smaller id.
+do rows without an id. Only vectors of the same number of dimensions are compared. A row is no
+candidate of its own; rows that share an id are rows like any other, so each query among them has its own k
+neighbours, and the others are candidates. Ties go to the smaller id.
 """
 
 from __future__ import annotations
@@ -91,8 +92,8 @@ class Best:
         self.id[touched] = np.take_along_axis(names, order, axis=1)
 
 
-def search_block(query_ids, queries, ids, vectors, codes, lengths, factors, settings: Settings) -> Best:
-    """The best candidates of one block for each query of one block."""
+def search_block(query_rows, queries, ids, own_rows, vectors, codes, lengths, factors, settings: Settings) -> Best:
+    """The best candidates of one block for each query of one block; a row's number tells it from its namesakes."""
     turn = rotation(queries.shape[1], settings)
     width = turn.shape[1]
     turned = (queries @ turn).astype(np.float32)
@@ -104,7 +105,7 @@ def search_block(query_ids, queries, ids, vectors, codes, lengths, factors, sett
         own, numbers, length = ids[part], vectors[part], lengths[part]
         signs = np.unpackbits(codes[part], axis=1, count=width).astype(np.float32) * 2 - 1
         estimate = (turned @ signs.T) * (length / factors[part] / math.sqrt(width)).astype(np.float32)
-        estimate[query_ids[:, None] == own] = -np.inf
+        estimate[query_rows[:, None] == own_rows[part]] = -np.inf
         # with a margin for rounding in single precision
         slack = length * (np.sqrt(np.maximum(1 - factors[part] ** 2, 0)) / factors[part] * spread + 1e-5)
         slack = slack.astype(np.float32)
@@ -161,9 +162,9 @@ def nearest(
                     names=["id", "v", "d", "code", "length", "factor"],
                 )
 
-    indexed = stored(
-        valid.mapInArrow(index, "id long, v array<double>, d int, code binary, length double, factor double"), "one-bit-codes"
-    )
+    coded = valid.mapInArrow(index, "id long, v array<double>, d int, code binary, length double, factor double")
+    # written once, so that a row keeps its number
+    indexed = stored(coded.withColumn("row", F.monotonically_increasing_id()), "one-bit-codes")
     counts = indexed.agg(F.count(F.lit(1)), F.sum(F.when(is_query, 1).otherwise(0))).first()
     blocks = max(1, math.ceil((counts[0] or 0) / settings.block))
     query_blocks = max(1, math.ceil((counts[1] or 0) / settings.query_block))
@@ -176,41 +177,42 @@ def nearest(
 
     candidates = indexed.withColumn("block", block_of(blocks)).withColumn("query_block", all_of(query_blocks))
     queries = (
-        indexed.where(is_query).select("id", "v", "d").withColumn("query_block", block_of(query_blocks))
+        indexed.where(is_query).select("id", "row", "v", "d").withColumn("query_block", block_of(query_blocks))
         .withColumn("block", all_of(blocks))
     )
     keys = ["d", "block", "query_block"]
 
     def search(_key: tuple, left: pa.Table, right: pa.Table) -> pa.Table:
         if not left.num_rows or not right.num_rows:
-            return pa.table({"query_id": pa.array([], pa.int64()), "vec_id": pa.array([], pa.int64()), "score": pa.array([], pa.float64())})
+            return pa.table({c: pa.array([], pa.int64()) for c in ("query_id", "row", "vec_id")} | {"score": pa.array([], pa.float64())})
         codes = np.frombuffer(b"".join(right.column("code").to_pylist()), dtype=np.uint8).reshape(right.num_rows, -1)
-        query_ids = np.asarray(left.column("id"))
+        query_ids, query_rows = np.asarray(left.column("id")), np.asarray(left.column("row"))
         best = search_block(
-            query_ids, _matrix(left.column("v")), np.asarray(right.column("id")), _matrix(right.column("v")),
+            query_rows, _matrix(left.column("v")), np.asarray(right.column("id")), np.asarray(right.column("row")), _matrix(right.column("v")),
             codes, np.asarray(right.column("length")), np.asarray(right.column("factor")), settings,
         )
         found = np.isfinite(best.score)
+        times = found.sum(axis=1)
         return pa.table({
-            "query_id": pa.array(np.repeat(query_ids, found.sum(axis=1))), "vec_id": pa.array(best.id[found]),
-            "score": pa.array(best.score[found]),
+            "query_id": pa.array(np.repeat(query_ids, times)), "row": pa.array(np.repeat(query_rows, times)),
+            "vec_id": pa.array(best.id[found]), "score": pa.array(best.score[found]),
         })
 
-    found = queries.groupBy(*keys).cogroup(candidates.groupBy(*keys)).applyInArrow(search, "query_id long, vec_id long, score double")
-    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    found = queries.groupBy(*keys).cogroup(candidates.groupBy(*keys)).applyInArrow(search, "query_id long, row long, vec_id long, score double")
+    order = Window.partitionBy("row").orderBy(F.desc("score"), "vec_id")
     return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= settings.k).select("query_id", "rank", "vec_id", "score")
 
 
 def sql(k: int = 20, every: int = 20) -> str:
     """Brute force in DuckDB, components added up in order."""
     return f"""
-    with valid as (
-      select vec_id, embedding::double[] as v from embeddings
+    with valid as materialized (
+      select row_number() over () as own, vec_id, embedding::double[] as v from embeddings
       where vec_id is not null and embedding is not null and len(embedding) > 0
         and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0 and len(list_filter(embedding, lambda x: x <> 0)) > 0),
     scored as (
-      select q.vec_id as query_id, c.vec_id, list_reduce(list_transform(list_zip(q.v, c.v), lambda p: p[1] * p[2]), lambda a, b: a + b) as score
-      from valid q join valid c on q.vec_id <> c.vec_id and len(q.v) = len(c.v) where q.vec_id % {every} = 0)
+      select q.own, q.vec_id as query_id, c.vec_id, list_reduce(list_transform(list_zip(q.v, c.v), lambda p: p[1] * p[2]), lambda a, b: a + b) as score
+      from valid q join valid c on q.own <> c.own and len(q.v) = len(c.v) where q.vec_id % {every} = 0)
     select query_id, rank::int as rank, vec_id, score
-    from (select *, row_number() over (partition by query_id order by score desc, vec_id) as rank from scored) where rank <= {k}
+    from (select *, row_number() over (partition by own order by score desc, vec_id) as rank from scored) where rank <= {k}
     """
