@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from fleetlens.functions.tests_of_fit import chi2_pvalue, ks_pvalue
 from fleetlens.operators.evaluate import binary_metrics, now
 from fleetlens.operators.ordering import drop_chunk, range_chunks, running
+from fleetlens.session import cut_lineage
 
 BINS = 10
 EMPTY_SHARE = 0.0001
@@ -150,7 +151,7 @@ def compare_samples(samples: DataFrame, bins: int = BINS) -> DataFrame:
 
     PSI compares the shares in the baseline's percentile bins; an empty share becomes 1e-4.
     """
-    ordered = ordered_counts(samples)
+    ordered = cut_lineage(ordered_counts(samples))  # read three times: distances, percentiles, bins
     return distances(ordered).join(_psi(ordered, _percentiles(ordered, bins), bins), "feature")
 
 
