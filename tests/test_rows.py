@@ -84,6 +84,14 @@ def test_null_health_is_critical(spark):
     assert row["health_score"] == 0 and row["health_status"] == "CRITICAL"
 
 
+def test_health_points_come_off_one_after_the_other(spark):
+    # as one sum, the points lost here leave 59.99999999999999
+    shaken = {"vibration_x": 0.03, "vibration_y": 1.76, "vibration_z": 0.28, "active_power_kw": 2000.0}
+    df = add_aliases(frame(spark, shaken, {**shaken, "wind_speed": 11.0, "active_power_kw": 500.0}))
+    rows = df.withColumn("health_score", domain.health_score()).withColumn("health_status", domain.health_status()).orderBy("active_power_kw").collect()
+    assert [(r["health_score"], r["health_status"]) for r in rows] == [(50.0, "CRITICAL"), (60.0, "WARNING")]
+
+
 def test_electrical_guards(spark):
     out = frame(spark, {"voltage_v": 0.0, "active_power_kw": 0.0}).select(*[c.alias(n) for n, c in domain.derived().items()]).first()
     assert out["current_calc"] == 0.0 and out["power_factor_calc"] == 1.0
