@@ -3,10 +3,13 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterable
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.util import inheritable_thread_target
 
 from fleetlens.catalog import query
 from fleetlens.catalog.data import AS_OF, FRAME_CHUNK, LABEL, stored_training
@@ -34,6 +37,13 @@ def _fit(split: DataFrame, names: list[str], model: str) -> PipelineModel:
     return train.train_model(split.where("split = 'train'"), names, LABEL, CANDIDATES[model])
 
 
+def _fits(split: DataFrame, names: list[str], models: Iterable[str]) -> dict[str, PipelineModel]:
+    """Several models, fitted at the same time: a fit is a long row of short jobs, which leave most of a cluster idle."""
+    fit = inheritable_thread_target(split.sparkSession)(lambda model: _fit(split, names, model))
+    with ThreadPoolExecutor(max(1, len(models := list(models)))) as pool:
+        return dict(zip(models, pool.map(fit, models)))
+
+
 def _scores(split: DataFrame, names: list[str], models: dict[str, PipelineModel], part: str) -> DataFrame:
     rows = split.where(F.col("split") == part)
     frames = [
@@ -54,7 +64,7 @@ def _measured(split: DataFrame, names: list[str], models: dict[str, PipelineMode
 def _register(name: str, *models: str) -> None:
     def run(spark: SparkSession, folder: str) -> DataFrame:
         split, names = _split(spark, folder)
-        return _measured(split, names, {m: _fit(split, names, m) for m in models}, "validation")
+        return _measured(split, names, _fits(split, names, models), "validation")
 
     query(name)(run)
 
@@ -106,7 +116,7 @@ def champion_scores_none(spark: SparkSession, folder: str) -> DataFrame:
 def ml_pipeline(spark: SparkSession, folder: str) -> DataFrame:
     """Four candidates on validation data, the champion again on test data."""
     split, names = _split(spark, folder)
-    models = {name: _fit(split, names, name) for name in CANDIDATES}
+    models = _fits(split, names, CANDIDATES)
     selection = cut_lineage(evaluate.select_champion(_measured(split, names, models, "validation")))
     winner = selection.where("is_champion").select("model_name").first()
     validation = selection.withColumn("evaluated_on", F.lit("validation"))

@@ -1,9 +1,10 @@
 """Second-order gradient boosting for binary labels, on histograms summed over partitions.
 
-Values are cut into at most `bins` quantile bins once, and rows are stored in blocks of bin numbers. A level of a tree
-is one job: every task adds up gradient and Hessian of the logistic loss per (node, feature, bin)
+Values are cut into at most `bins` quantile bins once, and rows are stored in blocks of bin numbers, feature by feature.
+A level of inner nodes is one job: every task adds up gradient and Hessian of the logistic loss per (node, feature, bin)
 for its blocks, and the sums are merged in a tree of bounded fan-in. The driver sees one histogram
-per level, whose size depends on the settings and not on the rows. It splits where
+per level, whose size depends on the settings and not on the rows. What a split leaves on either side is in
+its histogram, so the last level needs no job. The driver splits where
 
     G_l^2 / (H_l + lambda) + G_r^2 / (H_r + lambda) - G^2 / (H + lambda)
 
@@ -67,15 +68,15 @@ class Tree:
         return Tree(np.full(size, -1, np.int32), np.zeros(size, np.int32), np.zeros(size))
 
     def nodes(self, codes: np.ndarray) -> np.ndarray:
-        """The node that each row of bin numbers comes to."""
-        at = np.zeros(len(codes), dtype=np.int64)
-        rows = np.arange(len(codes))
+        """The node that each column of bin numbers (feature, row) comes to."""
+        at = np.zeros(codes.shape[1], dtype=np.int64)
+        rows = np.arange(codes.shape[1])
         while True:
             split = self.feature[at]
             inner = split >= 0
             if not inner.any():
                 return at
-            right = codes[rows, np.maximum(split, 0)] > self.cut[at]
+            right = codes[np.maximum(split, 0), rows] > self.cut[at]
             at = np.where(inner, 2 * at + 1 + right, at)
 
 
@@ -122,12 +123,12 @@ def _summed(partial: DataFrame, parts: int, size: int) -> np.ndarray:
     while parts * size > MOST_BYTES and parts > 1:
         parts = -(-parts // FAN_IN)
         partial = partial.withColumn("part", F.col("part") % parts).groupBy("part").applyInArrow(add, "part long, sums binary")
-    return np.sum([np.frombuffer(r["sums"], dtype=np.float64) for r in partial.collect()], axis=0)
+    return np.sum([np.frombuffer(b, dtype=np.float64) for b in partial.toArrow().column("sums").to_pylist()], axis=0)
 
 
 def _arrays(batch: pa.RecordBatch, features: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
     for n, codes, y, w, margin in zip(*[batch.column(c).to_pylist() for c in ("rows", "codes", "y", "w", "margin")]):
-        yield np.frombuffer(codes, np.uint8).reshape(n, features), *[np.frombuffer(b, np.float64) for b in (y, w, margin)]
+        yield np.frombuffer(codes, np.uint8).reshape(features, n), *[np.frombuffer(b, np.float64) for b in (y, w, margin)]
 
 
 def _block(codes: np.ndarray, y: np.ndarray, w: np.ndarray, margin: np.ndarray) -> pa.RecordBatch:
@@ -160,7 +161,7 @@ def fit_trees(rows: DataFrame, features: Sequence[str], label: str, weight: str,
                 part = batch.slice(start, BLOCK_ROWS)
                 columns = [part.column(f"x{j}").to_numpy(zero_copy_only=False).astype(np.float64) for j in range(count)]
                 y, w = (part.column(c).to_numpy(zero_copy_only=False).astype(np.float64) for c in "yw")
-                yield _block(bin_of(np.column_stack(columns), edges), y, w, np.zeros(len(y)))
+                yield _block(bin_of(np.column_stack(columns), edges).T, y, w, np.zeros(len(y)))
 
     def stored(blocks: DataFrame) -> DataFrame:
         path = f"{shared_folder(spark)}/boosting-{uuid.uuid4().hex}"
@@ -175,32 +176,41 @@ def fit_trees(rows: DataFrame, features: Sequence[str], label: str, weight: str,
         first, nodes, so_far = 2**level - 1, 2**level, list(newest)
 
         def count_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            sums = np.zeros((2, nodes * count * width))
+            sums = np.zeros((2, count, nodes * width))
             for batch in batches:
                 for codes, y, w, margin in _arrays(batch, count):
                     g, h = gradients(y, w, _plus(margin, codes, so_far))
                     node = tree.nodes(codes) - first
                     open_ = node >= 0
-                    cell = ((node[open_, None] * count + np.arange(count)) * width + codes[open_]).ravel()
-                    for k, values in enumerate((g, h)):
-                        sums[k] += np.bincount(cell, weights=np.repeat(values[open_], count), minlength=sums.shape[1])
+                    first_bin, sides = node[open_] * width, (g[open_], h[open_])
+                    for j in range(count):
+                        cell = first_bin + codes[j, open_]
+                        for k, values in enumerate(sides):
+                            sums[k, j] += np.bincount(cell, weights=values, minlength=nodes * width)
             yield pa.RecordBatch.from_arrays([pa.array([sums.tobytes()], pa.binary())], names=["sums"])
 
         partial = blocks.mapInArrow(count_up, "sums binary").select(F.spark_partition_id().cast("long").alias("part"), "sums")
         total = _summed(partial, parts, 16 * nodes * count * width)
-        return np.moveaxis(np.reshape(total, (2, nodes, count, width)), 0, -1)
+        return np.transpose(np.reshape(total, (2, count, nodes, width)), (2, 1, 3, 0))
 
     for _ in range(settings.rounds):
         tree = Tree.blank(settings.depth)
-        for level in range(settings.depth + 1):
+
+        def weigh(node: int, sums: np.ndarray, tree: Tree = tree) -> None:
+            tree.value[node] = -settings.rate * sums[0] / (sums[1] + settings.l2)
+
+        for level in range(max(settings.depth, 1)):
             sums = histogram(tree, level)
-            whole = sums[:, 0].sum(axis=1)  # every row is in one bin of the first feature
-            splits = best_splits(sums, settings) if level < settings.depth else [None] * len(sums)
+            splits = best_splits(sums, settings) if settings.depth else [None]
+            if level == 0:
+                weigh(0, sums[0, 0].sum(axis=0))  # every row is in one bin of the first feature
             for k, split in enumerate(splits):
                 node = 2**level - 1 + k
                 if split is not None:
-                    tree.feature[node], tree.cut[node] = split[1], split[2]
-                tree.value[node] = -settings.rate * whole[k, 0] / (whole[k, 1] + settings.l2)
+                    _, feature, cut = split
+                    tree.feature[node], tree.cut[node] = feature, cut
+                    weigh(2 * node + 1, sums[k, feature, : cut + 1].sum(axis=0))
+                    weigh(2 * node + 2, sums[k, feature, cut + 1 :].sum(axis=0))
             if all(s is None for s in splits):
                 break
         trees.append(tree)
@@ -237,8 +247,8 @@ class BoostedTrees(Model, DefaultParamsReadable, DefaultParamsWritable):
 
         @F.pandas_udf("double")
         def chance(values: pd.Series) -> pd.Series:
-            codes = bin_of(np.array(values.tolist(), dtype=np.float64).reshape(len(values), len(columns)), edges)
-            return pd.Series(1.0 / (1.0 + np.exp(-_plus(np.zeros(len(codes)), codes, trees))))
+            codes = np.ascontiguousarray(bin_of(np.array(values.tolist(), dtype=np.float64).reshape(len(values), len(columns)), edges).T)
+            return pd.Series(1.0 / (1.0 + np.exp(-_plus(np.zeros(len(values)), codes, trees))))
 
         values = F.array(*[F.coalesce(F.col(c).cast("double"), F.lit(float("nan"))) for c in columns])
         scored = dataset.withColumn("__p", chance(values))

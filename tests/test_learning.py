@@ -119,3 +119,23 @@ def test_scores_by_the_champion_or_nobody(spark, tmp_path):
             assert {x[0] for x in scores.select("model_run_id").distinct().collect()} == {learning.champion(spark, layout)[1]}
             joined = scores.join(df, ["turbine_id", "ts"]).withColumnRenamed("failure_within_next_24_hours", "y")
             assert evaluate.ranking_metrics(joined, "y", "failure_probability").first()["roc_auc"] > 0.85
+
+
+def test_the_last_level_of_a_tree_needs_no_job(spark, monkeypatch):
+    x, y, w = table(800)
+    sizes, plain = [], boosting._summed
+    monkeypatch.setattr(boosting, "_summed", lambda partial, parts, size: sizes.append(size) or plain(partial, parts, size))
+    _, trees = boosting.fit_trees(frame(spark, x, y, w), ["a", "b", "c", "d"], "y", "w", boosting.Settings(rounds=2, depth=3, bins=16))
+    assert sizes == [16 * nodes * 4 * 17 for nodes in (1, 2, 4)] * 2
+    leaves = [(t, i) for t in trees for i in range(15) if t.feature[i] < 0 and (i == 0 or t.feature[(i - 1) // 2] >= 0)]
+    assert any(i >= 7 for _, i in leaves) and all(t.value[i] != 0 for t, i in leaves)
+
+
+def test_models_of_a_comparison_are_fitted_at_the_same_time(spark, monkeypatch):
+    from threading import Barrier
+
+    from fleetlens.catalog import learning as queries
+
+    both = Barrier(2, timeout=20)  # breaks unless two fits are under way together
+    monkeypatch.setattr(queries, "_fit", lambda split, names, model: (both.wait(), f"fitted {model}")[1])
+    assert queries._fits(spark.range(1), [], ["x", "y"]) == {"x": "fitted x", "y": "fitted y"}
