@@ -1,25 +1,28 @@
-"""Tail probabilities of two test statistics, as plain column expressions.
+"""Tail probabilities of two test statistics, as column expressions.
 
-Spark SQL has no error or gamma function, so both are summed with `aggregate` over a
-sequence. They run on one row per test, never on data rows.
+Spark SQL has no error or gamma function, so series are summed with `aggregate` over a
+sequence; the exact p-value walks over arrays. All run on one row per test, never on data rows.
 """
 
 from __future__ import annotations
 
 import math
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-#: Two samples of n and m rows get an exact p-value while n * m is at most this; about 0.2 s at the limit.
+#: Two samples of n and m rows get an exact p-value while n * m is at most this.
 EXACT_CELLS = 250_000
 
 
 def ks_pvalue(distance: Column, n: Column, m: Column, exact_cells: int = EXACT_CELLS) -> Column:
     """Two-sample Kolmogorov-Smirnov p-value: exact while n * m <= `exact_cells`, asymptotic beyond."""
     small = n.cast("long") * m.cast("long") <= exact_cells
-    return F.when(small, ks_pvalue_exact(distance, n, m)).otherwise(ks_pvalue_asymptotic(distance, n, m))
+    # functions in Python see every row, so the others are null to it
+    return F.when(small, ks_pvalue_exact(F.when(small, distance), n, m)).otherwise(ks_pvalue_asymptotic(distance, n, m))
 
 
 def ks_pvalue_exact(distance: Column, n: Column, m: Column) -> Column:
@@ -28,24 +31,35 @@ def ks_pvalue_exact(distance: Column, n: Column, m: Column) -> Column:
     An order is a lattice path from (0, 0) to (n, m), and it counts if it touches a point with
     |i / n - j / m| >= distance. The share q(i, j) of the paths to a point that have done so is 1 at such a point and
     else the mean of q(i - 1, j) and q(i, j - 1), weighted i to j. Points are visited by i + j, so one array of
-    n + 1 shares goes on from diagonal to diagonal. Shares need no logarithms and small ones lose no digits.
+    n + 1 shares goes on from diagonal to diagonal. Shares need no logarithms and small ones lose no digits. A test
+    takes n + m steps on whole diagonals, so all tests together take no more steps than they have rows.
     """
-    n, m = n.cast("long"), m.cast("long")
-    shorter, longer = F.least(n, m), F.greatest(n, m)
-    reach = F.round(distance * shorter * longer).cast("long")
-
-    def step(shares: Column, total: Column) -> Column:
-        def share(old: Column, i: Column) -> Column:
-            j = total - i
-            outside = F.abs(i * longer - j * shorter) >= reach
-            mean = (old * j + F.coalesce(F.get(shares, i - 1), F.lit(0.0)) * i) / total
-            return F.when((j < 0) | (j > longer), old).when(outside, 1.0).otherwise(mean)
-
-        return F.transform(shares, share)
-
-    start = F.transform(F.sequence(F.lit(0).cast("long"), shorter), lambda i: F.when(i * longer >= reach, 1.0).otherwise(0.0))
-    shares = F.aggregate(F.sequence(F.lit(1).cast("long"), shorter + longer), start, step)
-    return F.when(reach <= 0, 1.0).otherwise(F.get(shares, shorter.cast("int")))
+
+    @F.pandas_udf("double")
+    def share(distances: pd.Series, ns: pd.Series, ms: pd.Series) -> pd.Series:
+        tests = zip(distances, ns, ms)
+        return pd.Series([None if pd.isna(d) or pd.isna(a) or pd.isna(b) else share_of_paths(d, int(a), int(b)) for d, a, b in tests], dtype="float64")
+
+    return share(distance.cast("double"), n.cast("long"), m.cast("long"))
+
+
+def share_of_paths(distance: float, n: int, m: int) -> float:
+    """`ks_pvalue_exact` of one test."""
+    shorter, longer = min(n, m), max(n, m)
+    reach = math.floor(distance * shorter * longer + 0.5)
+    if reach <= 0:
+        return 1.0
+    i = np.arange(shorter + 1)
+    shares = np.where(i * longer >= reach, 1.0, 0.0)
+    for total in range(1, shorter + longer + 1):
+        first, last = max(0, total - longer), min(shorter, total)
+        at = i[first : last + 1]
+        j = total - at
+        fewer = np.concatenate(([shares[first - 1] if first else 0.0], shares[first:last]))
+        mean = (shares[first : last + 1] * j + fewer * at) / total
+        mean[np.abs(at * longer - j * shorter) >= reach] = 1.0
+        shares[first : last + 1] = mean
+    return float(shares[shorter])
 
 
 def ks_pvalue_asymptotic(distance: Column, n: Column, m: Column, terms: int = 100) -> Column:

@@ -142,17 +142,20 @@ def distances(ordered: DataFrame) -> DataFrame:
     )
     return found.select(
         "feature", *known, deviation("__qb", "n_base").alias("std_base"), deviation("__qc", "n_cur").alias("std_cur"), "ks_statistic",
-        ks_pvalue(F.col("ks_statistic"), F.col("n_base"), F.col("n_cur")).alias("ks_pvalue"),
     )
 
 
+def with_pvalues(found: DataFrame) -> DataFrame:
+    return found.withColumn("ks_pvalue", ks_pvalue(F.col("ks_statistic"), F.col("n_base"), F.col("n_cur")))
+
+
 def compare_samples(samples: DataFrame, bins: int = BINS) -> DataFrame:
     """KS distance, its p-value, PSI and moments for every feature present on both sides.
 
     PSI compares the shares in the baseline's percentile bins; an empty share becomes 1e-4.
     """
     ordered = cut_lineage(ordered_counts(samples))  # read three times: distances, percentiles, bins
-    return distances(ordered).join(_psi(ordered, _percentiles(ordered, bins), bins), "feature")
+    return with_pvalues(distances(ordered).join(_psi(ordered, _percentiles(ordered, bins), bins), "feature"))
 
 
 def psi(baseline: DataFrame, current: DataFrame, columns: Sequence[str], bins: int = BINS) -> DataFrame:
@@ -164,13 +167,19 @@ def psi(baseline: DataFrame, current: DataFrame, columns: Sequence[str], bins: i
 
 
 def ks_of_samples(samples: DataFrame) -> DataFrame:
-    """Two-sample KS distance and p-value for each value of `feature` in (feature, value, __cur) rows."""
-    return distances(ordered_counts(samples)).select("feature", "n_base", "n_cur", "ks_statistic", "ks_pvalue")
+    """Two-sample KS distance and p-value for each value of `feature` in (feature, value, __cur) rows.
+
+    There may be many features, and a p-value is a row of few bytes but much work: they go to as many tasks as a shuffle has.
+    """
+    tasks = int(samples.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    found = distances(ordered_counts(samples)).select("feature", "n_base", "n_cur", "ks_statistic")
+    return with_pvalues(found.repartition(tasks, F.xxhash64("feature")))  # by the feature itself it would stay where the grouping left it
 
 
 def ks_two_sample(baseline: DataFrame, current: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Two-sample KS distance per feature, with its p-value."""
-    return ks_of_samples(two_samples(baseline, current, columns)).withColumn("feature", _name(columns))
+    tested = with_pvalues(distances(ordered_counts(two_samples(baseline, current, columns))))
+    return tested.select(_name(columns).alias("feature"), "n_base", "n_cur", "ks_statistic", "ks_pvalue")
 
 
 def _name(columns: Sequence[str]) -> Column:

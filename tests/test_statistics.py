@@ -219,3 +219,9 @@ def test_summary_rules(spark):
     assert run(model=model(True, "CRITICAL")) == ("CRITICAL", True)
     only = spark.createDataFrame([(True,)], "prediction_drift_detected boolean")
     assert run(prediction=only) == ("OK", False)
+
+
+def test_p_values_of_many_features_are_spread_over_tasks(spark):
+    samples = spark.range(4000).selectExpr("concat('M', id % 40) feature", "cast(id * 7 % 31 as double) value", "id % 3 = 0 `__cur`")
+    tested = drift.ks_of_samples(samples).withColumn("task", F.spark_partition_id()).collect()
+    assert len(tested) == 40 and len({r["task"] for r in tested}) > 1
