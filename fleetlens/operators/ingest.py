@@ -63,14 +63,19 @@ def upsert_new_only(
     With `time` the table is partitioned by the day of that column, and only the days of the
     batch are compared. Running the same batch again adds nothing, rows with a null key included. Each
     append commits as a whole; two writers that run at the same time could both see a key as absent,
-    so one writer per table is assumed.
+    so one writer per table is assumed. Rows are written in ranges of day and key: a task meets few days,
+    so files grow with days plus tasks, not with their product, and a crowded day is several tasks' work.
     """
     spark = batch.sparkSession
     if time is not None:
         batch, partition_by = batch.withColumn(EVENT_DATE, F.to_date(time)), (EVENT_DATE,)
+
+    def append(rows: DataFrame) -> None:
+        append_history(rows if time is None else rows.repartitionByRange(EVENT_DATE, *keys), name, partition_by)
+
     candidates = dedup_latest(batch, keys)
     if not table_exists(spark, name):
-        append_history(candidates, name, partition_by)
+        append(candidates)
         return
     # the comparison is with the table's current files, so they must be listed afresh
     if "/" not in name:
@@ -79,4 +84,4 @@ def upsert_new_only(
     target = stored if time is None else within_batch_dates(stored, batch)
     complete = reduce(and_, [F.col(k).isNotNull() for k in keys])
     added = new_rows(target, candidates.where(complete), keys).unionByName(replayed(target, candidates, keys))
-    append_history(added.select(*stored.columns), name, partition_by)
+    append(added.select(*stored.columns))

@@ -167,3 +167,18 @@ def test_null_profile_and_feature_columns(spark):
     df = spark.createDataFrame([(1, None, "a"), (None, None, "b")], "x int, y double, z string")
     assert dict(map(tuple, kpi.null_profile(df).collect())) == {"x": 1, "y": 2, "z": 0, "TOTAL": 3}
     assert feature_columns(df, ["y"]) == ["x"] and feature_columns(df, ["y"], numeric_only=False) == ["x", "z"]
+
+
+def test_an_upsert_writes_files_by_days_plus_tasks_not_by_their_product(spark, tmp_path):
+    from pathlib import Path
+
+    days, tasks = 40, int(spark.conf.get("spark.sql.shuffle.partitions"))
+    feed = spark.range(days * 200).selectExpr("concat('T', id % 50) turbine_id", "timestamp_seconds(1704067200 + id * 432) timestamp", "id / 2.0D wind_speed")
+    before = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # as where there are many rows
+    try:
+        ingest.upsert_new_only(f"{tmp_path}/t", feed, ["turbine_id", "timestamp"], "timestamp")
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", before)
+    assert spark.read.parquet(f"{tmp_path}/t").count() == days * 200
+    assert len(list(Path(f"{tmp_path}/t").rglob("*.parquet"))) <= days + tasks
