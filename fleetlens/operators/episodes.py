@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from fleetlens.config import Keys
@@ -23,12 +23,15 @@ def failure_episodes(
     Runs are found per chunk and joined where one goes on: a chunk's summary is the flag it ends
     with and the number of runs that start in it. Scanned over a machine's chunks, summaries tell each
     chunk whether a run is open when it begins and how many came before; a run's parts then meet in
-    a grouping. Only failing readings and the one that ends a run leave their chunk.
+    a grouping. Only failing readings and the one that ends a run leave their chunk. Of several readings at one
+    instant, those that fail come first; what names a run is the smallest site and type of its first instant.
     """
     narrow = df.select(keys.entity, keys.site, keys.time, F.coalesce(event_flag, F.lit(0)).alias("__on"), F.col(event_type).alias("__type"))
+    narrow = narrow.withColumn("__calm", F.col("__on") != 1)
     chunked = time_chunks(narrow, [keys.entity], keys.time, chunk_seconds)
-    inside = F.lag("__on").over(Window.partitionBy(*PART).orderBy(keys.time))
-    last = F.max_by("__on", F.struct(keys.time))
+    order = [keys.time, "__calm"]
+    inside = F.lag("__on").over(Window.partitionBy(*PART).orderBy(*order))
+    last = F.max_by("__on", F.struct(*order))
     open_before = F.lag("__last").over(Window.partitionBy(GROUP).orderBy(CHUNK))
     carried = chunked.groupBy(*PART).agg(last.alias("__last")).select(*PART, open_before.alias("__open"))
     edges = (
@@ -38,16 +41,20 @@ def failure_episodes(
         .withColumn("__starts", ((F.col("__on") == 1) & (F.col("__before") == 0)).cast("long"))
     )
     failing = F.col("__on") == 1
+
+    def first(column: str) -> Column:
+        return F.min_by(F.col(column), F.when(failing & F.col(keys.time).isNotNull(), F.struct(keys.time, column)))
+
     runs = (
-        running(edges, keys.time, {"episode": ("sum", "__starts")})
+        running(edges, keys.time, {"episode": ("sum", "__starts")}, order_by=order)
         .groupBy(keys.entity, "episode")
         .agg(
-            F.min_by(keys.site, F.when(failing, F.col(keys.time))).alias(keys.site),
+            first(keys.site).alias(keys.site),
             F.min(F.when(failing, F.col(keys.time))).alias("failure_timestamp"),
             F.max(F.when(failing, F.col(keys.time))).alias("last_failing_timestamp"),
             F.min(F.when(~failing, F.col(keys.time))).alias("resumed_timestamp"),
             F.count_if(failing).alias("readings"),
-            F.min_by(F.col("__type"), F.when(failing, F.col(keys.time))).alias("failure_type"),
+            first("__type").alias("failure_type"),
         )
     )
     return runs.withColumns(
