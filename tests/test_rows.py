@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from fleetlens.catalog.sql import DIGITS, NUDGE, rounded
 from fleetlens.config import RAW_COLUMNS, Keys, raw_schema
 from fleetlens.functions import domain
 from fleetlens.config import ALIASES
@@ -182,3 +183,16 @@ def test_an_upsert_writes_files_by_days_plus_tasks_not_by_their_product(spark, t
         spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", before)
     assert spark.read.parquet(f"{tmp_path}/t").count() == days * 200
     assert len(list(Path(f"{tmp_path}/t").rglob("*.parquet"))) <= days + tasks
+
+
+def test_rounding_of_a_wide_table_makes_no_decimals(spark):
+    """The same numbers as Spark's `round`, which the plan leaves to those beyond 2^50 units of the last place."""
+    values = [0.0, -0.0, 1.5e-7, -1.5e-7, -1e-9, 0.1234564, 0.1234566, -0.1234566, 2.5, 1234567.8901236, -98765.4321987, 1e9, -1e9, 3e9, 1e15, -1e300, 1e300]
+    df = spark.createDataFrame([(float(v),) for v in values] + [(None,), (float("nan"),), (float("inf"),), (float("-inf"),)], "x double")
+    told = [repr(r[0]) for r in rounded(df, ["x"]).collect()]
+    assert told == [repr(r[0]) for r in df.select(F.round(F.col("x") + NUDGE, DIGITS)).collect()]
+    many = spark.range(20_000).selectExpr("(rand(7) - 0.5D) * pow(10D, id % 9) as x")
+    pairs = many.withColumn("y", F.round(F.col("x") + NUDGE, DIGITS)).withColumn("z", F.col("x"))
+    assert rounded(pairs, ["z"]).where("y <> z").count() == 0
+    plan = rounded(pairs.limit(1), ["x"])._jdf.queryExecution().optimizedPlan().toString()
+    assert "ceil(" in plan.lower() and plan.lower().count("else round(") == 1
