@@ -92,12 +92,20 @@ def weight_column(df: DataFrame, label: str, scheme: str = "balanced") -> Column
     return F.when(F.col(label) == 1, by_class.get(1, 1.0)).otherwise(by_class.get(0, 1.0))
 
 
+def column_moments(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Mean and population deviation of each column, one row for each by its position.
+
+    Columns are rows here, combined in each task before they move: two functions over any number of columns, where two for
+    each column made a method too long to be compiled.
+    """
+    values = df.select(F.posexplode(F.array(*[F.col(c).cast("double") for c in columns])).alias("__k", "__v"))
+    return values.groupBy("__k").agg(F.avg("__v").alias("mean"), F.stddev_pop("__v").alias("std"))
+
+
 def scaling(fit: DataFrame, columns: Sequence[str]) -> dict[str, tuple[float, float]]:
     """(mean, population deviation) of each column; a constant column has deviation 1, an empty one mean 0."""
-    stats = fit.agg(
-        *[F.avg(c).alias(f"{c}__mean") for c in columns], *[F.stddev_pop(c).alias(f"{c}__std") for c in columns]
-    ).first()
-    return {c: (float(stats[f"{c}__mean"] or 0.0), float(stats[f"{c}__std"] or 1.0)) for c in columns}
+    stats = {columns[r["__k"]]: r for r in column_moments(fit, columns).collect()}
+    return {c: (float(stats[c]["mean"] or 0.0), float(stats[c]["std"] or 1.0)) if c in stats else (0.0, 1.0) for c in columns}
 
 
 def standardise(df: DataFrame, columns: Sequence[str], fit: DataFrame | None = None, suffix: str = "_z") -> DataFrame:

@@ -31,15 +31,17 @@ def train_and_compare(
     horizon_hours: int = 24,
     min_recall: float = 0.80,
     as_of: datetime | None = None,
+    split: DataFrame | None = None,
 ) -> DataFrame:
     """Fits every candidate on the past, compares them on what follows, promotes the champion.
 
     Models are saved under `model_root`/run id. The scores of the validation and test parts are
-    stored, so that later stages need nothing from this process.
+    stored, so that later stages need nothing from this process. `split` is the stored feature table as
+    `temporal_split` marks it, where a caller has it already.
     """
     label = label_name(horizon_hours)
     ids = [keys.entity, keys.site, keys.time]
-    split = evaluate.temporal_split(read_table(spark, layout.features), keys)
+    split = evaluate.temporal_split(read_table(spark, layout.features), keys) if split is None else split
     names = feature_columns(split, [*ids, label, "split"])
     fit_on = split.where("split = 'train'")
     runs = {}

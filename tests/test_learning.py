@@ -139,3 +139,31 @@ def test_models_of_a_comparison_are_fitted_at_the_same_time(spark, monkeypatch):
     both = Barrier(2, timeout=20)  # breaks unless two fits are under way together
     monkeypatch.setattr(queries, "_fit", lambda split, names, model: (both.wait(), f"fitted {model}")[1])
     assert queries._fits(spark.range(1), [], ["x", "y"]) == {"x": "fitted x", "y": "fitted y"}
+
+
+def test_scaling_of_many_columns_is_two_functions(spark):
+    x, y, w = table(300)
+    df = frame(spark, x, y, w).withColumns({"e": F.lit(2.0), "n": F.lit(None).cast("double"), "i": F.col("d").cast("int")})
+    df = df.withColumn("c", F.nanvl("c", F.lit(None).cast("double")))
+    names = ["a", "b", "c", "d", "e", "n", "i"]
+    found = evaluate.scaling(df, names)
+    for c in names[:5] + ["i"]:
+        own = [r[0] for r in df.select(c).collect() if r[0] is not None]
+        assert found[c] == pytest.approx((np.mean(own), np.std(own) or 1.0))
+    assert found["n"] == (0.0, 1.0) and evaluate.scaling(df.limit(0), names) == {c: (0.0, 1.0) for c in names}
+    plan = evaluate.column_moments(df, names)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("avg(") == 1 and plan.count("stddev_pop(") == 1
+
+
+def test_a_split_that_is_there_is_not_looked_for_again(spark, tmp_path, monkeypatch):
+    keys, layout = Keys(time="ts"), FolderLayout(root=str(tmp_path / "t"))
+    r = np.random.default_rng(2)
+    rows = [(f"M{i % 5}", f"F{i % 2}", i, float(v := r.normal()), int(v + 0.2 * r.normal() > 0.5)) for i in range(300)]
+    df = spark.createDataFrame(rows, "turbine_id string, farm_id string, s long, a double, failure_within_next_24_hours int")
+    df.withColumn("ts", F.timestamp_seconds("s")).drop("s").write.parquet(layout.features)
+    split = evaluate.temporal_split(spark.read.parquet(layout.features), keys)
+    searched = []
+    monkeypatch.setattr(evaluate, "temporal_split", lambda *a, **b: searched.append(a) or split)
+    for given in (split, None):
+        compared = learning.train_and_compare(spark, f"{tmp_path}/models", layout, keys, train.CANDIDATES[:1], min_recall=0.1, split=given)
+        assert compared.count() == 1 and len(searched) == (given is None)
