@@ -29,7 +29,7 @@ from pyspark.ml import Estimator, Model
 from pyspark.ml.functions import array_to_vector
 from pyspark.ml.param import Param, Params
 from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fleetlens.session import shared_folder
@@ -142,17 +142,23 @@ def _plus(margin: np.ndarray, codes: np.ndarray, trees: Sequence[Tree]) -> np.nd
     return margin
 
 
-def fit_trees(rows: DataFrame, features: Sequence[str], label: str, weight: str, settings: Settings = Settings()) -> tuple[list[list[float]], list[Tree]]:
-    """(bin edges of each feature, trees) from rows of numeric columns; rows without a label are left out."""
-    if settings.bins > 255:
+def _stored(blocks: DataFrame) -> DataFrame:
+    path = f"{shared_folder(blocks.sparkSession)}/boosting-{uuid.uuid4().hex}"
+    blocks.write.parquet(path)
+    return blocks.sparkSession.read.schema(_BLOCK).parquet(path)
+
+
+def binned_blocks(rows: DataFrame, features: Sequence[str], label: str, weight: str, bins: int) -> tuple[list[list[float]], DataFrame]:
+    """(bin edges of each feature, stored blocks of bin numbers) of the rows that have a label."""
+    if bins > 255:
         raise ValueError("bins are stored in bytes")
-    spark, count = rows.sparkSession, len(features)
+    count = len(features)
     known = rows.where(F.col(label).isNotNull()).select(
         *[F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double")).alias(f"x{j}") for j, c in enumerate(features)],
         F.col(label).cast("double").alias("y"), F.col(weight).cast("double").alias("w"),
     )
-    shares = [k / settings.bins for k in range(1, settings.bins)]
-    found = known.agg(*[F.percentile_approx(f"x{j}", shares, 100 * settings.bins).alias(f"x{j}") for j in range(count)]).first()
+    shares = [k / bins for k in range(1, bins)]
+    found = known.agg(*[F.percentile_approx(f"x{j}", shares, 100 * bins).alias(f"x{j}") for j in range(count)]).first()
     edges = [sorted(set(found[f"x{j}"] or [])) for j in range(count)]
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -163,12 +169,14 @@ def fit_trees(rows: DataFrame, features: Sequence[str], label: str, weight: str,
                 y, w = (part.column(c).to_numpy(zero_copy_only=False).astype(np.float64) for c in "yw")
                 yield _block(bin_of(np.column_stack(columns), edges).T, y, w, np.zeros(len(y)))
 
-    def stored(blocks: DataFrame) -> DataFrame:
-        path = f"{shared_folder(spark)}/boosting-{uuid.uuid4().hex}"
-        blocks.write.parquet(path)
-        return spark.read.schema(_BLOCK).parquet(path)
+    return edges, _stored(known.mapInArrow(pack, _BLOCK))
+
 
-    blocks, trees, newest = stored(known.mapInArrow(pack, _BLOCK)), [], []
+def fit_trees(rows: DataFrame, features: Sequence[str], label: str, weight: str, settings: Settings = Settings()) -> tuple[list[list[float]], list[Tree]]:
+    """(bin edges of each feature, trees) from rows of numeric columns; rows without a label are left out."""
+    count = len(features)
+    edges, blocks = binned_blocks(rows, features, label, weight, settings.bins)
+    trees, newest = [], []
     parts = blocks.rdd.getNumPartitions()
     width = 1 + settings.bins
 
@@ -223,7 +231,7 @@ def fit_trees(rows: DataFrame, features: Sequence[str], label: str, weight: str,
                     for codes, y, w, margin in _arrays(batch, count):
                         yield _block(codes, y, w, _plus(margin, codes, done))
 
-            blocks = stored(blocks.mapInArrow(moved, _BLOCK))
+            blocks = _stored(blocks.mapInArrow(moved, _BLOCK))
             parts = blocks.rdd.getNumPartitions()
             newest.clear()
     return edges, trees
@@ -240,20 +248,29 @@ class BoostedTrees(Model, DefaultParamsReadable, DefaultParamsWritable):
         self._setDefault(state="{}")
         self._set(**self._input_kwargs)
 
+    @staticmethod
+    def chances(codes: np.ndarray, trees: Sequence[Tree]) -> np.ndarray:
+        return 1.0 / (1.0 + np.exp(-_plus(np.zeros(codes.shape[1]), codes, trees)))
+
+    @staticmethod
+    def positive(chance: Column) -> Column:
+        return chance >= 0.5
+
     def _transform(self, dataset: DataFrame) -> DataFrame:
         told = json.loads(self.getOrDefault(self.state))
         edges, columns = told["edges"], told["columns"]
         trees = [Tree(np.array(f, np.int32), np.array(c, np.int32), np.array(v)) for f, c, v in told["trees"]]
+        chances = self.chances
 
         @F.pandas_udf("double")
         def chance(values: pd.Series) -> pd.Series:
             codes = np.ascontiguousarray(bin_of(np.array(values.tolist(), dtype=np.float64).reshape(len(values), len(columns)), edges).T)
-            return pd.Series(1.0 / (1.0 + np.exp(-_plus(np.zeros(len(values)), codes, trees))))
+            return pd.Series(chances(codes, trees))
 
         values = F.array(*[F.coalesce(F.col(c).cast("double"), F.lit(float("nan"))) for c in columns])
         scored = dataset.withColumn("__p", chance(values))
         return scored.withColumns({
-            "probability": array_to_vector(F.array(1.0 - F.col("__p"), F.col("__p"))), "prediction": (F.col("__p") >= 0.5).cast("double"),
+            "probability": array_to_vector(F.array(1.0 - F.col("__p"), F.col("__p"))), "prediction": self.positive(F.col("__p")).cast("double"),
         }).drop("__p")
 
 

@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from datetime import datetime
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
+from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import SQLTransformer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
@@ -17,6 +17,7 @@ from pyspark.sql import types as T
 from fleetlens.functions.domain import risk_level
 from fleetlens.operators.boosting import SecondOrderBoosting, Settings
 from fleetlens.operators.evaluate import now, scaling, weight_column
+from fleetlens.operators.forest import Forest, ForestSettings
 
 WEIGHT = "__weight"
 
@@ -52,9 +53,7 @@ def _estimator(c: Candidate, columns: Sequence[str], label: str, total_weight: f
             maxIter=c.iterations, regParam=1.0 / (c.inverse_regularisation * total_weight), standardization=False, **common
         )
     if c.kind == "forest":
-        return RandomForestClassifier(
-            numTrees=c.trees, maxDepth=c.depth, minInstancesPerNode=c.min_instances, seed=seed, **common
-        )
+        return Forest(columns, label, WEIGHT, ForestSettings(c.trees, c.depth, min_instances=c.min_instances, seed=seed))
     return SecondOrderBoosting(columns, label, WEIGHT, Settings(rounds=c.trees, depth=c.depth, rate=c.step))
 
 

@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import zlib
+
 import numpy as np
 import pytest
 from pyspark.ml import PipelineModel
 from pyspark.sql import functions as F
 
 from fleetlens.config import FolderLayout, Keys
-from fleetlens.operators import boosting, evaluate, train
+from fleetlens.operators import boosting, evaluate, forest, train
 from fleetlens.plans import learning
 
 
@@ -167,3 +169,85 @@ def test_a_split_that_is_there_is_not_looked_for_again(spark, tmp_path, monkeypa
     for given in (split, None):
         compared = learning.train_and_compare(spark, f"{tmp_path}/models", layout, keys, train.CANDIDATES[:1], min_recall=0.1, split=given)
         assert compared.count() == 1 and len(searched) == (given is None)
+
+
+def plain_tree(codes, y, times, seed, tree, s):
+    """One tree by trying every cut of the drawn features of every node: {row: share of class 1}."""
+    weights, shares = (0.75, 1.5), np.zeros(len(y))
+
+    def gini(rows):
+        c = [weights[k] * times[rows[y[rows] == k]].sum() for k in (0, 1)]
+        return sum(c), (1 - sum(v * v for v in c) / sum(c) ** 2) if sum(c) else 0.0, (c[1] / sum(c)) if sum(c) else 0.0
+
+    def grow(rows, node, level):
+        total, impurity, shares[rows] = gini(rows)
+        best = (1e-12, None)
+        looked = forest.features_drawn(codes.shape[0], seed, tree, level)[node - 2**level + 1] if level < s.depth else ()
+        for j in looked:
+            for cut in range(s.bins + 1):
+                left, right = rows[codes[j, rows] <= cut], rows[codes[j, rows] > cut]
+                if min(times[left].sum(), times[right].sum()) >= s.min_instances:
+                    gain = impurity - sum(w * g for w, g, _ in (gini(left), gini(right))) / total
+                    if gain > best[0] + 1e-12:
+                        best = (gain, (left, right))
+        if best[1] is not None:
+            for side, child in zip(best[1], (2 * node + 1, 2 * node + 2)):
+                grow(side, child, level + 1)
+
+    grow(np.arange(len(y)), 0, 0)
+    return shares
+
+
+def test_forest_equals_a_plain_version(spark, monkeypatch):
+    x, y, w = table(700)
+    s = forest.ForestSettings(trees=4, depth=4, bins=16, seed=7)
+    df = frame(spark, x, y, w)
+    kept = []
+    plain = forest.binned_blocks
+    monkeypatch.setattr(forest, "binned_blocks", lambda *a: kept.append(plain(*a)) or kept[-1])
+    edges, trees, importances = forest.fit_forest(df, ["a", "b", "c", "d"], "y", "w", s)
+    blocks = [(np.frombuffer(r["codes"], np.uint8).reshape(4, -1), np.frombuffer(r["y"])) for r in kept[0][1].collect()]
+    codes = np.concatenate([c for c, _ in blocks], axis=1)
+    labels = np.concatenate([v for _, v in blocks])
+    for t, tree in enumerate(trees):
+        times = np.concatenate([forest.times_drawn(c.shape[1], 7, t, zlib.crc32(c.tobytes())) for c, _ in blocks]).astype(int)
+        assert tree.value[tree.nodes(codes)] == pytest.approx(plain_tree(codes, labels, times, 7, t, s), abs=1e-9)
+    assert sum(importances) == pytest.approx(1) and min(importances) >= 0
+    monkeypatch.setattr(forest, "FAN_IN", 2)  # sums in several steps
+    assert all((a.value == b.value).all() for a, b in zip(trees, forest.fit_forest(df, ["a", "b", "c", "d"], "y", "w", s)[1]))
+
+
+def test_forest_draws_rows_and_features():
+    times = forest.times_drawn(200_000, 1, 2, 3)
+    assert abs(times.mean() - 1) < 0.01 and abs(times.var() - 1) < 0.02 and (times == forest.times_drawn(200_000, 1, 2, 3)).all()
+    assert abs(np.mean(times == 0) - np.exp(-1)) < 0.005 and (times != forest.times_drawn(200_000, 1, 3, 3)).any()
+    drawn = forest.features_drawn(54, 1, 2, 9)
+    assert drawn.shape == (512, 8) and all(len(set(r)) == 8 for r in drawn) and abs(np.bincount(drawn.ravel()) - 512 * 8 / 54).max() < 50
+
+
+def test_a_level_of_a_forest_is_one_job_of_bounded_counts(spark, tmp_path):
+    """However many trees: their number of jobs is that of levels."""
+    x, y, w = table(600)
+    df = frame(spark, x, y, w)
+    jobs = []
+    for trees in (2, 12):
+        spark.sparkContext.setJobGroup(f"forest{trees}", "")
+        candidate = train.Candidate("forest", "forest", trees=trees, depth=3)
+        model = train.train_model(df, ["a", "b", "c", "d"], "y", candidate)
+        jobs.append(len(spark.sparkContext.statusTracker().getJobIdsForGroup(f"forest{trees}")))
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert jobs[0] == jobs[1]
+    assert isinstance(model.stages[-1], forest.ForestOfTrees) and len(model.stages[-1].featureImportances) == 4
+    model.write().overwrite().save(f"{tmp_path}/model")
+    again = PipelineModel.load(f"{tmp_path}/model")
+    scores = [train.score(df, m, ["a", "b", "y"], ["a", "b", "c", "d"]) for m in (model, again)]
+    assert sorted(r["failure_probability"] for r in scores[0].collect()) == sorted(r["failure_probability"] for r in scores[1].collect())
+    assert evaluate.ranking_metrics(scores[0], "y", "failure_probability").first()["roc_auc"] > 0.8
+
+
+def test_forest_of_one_class_and_of_unequal_weights(spark):
+    df = spark.createDataFrame([(1.0, None, 1, 2.0)] * 20, "a double, b double, y int, w double")
+    _, trees, importances = forest.fit_forest(df, ["a", "b"], "y", "w", forest.ForestSettings(trees=2, depth=3))
+    assert all((t.feature == -1).all() and t.value[0] == 1 for t in trees) and importances == [0.0, 0.0]
+    with pytest.raises(ValueError):
+        forest.fit_forest(df.withColumn("w", F.rand(1)), ["a", "b"], "y", "w")
