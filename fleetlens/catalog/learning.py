@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.util import inheritable_thread_target
 
 from fleetlens.catalog import query
-from fleetlens.catalog.data import AS_OF, FRAME_CHUNK, LABEL, stored_training
+from fleetlens.catalog.data import AS_OF, FRAME_CHUNK, LABEL, WHOLE_ROWS, stored_training
 from fleetlens.config import FolderLayout
 from fleetlens.functions.shaping import feature_columns
 from fleetlens.operators import evaluate, features, train
@@ -28,7 +28,7 @@ CANDIDATES = {c.name: c for c in train.CANDIDATES}
 
 def _split(spark: SparkSession, folder: str) -> tuple[DataFrame, list[str]]:
     """Features with their split. A fit reads its input many times, so it is stored."""
-    table = cut_lineage(features.build_features(stored_training(spark, folder), KEYS, FRAME_CHUNK))
+    table = cut_lineage(features.build_features(stored_training(spark, folder), KEYS, FRAME_CHUNK, WHOLE_ROWS))
     split = evaluate.temporal_split(table, KEYS)
     return split, feature_columns(split, [*IDS, LABEL, "split"])
 
@@ -92,7 +92,7 @@ def _champion_scores(spark: SparkSession, folder: str, gate: float) -> DataFrame
     """From stored features to stored comparison, promoted model and scores of the test part."""
     root = f"{shared_folder(spark)}/learning-{uuid.uuid4().hex}"
     layout = FolderLayout(root=root)
-    write_overwrite(features.build_features(stored_training(spark, folder), KEYS, FRAME_CHUNK), layout.features)
+    write_overwrite(features.build_features(stored_training(spark, folder), KEYS, FRAME_CHUNK, WHOLE_ROWS), layout.features)
     split = evaluate.temporal_split(read_table(spark, layout.features), KEYS)
     learning.train_and_compare(spark, f"{root}/models", layout, KEYS, train.CANDIDATES[:1], min_recall=gate, as_of=AS_OF, split=split)
     test = split.where("split = 'test'").drop("split")

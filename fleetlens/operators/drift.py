@@ -7,11 +7,13 @@ sum or a conditional sum over that form. No group is ever held by a single task.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from datetime import datetime
 from functools import reduce
 from operator import or_
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -22,30 +24,62 @@ from fleetlens.session import cut_lineage
 
 BINS = 10
 EMPTY_SHARE = 0.0001
+COUNTED_ROWS = 1 << 17  # rows of a task whose values are sorted together
 
 
 # --- long form --------------------------------------------------------------------------
 
 
-def unpivot_features(df: DataFrame, columns: Sequence[str], keep: Sequence[str] = ()) -> DataFrame:
-    """(feature, value) rows without nulls or NaN. Features travel as small integers."""
-    pairs = F.posexplode(F.array(*[F.col(c).cast("double") for c in columns])).alias("feature", "value")
-    return df.select(*keep, pairs).where(F.col("value").isNotNull() & ~F.isnan("value"))
-
-
 def two_samples(baseline: DataFrame, current: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Long form of both sides with `__cur` telling them apart."""
+    """(feature, value, nb, nc): rows per distinct value in the baseline and in the current sample, without nulls or NaN.
+
+    A task sorts one column after the other and sends on arrays of distinct values, dealt by a hash of the value; the arrays
+    of a piece are counted together. So no row is made of a value before it is distinct, and a piece gets a value
+    once from each `COUNTED_ROWS` rows at most. Features travel as small integers.
+    """
     sides = [
-        df.select(*columns).withColumn("__cur", F.lit(flag)) for df, flag in ((baseline, False), (current, True))
+        df.select(*[F.col(c).cast("double").alias(f"x{j}") for j, c in enumerate(columns)], F.lit(flag).alias("cur"))
+        for df, flag in ((baseline, False), (current, True))
     ]
-    return unpivot_features(sides[0].unionByName(sides[1]), columns, ["__cur"])
-
-
-def value_counts(samples: DataFrame) -> DataFrame:
-    """Rows per distinct value: `nb` in the baseline, `nc` in the current sample."""
-    return samples.groupBy("feature", "value").agg(
-        F.count_if(~F.col("__cur")).alias("nb"), F.count_if("__cur").alias("nc")
-    )
+    count, pieces = len(columns), min(max(64, int(baseline.sparkSession.conf.get("spark.sql.shuffle.partitions"))), 1 << 16)
+
+    def dealt(held: Sequence[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        later = np.concatenate([b.column("cur").to_numpy(zero_copy_only=False) for b in held]).astype(bool)
+        for j in range(count):
+            all_values = np.concatenate([b.column(f"x{j}").to_numpy(zero_copy_only=False).astype(np.float64) for b in held]) + 0.0
+            known, out = ~np.isnan(all_values), []
+            for flag, side in ((False, ~later), (True, later)):
+                values, rows = np.unique(all_values[side & known], return_counts=True)
+                piece = (((values.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(32)) % np.uint64(pieces)).astype(np.uint16)
+                order = np.argsort(piece, kind="stable")
+                values, rows, ends = values[order], rows[order].astype(np.int64), np.cumsum(np.bincount(piece.astype(np.int64), minlength=pieces))
+                for k in np.flatnonzero(np.diff(ends, prepend=0)):
+                    part = slice(ends[k - 1] if k else 0, ends[k])
+                    out.append((j * pieces + int(k), flag, values[part].tobytes(), rows[part].tobytes()))
+            if out:
+                kinds = (pa.int64(), pa.bool_(), pa.binary(), pa.binary())
+                yield pa.RecordBatch.from_arrays([pa.array(c, kind) for c, kind in zip(zip(*out), kinds)], names=["piece", "cur", "vals", "n"])
+
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+        for batch in batches:
+            held.append(batch)
+            if sum(b.num_rows for b in held) >= COUNTED_ROWS:
+                yield from dealt(held)
+                held = []
+        if held:
+            yield from dealt(held)
+
+    def counted(key: tuple, group: pa.Table) -> pa.Table:
+        values, rows = (np.concatenate([np.frombuffer(x, kind) for x in group.column(c).to_pylist()]) for c, kind in (("vals", np.float64), ("n", np.int64)))
+        later = np.repeat(group.column("cur").to_numpy(), [len(x) // 8 for x in group.column("n").to_pylist()])
+        value, at = np.unique(values, return_inverse=True)
+        nb, nc = (np.bincount(at, np.where(side, rows, 0), len(value)).astype(np.int64) for side in (~later, later))
+        feature = np.full(len(value), key[0].as_py() // pieces, np.int32)
+        return pa.table({"feature": feature, "value": value, "nb": nb, "nc": nc})
+
+    arrays = sides[0].unionByName(sides[1]).mapInArrow(deal, "piece long, cur boolean, vals binary, n binary")
+    return arrays.groupBy("piece").applyInArrow(counted, "feature int, value double, nb long, nc long")
 
 
 # --- KS and PSI -------------------------------------------------------------------------
@@ -106,13 +140,13 @@ def _psi(ordered: DataFrame, edges: DataFrame, bins: int) -> DataFrame:
 
 
 def ordered_counts(samples: DataFrame) -> DataFrame:
-    """Rows per distinct (feature, value), in both samples (nb, nc) and up to the value (cb, cc).
+    """Adds to the rows per distinct (feature, value) in both samples (nb, nc) those up to the value (cb, cc).
 
     Counts are range partitioned by (feature, value) and stored; each row also knows its feature's
     sizes and sums, which come with what is carried between partitions. So no feature is a key that
     rows meet by, however few features there are. Features empty on a side are left out.
     """
-    counts = value_counts(samples).withColumns({"__vb": F.col("value") * F.col("nb"), "__vc": F.col("value") * F.col("nc")})
+    counts = samples.withColumns({"__vb": F.col("value") * F.col("nb"), "__vc": F.col("value") * F.col("nc")})
     whole = {"n_base": "nb", "n_cur": "nc", "__sb": "__vb", "__sc": "__vc"}
     ordered = running(
         range_chunks(counts, ["feature"], "value"), "value", {"cb": ("sum", "nb"), "cc": ("sum", "nc")},
@@ -172,7 +206,8 @@ def ks_of_samples(samples: DataFrame) -> DataFrame:
     There may be many features, and a p-value is a row of few bytes but much work: they go to as many tasks as a shuffle has.
     """
     tasks = int(samples.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    found = distances(ordered_counts(samples)).select("feature", "n_base", "n_cur", "ks_statistic")
+    counts = samples.groupBy("feature", "value").agg(F.count_if(~F.col("__cur")).alias("nb"), F.count_if("__cur").alias("nc"))
+    found = distances(ordered_counts(counts)).select("feature", "n_base", "n_cur", "ks_statistic")
     return with_pvalues(found.repartition(tasks, F.xxhash64("feature")))  # by the feature itself it would stay where the grouping left it
 
 

@@ -225,3 +225,37 @@ def test_p_values_of_many_features_are_spread_over_tasks(spark):
     samples = spark.range(4000).selectExpr("concat('M', id % 40) feature", "cast(id * 7 % 31 as double) value", "id % 3 = 0 `__cur`")
     tested = drift.ks_of_samples(samples).withColumn("task", F.spark_partition_id()).collect()
     assert len(tested) == 40 and len({r["task"] for r in tested}) > 1
+
+
+def test_counts_of_two_samples(spark, monkeypatch):
+    """Nulls and NaN are left out, both zeros are one value, and a value is one row however its rows are dealt."""
+    monkeypatch.setattr(drift, "COUNTED_ROWS", 50)
+    values = [None, float("nan"), 0.0, -0.0, -3.5, float("inf"), 7.25]
+    base = spark.createDataFrame([(values[i % 7], i % 90) for i in range(700)], "a double, b int").repartition(3)
+    cur = spark.createDataFrame([(float(i % 4), None) for i in range(40)], "a double, b int").repartition(2)
+    found = sorted(tuple(r) for r in drift.two_samples(base, cur, ["a", "b"]).collect())
+    a = {-3.5: (100, 0), 0.0: (200, 10), 1.0: (0, 10), 2.0: (0, 10), 3.0: (0, 10), 7.25: (100, 0), float("inf"): (100, 0)}
+    b = {float(v): (sum(i % 90 == v for i in range(700)), 0) for v in range(90)}
+    assert found == sorted([(0, v, *n) for v, n in a.items()] + [(1, v, *n) for v, n in b.items()])
+    plan = drift.two_samples(base, cur, ["a", "b"])._jdf.queryExecution().executedPlan().toString()
+    assert "Generate" not in plan  # no row for every value of every column
+    assert drift.two_samples(base.limit(0), cur.limit(0), ["a", "b"]).count() == 0
+
+
+def test_machines_in_one_chunk_need_no_copies(spark):
+    from pyspark.sql import Window
+
+    from fleetlens.config import Keys
+    from fleetlens.operators import features
+
+    keys = Keys(time="ts")
+    df = spark.range(600).selectExpr(
+        "id", "case when id < 400 then 'HOT' when id < 450 then null else concat('M', id % 9) end turbine_id", "timestamp_seconds(id * 600) ts", "cast(id % 31 as double) x",
+    )
+    rolled, lags = (features.Rolling("m", "avg", "x", "long"),), (features.Lag("l", "x", 12),)
+    w = Window.partitionBy("turbine_id").orderBy("ts")
+    plain = df.withColumns({"m": F.avg("x").over(w.rowsBetween(-36, 0)), "l": F.lag("x", 12).over(w)}).orderBy("id").select("id", "m", "l").collect()
+    for whole in (0, 10, 49, 100, 1000):
+        ours = features.windowed(df, keys, rolled, lags, chunk_seconds=9000, whole_rows=whole)
+        assert ours.orderBy("id").select("id", "m", "l").collect() == plain, whole
+        assert ("Union" in ours._jdf.queryExecution().executedPlan().toString()) == (whole < 1000)
