@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 from fleetlens.operators.boosting import FAN_IN, BoostedTrees, Tree, _arrays, binned_blocks
 
-GROUP_ROWS = 1 << 16  # rows that go through a tree together
+GROUP_ROWS = 1 << 15  # rows that go through a tree together
 _CHANCES = np.cumsum([exp(-1) / factorial(k) for k in range(9)])
 _DRAWS = np.searchsorted(_CHANCES, (np.arange(1 << 16) + 0.5) / (1 << 16)).astype(np.uint8)
 _COUNTS = "tree int, part long, counts binary"
@@ -55,16 +55,35 @@ def features_drawn(features: int, seed: int, tree: int, level: int) -> np.ndarra
     return np.argsort(np.random.default_rng([seed, tree, level, 1]).random((2**level, features)), axis=1)[:, :wanted]
 
 
-def _places(tree: Tree, level: int, flat: np.ndarray, rows: np.ndarray, n: int) -> np.ndarray:
-    """The node on `level` that each row comes to, or the leaf above it."""
-    at = np.zeros(len(rows), dtype=np.int32)
+def pairs_of(codes: np.ndarray, one: np.ndarray) -> np.ndarray:
+    """2 * bin + class of each value, row after row: what a tree asks about a row lies together."""
+    pairs = np.ascontiguousarray(codes.T, np.uint8 if codes.max(initial=0) < 128 else np.uint16)
+    return (2 * pairs + one[:, None].astype(pairs.dtype)).ravel()
+
+
+def places(tree: Tree, level: int, pairs: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """The node on `level` that each row comes to; `first` is where its pairs begin. A row of a leaf goes on to the left, to nodes that are never cut."""
+    inner, most = tree.feature >= 0, np.iinfo(pairs.dtype).max
+    feature, cut = np.where(inner, tree.feature, 0).astype(np.int64), np.where(inner, np.minimum(2 * tree.cut + 1, most), most).astype(pairs.dtype)
+    at = np.zeros(len(first), np.int64)
     for _ in range(level):
-        split = tree.feature[at]
-        right = flat[np.maximum(split, 0).astype(np.int64) * n + rows] > tree.cut[at]
-        at = np.where(split >= 0, 2 * at + 1 + right, at)
+        right = pairs.take(first + feature.take(at)) > cut.take(at)
+        at += at
+        at += 1
+        at += right
     return at
 
 
+def add_rows(kept: np.ndarray, pairs: np.ndarray, first: np.ndarray, slot: np.ndarray, looked: np.ndarray, times: np.ndarray, width: int) -> None:
+    """Adds rows to the counts (slot, feature drawn, bin, class); `looked` has the features of each slot."""
+    drawn = looked.shape[1]
+    cells = looked.take(slot, axis=0)
+    cells += first[:, None]
+    cells = pairs.take(cells) + np.arange(drawn) * (2 * width)
+    cells += (slot * (drawn * 2 * width))[:, None]
+    kept += np.bincount(cells.ravel(), np.repeat(times.astype(np.float64), drawn), len(kept))
+
+
 def _add(batches: Sequence[bytes]) -> np.ndarray:
     total = np.frombuffer(batches[0], dtype=np.int64).copy()
     for more in batches[1:]:
@@ -127,26 +146,22 @@ def fit_forest(
         sizes = [len(nodes) for nodes in opened]
 
         def count_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            kept = [np.zeros(n * drawn * width * 2, np.int64) if n else None for n in sizes]
-            looked = [features_drawn(count, s.seed, t, level) if n else None for t, n in enumerate(sizes)]
+            kept = [np.zeros(n * drawn * width * 2) if n else None for n in sizes]  # whole numbers, exact in doubles
+            looked = [features_drawn(count, s.seed, t, level)[np.array(nodes, np.int64) - first] if nodes else None for t, nodes in enumerate(opened)]
 
             def take(group: list[tuple[np.ndarray, np.ndarray]]) -> None:
-                codes = np.concatenate([c for c, _ in group], axis=1)
-                one = np.concatenate([y for _, y in group]) == 1
-                n, flat = codes.shape[1], codes.ravel()
+                pairs = pairs_of(np.concatenate([c for c, _ in group], axis=1), np.concatenate([y for _, y in group]) == 1)
                 marks = [(c.shape[1], zlib.crc32(c.tobytes())) for c, _ in group]
                 for t, tree in enumerate(trees):
                     if not sizes[t]:
                         continue
                     times = np.concatenate([times_drawn(k, s.seed, t, mark) for k, mark in marks])
                     row = np.flatnonzero(times)
-                    node = _places(tree, level, flat, row, n) - (2**level - 1)
-                    slot = np.where(node >= 0, slots[t][np.maximum(node, 0)], -1)
+                    slot = slots[t].take(places(tree, level, pairs, row * count) - first)
                     inside = slot >= 0
-                    row, node, slot = row[inside], node[inside], slot[inside]
-                    begin, class_ = slot * drawn, one[row]
-                    cells = [((begin + k) * width + flat[looked[t][node, k] * n + row]) * 2 + class_ for k in range(drawn)]
-                    kept[t] += np.bincount(np.concatenate(cells), np.tile(times[row], drawn), len(kept[t])).astype(np.int64)
+                    if not inside.all():
+                        row, slot = row[inside], slot[inside]
+                    add_rows(kept[t], pairs, row * count, slot, looked[t], times[row], width)
 
             group, held = [], 0
             for batch in batches:
@@ -160,7 +175,7 @@ def fit_forest(
                 take(group)
             for t, counts in enumerate(kept):
                 if counts is not None:
-                    yield pa.RecordBatch.from_arrays([pa.array([t], pa.int32()), pa.array([counts.tobytes()], pa.binary())], names=["tree", "counts"])
+                    yield pa.RecordBatch.from_arrays([pa.array([t], pa.int32()), pa.array([counts.astype(np.int64).tobytes()], pa.binary())], names=["tree", "counts"])
 
         def merge(key: tuple, group: pa.Table) -> pa.Table:
             total = _add(group.column("counts").to_pylist())

@@ -251,3 +251,33 @@ def test_forest_of_one_class_and_of_unequal_weights(spark):
     assert all((t.feature == -1).all() and t.value[0] == 1 for t in trees) and importances == [0.0, 0.0]
     with pytest.raises(ValueError):
         forest.fit_forest(df.withColumn("w", F.rand(1)), ["a", "b"], "y", "w")
+
+
+@pytest.mark.parametrize("bins", [16, 200])
+def test_rows_of_a_forest_are_counted_row_after_row(bins):
+    r = np.random.default_rng(bins)
+    codes, one = r.integers(0, bins + 1, (5, 700)).astype(np.uint8), r.random(700) < 0.3
+    tree = boosting.Tree.blank(3)
+    tree.feature[:7], tree.cut[:7] = [2, 0, -1, 4, 1, -1, -1], [bins // 2, bins // 3, 0, bins - 1, bins // 4, 0, 0]
+    pairs, row = forest.pairs_of(codes, one), np.flatnonzero(r.random(700) < 0.7)
+    low = codes[:, codes.max(axis=0) <= bins // 2]  # a group without the high bins meets cuts among them
+    for own, at in ((codes, forest.places(tree, 3, pairs, row * 5)), (low, forest.places(tree, 3, forest.pairs_of(low, one[: low.shape[1]]), np.arange(low.shape[1]) * 5))):
+        leaf = tree.nodes(own[:, row] if own is codes else own)
+        assert (at[leaf >= 7] == leaf[leaf >= 7]).all() and set(at[leaf == 2]) <= {11}  # node 2 is a leaf: on to the left
+    at = forest.places(tree, 3, pairs, row * 5)
+    slots = np.array([0, 1, 2, 3, -1, -1, -1, -1])
+    slot, looked, times = slots[at - 7], np.array([[3, 0], [1, 4], [2, 0], [0, 3]]), r.integers(1, 5, len(row)).astype(np.uint8)
+    row, slot, times = row[slot >= 0], slot[slot >= 0], times[slot >= 0]
+    kept, plain = np.zeros(4 * 2 * (bins + 1) * 2), np.zeros((4, 2, bins + 1, 2))
+    for half in (slice(0, 100), slice(100, None)):
+        forest.add_rows(kept, pairs, row[half] * 5, slot[half], looked, times[half], bins + 1)
+    for i, k, n in zip(row, slot, times):
+        for j, feature in enumerate(looked[k]):
+            plain[k, j, codes[feature, i], int(one[i])] += n
+    assert (kept == plain.ravel()).all() and kept.sum() == 2 * times.sum()
+
+
+def test_feature_importance_of_settings_with_many_bins(spark):
+    x, y, w = table(900)
+    edges, trees, importances = forest.fit_forest(frame(spark, x, y, w), ["a", "b", "c", "d"], "y", "w", forest.ForestSettings(trees=3, depth=4, bins=200))
+    assert max(len(e) for e in edges) > 128 and abs(sum(importances) - 1) < 1e-9 and any(t.cut.max() > 127 for t in trees)
