@@ -3,13 +3,11 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterable
-from concurrent.futures import ThreadPoolExecutor
+from collections.abc import Collection
 
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.util import inheritable_thread_target
 
 from fleetlens.catalog import query
 from fleetlens.catalog.data import AS_OF, FRAME_CHUNK, LABEL, WHOLE_ROWS, stored_training
@@ -37,11 +35,17 @@ def _fit(split: DataFrame, names: list[str], model: str) -> PipelineModel:
     return train.train_model(split.where("split = 'train'"), names, LABEL, CANDIDATES[model])
 
 
-def _fits(split: DataFrame, names: list[str], models: Iterable[str]) -> dict[str, PipelineModel]:
-    """Several models, fitted at the same time: a fit is a long row of short jobs, which leave most of a cluster idle."""
-    fit = inheritable_thread_target(split.sparkSession)(lambda model: _fit(split, names, model))
-    with ThreadPoolExecutor(max(1, len(models := list(models)))) as pool:
-        return dict(zip(models, pool.map(fit, models)))
+def _fits(split: DataFrame, names: list[str], models: Collection[str]) -> dict[str, PipelineModel]:
+    """Several models, fitted at the same time."""
+    def fit(group: list[train.Candidate]) -> list[PipelineModel]:
+        if len(group) == 1:
+            return [_fit(split, names, group[0].name)]
+        return train.train_alike(split.where("split = 'train'"), names, LABEL, group)
+
+    groups = train.alike([CANDIDATES.get(model, train.Candidate(model, model)) for model in models])
+    fitted = train.at_once(split.sparkSession, fit, groups)
+    by_name = {c.name: model for group, own in zip(groups, fitted) for c, model in zip(group, own)}
+    return {model: by_name[model] for model in models}
 
 
 def _scores(split: DataFrame, names: list[str], models: dict[str, PipelineModel], part: str) -> DataFrame:

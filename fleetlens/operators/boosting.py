@@ -2,14 +2,18 @@
 
 Values are cut into at most `bins` quantile bins once, and rows are stored in blocks of bin numbers, feature by feature.
 A level of inner nodes is one job: every task adds up gradient and Hessian of the logistic loss per (node, feature, bin)
-for its blocks, and the sums are merged in a tree of bounded fan-in. The driver sees one histogram
-per level, whose size depends on the settings and not on the rows. What a split leaves on either side is in
-its histogram, so the last level needs no job. The driver splits where
+for its blocks, and the sums are merged in a tree of bounded fan-in. Of two siblings only the lighter one is added up; the
+other is what it leaves of their parent. The driver sees one histogram per level, whose size depends on the settings and
+not on the rows. What a split leaves on either side is in its histogram, so the last level needs no job. The driver splits where
 
     G_l^2 / (H_l + lambda) + G_r^2 / (H_r + lambda) - G^2 / (H + lambda)
 
-is greatest, and a leaf weighs -G / (H + lambda) times the learning rate. Margins are stored anew every few
-trees. Every task is a function of stored blocks and of the trees so far, so it can be repeated anywhere.
+is greatest, and a leaf weighs -G / (H + lambda) times the learning rate. Blocks are kept by the executors, with new margins
+after each tree, and checkpointed every few trees: a task whose block is lost starts from there. Models that differ in
+their weights alone are grown side by side, over the same blocks and in the same jobs.
+
+Gradients and Hessians are rounded to a fraction of a power of two so small that sums of all rows are exact in doubles:
+they depend on no order, and a difference is what adding up would have given.
 
 Missing values have a bin of their own below all others. Ties go to the first feature, then the lower cut.
 """
@@ -20,11 +24,12 @@ import json
 import uuid
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
+from math import ceil, log2
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark import keyword_only
+from pyspark import RDD, StorageLevel, keyword_only
 from pyspark.ml import Estimator, Model
 from pyspark.ml.functions import array_to_vector
 from pyspark.ml.param import Param, Params
@@ -35,6 +40,8 @@ from pyspark.sql import functions as F
 from fleetlens.session import shared_folder
 
 BLOCK_ROWS = 8192
+JOINED_BLOCKS = 4  # blocks that the boosting takes together
+PART_BLOCKS = 128  # of a task, at most
 FAN_IN = 64
 MOST_BYTES = 1 << 25  # of histograms that reach the driver at once
 _BLOCK = "rows int, codes binary, y binary, w binary, margin binary"
@@ -42,7 +49,7 @@ _BLOCK = "rows int, codes binary, y binary, w binary, margin binary"
 
 @dataclass(frozen=True)
 class Settings:
-    """store_every: margins are stored after so many trees; in between, tasks add up the newest trees."""
+    """store_every: margins are checkpointed after so many trees."""
 
     rounds: int = 100
     depth: int = 6
@@ -69,15 +76,17 @@ class Tree:
 
     def nodes(self, codes: np.ndarray) -> np.ndarray:
         """The node that each column of bin numbers (feature, row) comes to."""
-        at = np.zeros(codes.shape[1], dtype=np.int64)
-        rows = np.arange(codes.shape[1])
-        while True:
-            split = self.feature[at]
-            inner = split >= 0
-            if not inner.any():
-                return at
-            right = codes[np.maximum(split, 0), rows] > self.cut[at]
-            at = np.where(inner, 2 * at + 1 + right, at)
+        rows, values = np.arange(codes.shape[1]), np.ascontiguousarray(codes).ravel()
+        at, heap, inner = np.zeros(len(rows), np.int64), np.arange(len(self.feature)), self.feature >= 0
+        if not inner.any():
+            return at
+        # a leaf leads to itself: no bin number is above its cut
+        begin, cut, down = np.where(inner, self.feature, 0) * len(rows), np.where(inner, self.cut, 255), np.where(inner, 2 * heap + 1, heap)
+        for _ in range(int(heap[inner].max() + 1).bit_length()):
+            right = values.take(begin.take(at) + rows) > cut.take(at)
+            at = down.take(at)
+            at += right
+        return at
 
 
 def bin_of(values: np.ndarray, edges: Sequence[Sequence[float]]) -> np.ndarray:
@@ -113,17 +122,12 @@ def best_splits(histogram: np.ndarray, settings: Settings) -> list[tuple[float,
     return out
 
 
-def _summed(partial: DataFrame, parts: int, size: int) -> np.ndarray:
-    """The sum of arrays of doubles (`size` bytes, one in each of `parts`), by groups of `FAN_IN` until the rest fits `MOST_BYTES`."""
-
-    def add(key: tuple, group: pa.Table) -> pa.Table:
-        total = np.sum([np.frombuffer(b, dtype=np.float64) for b in group.column("sums").to_pylist()], axis=0)
-        return pa.table({"part": pa.array([key[0].as_py()], pa.int64()), "sums": pa.array([total.tobytes()], pa.binary())})
-
+def _summed(partial: RDD, parts: int, size: int) -> np.ndarray:
+    """The sum of arrays of at most `size` bytes, (number, array) in each of `parts`, by groups of `FAN_IN` until the rest fits `MOST_BYTES`."""
     while parts * size > MOST_BYTES and parts > 1:
-        parts = -(-parts // FAN_IN)
-        partial = partial.withColumn("part", F.col("part") % parts).groupBy("part").applyInArrow(add, "part long, sums binary")
-    return np.sum([np.frombuffer(b, dtype=np.float64) for b in partial.toArrow().column("sums").to_pylist()], axis=0)
+        parts = to = -(-parts // FAN_IN)
+        partial = partial.map(lambda x, to=to: (x[0] % to, x[1])).reduceByKey(np.add, to)
+    return np.sum([sums for _, sums in partial.collect()], axis=0)
 
 
 def _arrays(batch: pa.RecordBatch, features: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
@@ -148,14 +152,14 @@ def _stored(blocks: DataFrame) -> DataFrame:
     return blocks.sparkSession.read.schema(_BLOCK).parquet(path)
 
 
-def binned_blocks(rows: DataFrame, features: Sequence[str], label: str, weight: str, bins: int) -> tuple[list[list[float]], DataFrame]:
-    """(bin edges of each feature, stored blocks of bin numbers) of the rows that have a label."""
+def binned_blocks(rows: DataFrame, features: Sequence[str], label: str, weights: Sequence[str], bins: int) -> tuple[list[list[float]], DataFrame]:
+    """(bin edges of each feature, stored blocks of bin numbers) of the rows that have a label; a block has one weight and margin after the other."""
     if bins > 255:
         raise ValueError("bins are stored in bytes")
     count = len(features)
     known = rows.where(F.col(label).isNotNull()).select(
         *[F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double")).alias(f"x{j}") for j, c in enumerate(features)],
-        F.col(label).cast("double").alias("y"), F.col(weight).cast("double").alias("w"),
+        F.col(label).cast("double").alias("y"), *[F.col(w).cast("double").alias(f"w{k}") for k, w in enumerate(weights)],
     )
     shares = [k / bins for k in range(1, bins)]
     found = known.agg(*[F.percentile_approx(f"x{j}", shares, 100 * bins).alias(f"x{j}") for j in range(count)]).first()
@@ -166,75 +170,139 @@ def binned_blocks(rows: DataFrame, features: Sequence[str], label: str, weight:
             for start in range(0, batch.num_rows, BLOCK_ROWS):
                 part = batch.slice(start, BLOCK_ROWS)
                 columns = [part.column(f"x{j}").to_numpy(zero_copy_only=False).astype(np.float64) for j in range(count)]
-                y, w = (part.column(c).to_numpy(zero_copy_only=False).astype(np.float64) for c in "yw")
-                yield _block(bin_of(np.column_stack(columns), edges).T, y, w, np.zeros(len(y)))
+                y, *w = (part.column(c).to_numpy(zero_copy_only=False).astype(np.float64) for c in ("y", *[f"w{k}" for k in range(len(weights))]))
+                yield _block(bin_of(np.column_stack(columns), edges).T, y, np.stack(w), np.zeros((len(w), len(y))))
 
     return edges, _stored(known.mapInArrow(pack, _BLOCK))
 
 
+Kept = tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]  # bin numbers (feature, row), labels, weights and margins (model, row)
+
+
+def _kept(blocks: DataFrame, features: int) -> RDD:
+    """The stored blocks as arrays of some more rows, dealt evenly over all cores."""
+    count, slots = blocks.count(), blocks.sparkSession.sparkContext.defaultParallelism
+
+    def load(rows: Iterator) -> Iterator[Kept]:
+        group: list[Kept] = []
+        for r in rows:
+            n = r["rows"]
+            y, w, margin = (np.frombuffer(r[c], np.float64) for c in ("y", "w", "margin"))
+            group.append((np.frombuffer(r["codes"], np.uint8).reshape(features, n), y, w.reshape(-1, n), margin.reshape(-1, n)))
+            if len(group) == JOINED_BLOCKS:
+                yield tuple(np.concatenate(a, axis=-1) for a in zip(*group))
+                group = []
+        if group:
+            yield tuple(np.concatenate(a, axis=-1) for a in zip(*group))
+
+    parts = min(slots * -(-count // (slots * PART_BLOCKS)), count)
+    return blocks.repartition(max(parts, 1)).rdd.mapPartitions(load).persist(StorageLevel.MEMORY_AND_DISK)
+
+
+def _grown(kept: RDD, trees: Sequence[Tree]) -> RDD:
+    """The blocks with the newest tree of each model in its margins."""
+
+    def add(blocks: Iterator[Kept]) -> Iterator[Kept]:
+        for codes, y, w, margin in blocks:
+            yield codes, y, w, np.stack([_plus(m, codes, [tree]) for m, tree in zip(margin, trees)])
+
+    return kept.mapPartitions(add).persist(StorageLevel.MEMORY_AND_DISK)
+
+
 def fit_trees(rows: DataFrame, features: Sequence[str], label: str, weight: str, settings: Settings = Settings()) -> tuple[list[list[float]], list[Tree]]:
     """(bin edges of each feature, trees) from rows of numeric columns; rows without a label are left out."""
-    count = len(features)
-    edges, blocks = binned_blocks(rows, features, label, weight, settings.bins)
-    trees, newest = [], []
-    parts = blocks.rdd.getNumPartitions()
-    width = 1 + settings.bins
-
-    def histogram(tree: Tree, level: int) -> np.ndarray:
-        first, nodes, so_far = 2**level - 1, 2**level, list(newest)
-
-        def count_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            sums = np.zeros((2, count, nodes * width))
-            for batch in batches:
-                for codes, y, w, margin in _arrays(batch, count):
-                    g, h = gradients(y, w, _plus(margin, codes, so_far))
+    edges, models = fit_side_by_side(rows, features, label, [weight], settings)
+    return edges, models[0]
+
+
+def fit_side_by_side(
+    rows: DataFrame, features: Sequence[str], label: str, weights: Sequence[str], settings: Settings = Settings(),
+) -> tuple[list[list[float]], list[list[Tree]]]:
+    """(bin edges of each feature, trees of a model for each column of weights), all models in the same jobs."""
+    context = rows.sparkSession.sparkContext
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(shared_folder(rows.sparkSession))
+    count, width, models = len(features), 1 + settings.bins, range(len(weights))
+    edges, blocks = binned_blocks(rows, features, label, weights, settings.bins)
+    kept = _kept(blocks, count)
+    parts = kept.getNumPartitions()
+    total = kept.map(lambda block: block[2].sum(axis=1)).fold(np.zeros(len(weights)), np.add)
+    units = [2.0 ** (51 - ceil(log2(max(t, 1.0)))) for t in total]
+
+    def added(trees: list[Tree], slots: list[np.ndarray], level: int) -> list[np.ndarray]:
+        """For each model the histogram (node, feature, bin, gradient and Hessian) of the nodes of a level that have a slot."""
+        first, sizes = 2**level - 1, [int(s.max(initial=-1)) + 1 for s in slots]
+        ends = np.cumsum([0] + [2 * count * n * width for n in sizes])
+
+        def count_up(part: int, blocks: Iterator[Kept]) -> Iterator[tuple[int, np.ndarray]]:
+            every = np.zeros(ends[-1])
+            sums = [every[a:b].reshape(2, count, n * width) for a, b, n in zip(ends, ends[1:], sizes)]
+            for codes, y, w, margin in blocks:
+                for m, tree in enumerate(trees):
+                    if not sizes[m]:
+                        continue
                     node = tree.nodes(codes) - first
-                    open_ = node >= 0
-                    first_bin, sides = node[open_] * width, (g[open_], h[open_])
+                    slot = np.where(node >= 0, slots[m].take(np.maximum(node, 0)), -1)
+                    inside = np.flatnonzero(slot >= 0)
+                    sides = [np.rint(side * units[m]) for side in gradients(y.take(inside), w[m].take(inside), margin[m].take(inside))]
+                    first_bin = slot.take(inside) * width
                     for j in range(count):
-                        cell = first_bin + codes[j, open_]
+                        cell = first_bin + (codes[j].take(inside) if len(inside) < len(y) else codes[j])
                         for k, values in enumerate(sides):
-                            sums[k, j] += np.bincount(cell, weights=values, minlength=nodes * width)
-            yield pa.RecordBatch.from_arrays([pa.array([sums.tobytes()], pa.binary())], names=["sums"])
-
-        partial = blocks.mapInArrow(count_up, "sums binary").select(F.spark_partition_id().cast("long").alias("part"), "sums")
-        total = _summed(partial, parts, 16 * nodes * count * width)
-        return np.transpose(np.reshape(total, (2, count, nodes, width)), (2, 1, 3, 0))
-
-    for _ in range(settings.rounds):
-        tree = Tree.blank(settings.depth)
-
-        def weigh(node: int, sums: np.ndarray, tree: Tree = tree) -> None:
-            tree.value[node] = -settings.rate * sums[0] / (sums[1] + settings.l2)
-
+                            sums[m][k, j] += np.bincount(cell, values, sizes[m] * width)
+            yield part, every
+
+        every = _summed(kept.mapPartitionsWithIndex(count_up), parts, 16 * len(weights) * 2**level * count * width)
+        return [
+            np.transpose(np.reshape(every[a:b] / unit, (2, count, n, width)), (2, 1, 3, 0))
+            for a, b, n, unit in zip(ends, ends[1:], sizes, units)
+        ]
+
+    def weigh(tree: Tree, node: int, sums: np.ndarray) -> None:
+        tree.value[node] = -settings.rate * sums[0] / (sums[1] + settings.l2)
+
+    forests: list[list[Tree]] = [[] for _ in models]
+    left: list[RDD] = []  # blocks with the margins before, until the next ones are there
+    for grown in range(1, settings.rounds + 1):
+        trees = [Tree.blank(settings.depth) for _ in models]
+        above: list[dict[int, np.ndarray]] = [{} for _ in models]  # histograms of nodes that were split
+        opened = [[0] for _ in models]
+        lighter: list[list[int]] = [[0] for _ in models]
         for level in range(max(settings.depth, 1)):
-            sums = histogram(tree, level)
-            splits = best_splits(sums, settings) if settings.depth else [None]
-            if level == 0:
-                weigh(0, sums[0, 0].sum(axis=0))  # every row is in one bin of the first feature
-            for k, split in enumerate(splits):
-                node = 2**level - 1 + k
-                if split is not None:
-                    _, feature, cut = split
-                    tree.feature[node], tree.cut[node] = feature, cut
-                    weigh(2 * node + 1, sums[k, feature, : cut + 1].sum(axis=0))
-                    weigh(2 * node + 2, sums[k, feature, cut + 1 :].sum(axis=0))
-            if all(s is None for s in splits):
+            slots = [np.full(2**level, -1) for _ in models]
+            for slot, nodes in zip(slots, lighter):
+                slot[np.array(nodes, np.int64) - (2**level - 1)] = np.arange(len(nodes))
+            found = added(trees, slots, level)
+            while left:
+                left.pop().unpersist()
+            for m, tree in enumerate(trees):
+                sums = dict(zip(lighter[m], found[m]))
+                sums |= {n: above[m][(n - 1) // 2] - sums[n + 1 if n % 2 else n - 1] for n in opened[m] if n not in sums}
+                if level == 0:
+                    weigh(tree, 0, sums[0][0].sum(axis=0))  # every row is in one bin of the first feature
+                nodes, opened[m], lighter[m], above[m] = opened[m], [], [], sums
+                splits = best_splits(np.stack([sums[n] for n in nodes]), settings) if settings.depth and nodes else []
+                for node, split in zip(nodes, splits):
+                    if split is not None:
+                        _, feature, cut = split
+                        tree.feature[node], tree.cut[node] = feature, cut
+                        sides = sums[node][feature, : cut + 1].sum(axis=0), sums[node][feature, cut + 1 :].sum(axis=0)
+                        children = 2 * node + 1, 2 * node + 2
+                        for child, side in zip(children, sides):
+                            weigh(tree, child, side)
+                        opened[m] += children
+                        lighter[m].append(children[int(sides[1][1] < sides[0][1])])
+            if not any(opened):
                 break
-        trees.append(tree)
-        newest.append(tree)
-        if len(newest) == settings.store_every and len(trees) < settings.rounds:
-            done = list(newest)
-
-            def moved(batches: Iterator[pa.RecordBatch], done: list[Tree] = done) -> Iterator[pa.RecordBatch]:
-                for batch in batches:
-                    for codes, y, w, margin in _arrays(batch, count):
-                        yield _block(codes, y, w, _plus(margin, codes, done))
-
-            blocks = _stored(blocks.mapInArrow(moved, _BLOCK))
-            parts = blocks.rdd.getNumPartitions()
-            newest.clear()
-    return edges, trees
+        for forest, tree in zip(forests, trees):
+            forest.append(tree)
+        if grown < settings.rounds:
+            left.append(kept)
+            kept = _grown(kept, trees)
+            if grown % settings.store_every == 0:
+                kept.checkpoint()
+    kept.unpersist()
+    return edges, forests
 
 
 class BoostedTrees(Model, DefaultParamsReadable, DefaultParamsWritable):
@@ -282,6 +350,10 @@ class SecondOrderBoosting(Estimator):
         self.columns, self.label, self.weight, self.settings = list(columns), label, weight, settings
 
     def _fit(self, dataset: DataFrame) -> BoostedTrees:
-        edges, trees = fit_trees(dataset, self.columns, self.label, self.weight, self.settings)
-        told = [[t.feature.tolist(), t.cut.tolist(), t.value.tolist()] for t in trees]
-        return BoostedTrees(state=json.dumps({"columns": self.columns, "edges": edges, "trees": told}))
+        return self.side_by_side(dataset, [self.weight])[0]
+
+    def side_by_side(self, dataset: DataFrame, weights: Sequence[str]) -> list[BoostedTrees]:
+        """A model for each column of weights."""
+        edges, models = fit_side_by_side(dataset, self.columns, self.label, weights, self.settings)
+        told = [[[t.feature.tolist(), t.cut.tolist(), t.value.tolist()] for t in trees] for trees in models]
+        return [BoostedTrees(state=json.dumps({"columns": self.columns, "edges": edges, "trees": trees})) for trees in told]

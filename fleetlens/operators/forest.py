@@ -129,7 +129,7 @@ def fit_forest(
     """(bin edges of each feature, trees, importance of each feature). A tree's value is the weighted share of class 1."""
     count, width, s = len(features), 1 + settings.bins, settings
     weights = _class_weights(rows, label, weight)
-    edges, blocks = binned_blocks(rows, features, label, weight, s.bins)
+    edges, blocks = binned_blocks(rows, features, label, [weight], s.bins)
     trees = [Tree.blank(s.depth) for _ in range(s.trees)]
     gains = np.zeros((s.trees, count))
     opened = [[0] for _ in trees]  # nodes of the level that may be cut

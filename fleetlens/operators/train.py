@@ -2,17 +2,19 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-from dataclasses import dataclass
+from collections.abc import Callable, Sequence
+from concurrent.futures import ThreadPoolExecutor
+from dataclasses import dataclass, replace
 from datetime import datetime
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import SQLTransformer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.util import inheritable_thread_target
 
 from fleetlens.functions.domain import risk_level
 from fleetlens.operators.boosting import SecondOrderBoosting, Settings
@@ -46,15 +48,15 @@ CANDIDATES = (
 
 
 def _estimator(c: Candidate, columns: Sequence[str], label: str, total_weight: float, seed: int):
-    common = {"featuresCol": "features", "labelCol": label, "weightCol": WEIGHT}
+    common = {"featuresCol": "features", "labelCol": label, "weightCol": f"{WEIGHT}0"}
     if c.kind == "logistic":
         # L2 strength of 1 / (C * sum of weights) matches a penalty of C on the summed loss
         return LogisticRegression(
             maxIter=c.iterations, regParam=1.0 / (c.inverse_regularisation * total_weight), standardization=False, **common
         )
     if c.kind == "forest":
-        return Forest(columns, label, WEIGHT, ForestSettings(c.trees, c.depth, min_instances=c.min_instances, seed=seed))
-    return SecondOrderBoosting(columns, label, WEIGHT, Settings(rounds=c.trees, depth=c.depth, rate=c.step))
+        return Forest(columns, label, f"{WEIGHT}0", ForestSettings(c.trees, c.depth, min_instances=c.min_instances, seed=seed))
+    return SecondOrderBoosting(columns, label, f"{WEIGHT}0", Settings(rounds=c.trees, depth=c.depth, rate=c.step))
 
 
 def scaler(train: DataFrame, features: Sequence[str], suffix: str = "__scaled") -> SQLTransformer:
@@ -68,19 +70,46 @@ def scaler(train: DataFrame, features: Sequence[str], suffix: str = "__scaled")
     return SQLTransformer(statement=f"SELECT *, {', '.join(columns)} FROM __THIS__")
 
 
-def train_model(train: DataFrame, features: Sequence[str], label: str, candidate: Candidate, seed: int = 42) -> PipelineModel:
-    """Impute, scale, assemble, fit. Everything is learned on `train` alone."""
+def alike(candidates: Sequence[Candidate]) -> list[list[Candidate]]:
+    """The candidates in groups that are fitted together: boosted ones that differ in their weights alone."""
+    groups: dict[object, list[Candidate]] = {}
+    for c in candidates:
+        groups.setdefault(replace(c, name="", weights="") if c.kind == "boosted" else c.name, []).append(c)
+    return list(groups.values())
+
+
+def at_once(spark: SparkSession, fit: Callable, groups: Sequence) -> list:
+    """`fit` of each group, at the same time: a fit is a long row of short jobs, which leave most of a cluster idle."""
+    inherited = inheritable_thread_target(spark)(fit)
+    with ThreadPoolExecutor(max(1, len(groups))) as pool:
+        return list(pool.map(inherited, groups))
+
+
+def train_alike(train: DataFrame, features: Sequence[str], label: str, group: Sequence[Candidate], seed: int = 42) -> list[PipelineModel]:
+    """Impute, scale, assemble, fit, for one candidate or several `alike`. Everything is learned on `train` alone."""
     numbers = [F.nanvl(F.col(c).cast(T.DoubleType()), F.lit(None).cast("double")).alias(c) for c in features]
     cast = train.select(*numbers, F.col(label).cast("double").alias(label))
-    weighted = cast.where(F.col(label).isNotNull()).withColumn(WEIGHT, weight_column(cast, label, candidate.weights))
-    total = weighted.agg(F.sum(WEIGHT)).first()[0] if candidate.kind == "logistic" else 1.0
+    weights = {f"{WEIGHT}{k}": weight_column(cast, label, c.weights) for k, c in enumerate(group)}
+    weighted = cast.where(F.col(label).isNotNull()).withColumns(weights)
+    total = weighted.agg(F.sum(f"{WEIGHT}0")).first()[0] if group[0].kind == "logistic" else 1.0
     scaled = [f"{c}__scaled" for c in features]
-    stages = [
-        scaler(weighted, features),
-        VectorAssembler(inputCols=scaled, outputCol="features"),
-        _estimator(candidate, scaled, label, float(total), seed),
-    ]
-    return Pipeline(stages=stages).fit(weighted)
+    stages = [scaler(weighted, features), VectorAssembler(inputCols=scaled, outputCol="features")]
+    estimator = _estimator(group[0], scaled, label, float(total), seed)
+    if len(group) == 1:
+        return [Pipeline(stages=[*stages, estimator]).fit(weighted)]
+    return [PipelineModel([*stages, fitted]) for fitted in estimator.side_by_side(PipelineModel(stages).transform(weighted), list(weights))]
+
+
+def train_model(train: DataFrame, features: Sequence[str], label: str, candidate: Candidate, seed: int = 42) -> PipelineModel:
+    """One candidate, fitted."""
+    return train_alike(train, features, label, [candidate], seed)[0]
+
+
+def train_models(train: DataFrame, features: Sequence[str], label: str, candidates: Sequence[Candidate], seed: int = 42) -> dict[str, PipelineModel]:
+    """Every candidate, fitted; by name."""
+    groups = alike(candidates)
+    fitted = at_once(train.sparkSession, lambda group: train_alike(train, features, label, group, seed), groups)
+    return {c.name: model for group, models in zip(groups, fitted) for c, model in zip(group, models)}
 
 
 def score(

@@ -281,3 +281,41 @@ def test_feature_importance_of_settings_with_many_bins(spark):
     x, y, w = table(900)
     edges, trees, importances = forest.fit_forest(frame(spark, x, y, w), ["a", "b", "c", "d"], "y", "w", forest.ForestSettings(trees=3, depth=4, bins=200))
     assert max(len(e) for e in edges) > 128 and abs(sum(importances) - 1) < 1e-9 and any(t.cut.max() > 127 for t in trees)
+
+
+def test_models_that_differ_in_weights_are_grown_side_by_side(spark, monkeypatch):
+    x, y, w = table(900)
+    df = frame(spark, x, y, w).withColumn("v", F.lit(2.0) + F.col("y"))
+    s = boosting.Settings(rounds=5, depth=4, bins=16, store_every=2)
+    both = boosting.fit_side_by_side(df, ["a", "b", "c", "d"], "y", ["w", "v"], s)
+    for weight, trees in zip("wv", both[1]):
+        edges, alone = boosting.fit_trees(df.repartition(3), ["a", "b", "c", "d"], "y", weight, s)
+        assert edges == both[0]
+        for one, other in zip(trees, alone):  # sums are exact, however rows are dealt
+            assert (one.feature == other.feature).all() and (one.cut == other.cut).all() and (one.value == other.value).all()
+    names = [c.name for group in train.alike(train.CANDIDATES) if len(group) > 1 for c in group]
+    assert names == ["boosted_scaled", "boosted_balanced"]
+    fits, plain = [], boosting.fit_side_by_side
+    monkeypatch.setattr(boosting, "fit_side_by_side", lambda *a: fits.append(a[3]) or plain(*a))
+    candidates = [train.Candidate(n, "boosted", weights=n, trees=2, depth=2) for n in ("scale_pos", "balanced")]
+    models = train.train_models(df, ["a", "b", "c", "d"], "y", [*candidates, train.Candidate("logistic", "logistic", iterations=5)])
+    assert len(fits) == 1 and list(models) == ["scale_pos", "balanced", "logistic"]
+    alone = train.train_model(df, ["a", "b", "c", "d"], "y", candidates[1])
+    assert models["balanced"].stages[-1].getOrDefault("state") == alone.stages[-1].getOrDefault("state") != models["scale_pos"].stages[-1].getOrDefault("state")
+
+
+def test_boosting_adds_up_the_lighter_of_two_siblings(spark, monkeypatch):
+    x, y, w = table(800)
+    sizes, plain = [], boosting._summed
+    monkeypatch.setattr(boosting, "_summed", lambda partial, parts, size: sizes.append(partial.first()[1].nbytes) or plain(partial, parts, size))
+    s = boosting.Settings(rounds=2, depth=3, bins=16)
+    edges, trees = boosting.fit_trees(frame(spark, x, y, w), ["a", "b", "c", "d"], "y", "w", s)
+    assert sizes[0] == 16 * 4 * 17 and max(sizes) <= 2 * 16 * 4 * 17  # of four nodes two are added up
+    codes, p = boosting.bin_of(x, edges).T, None
+    margin = np.zeros(len(y))
+    for tree in trees:
+        p = 1 / (1 + np.exp(-margin))
+        node, g, h = tree.nodes(codes), w * (p - y), w * p * (1 - p)
+        for n in set(node):
+            assert tree.value[n] == pytest.approx(-0.1 * g[node == n].sum() / (h[node == n].sum() + 1.0), abs=1e-9)
+        margin += tree.value[node]
