@@ -93,12 +93,12 @@ def batch_scores(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _champion_scores(spark: SparkSession, folder: str, gate: float) -> DataFrame:
-    """From stored features to stored comparison, promoted model and scores of the test part."""
+    """From stored features to the stored comparison of all candidates, promoted model and scores of the test part."""
     root = f"{shared_folder(spark)}/learning-{uuid.uuid4().hex}"
     layout = FolderLayout(root=root)
     write_overwrite(features.build_features(stored_training(spark, folder), KEYS, FRAME_CHUNK, WHOLE_ROWS), layout.features)
     split = evaluate.temporal_split(read_table(spark, layout.features), KEYS)
-    learning.train_and_compare(spark, f"{root}/models", layout, KEYS, train.CANDIDATES[:1], min_recall=gate, as_of=AS_OF, split=split)
+    learning.train_and_compare(spark, f"{root}/models", layout, KEYS, train.CANDIDATES, min_recall=gate, as_of=AS_OF, split=split)
     test = split.where("split = 'test'").drop("split")
     scores = learning.champion_scores(spark, test, f"{root}/models", layout, KEYS, as_of=AS_OF)
     return scores.drop("model_run_id")  # a new one in every run

@@ -45,9 +45,9 @@ def train_and_compare(
     names = feature_columns(split, [*ids, label, "split"])
     fit_on = split.where("split = 'train'")
     runs = {}
+    models = train.train_models(fit_on, names, label, candidates)
     for position, candidate in enumerate(candidates):
-        run_id = str(uuid.uuid4())
-        fitted = train.train_model(fit_on, names, label, candidate)
+        run_id, fitted = str(uuid.uuid4()), models[candidate.name]
         fitted.write().overwrite().save(f"{model_root}/{run_id}")
         scored = train.score(split.where("split <> 'train'"), fitted, [*ids, label, "split"], names, run_id=run_id, as_of=as_of)
         scored = scored.withColumn("model_name", F.lit(candidate.name))

@@ -283,6 +283,25 @@ def test_feature_importance_of_settings_with_many_bins(spark):
     assert max(len(e) for e in edges) > 128 and abs(sum(importances) - 1) < 1e-9 and any(t.cut.max() > 127 for t in trees)
 
 
+def test_champion_scores_compare_every_candidate(spark, tmp_path, monkeypatch):
+    from dataclasses import replace
+
+    from fleetlens.catalog import learning as queries
+
+    r = np.random.default_rng(4)
+    rows = [(i, int(r.integers(0, 40)), int(r.integers(0, 30 * 86_400)), ("click", "view", "error", "purchase")[i % 4], float(r.random() * 200)) for i in range(2000)]
+    events = spark.createDataFrame(rows, "event_id long, user_id long, s long, event_type string, value double")
+    events.withColumn("ts", F.timestamp_seconds("s").cast("timestamp_ntz")).drop("s").write.parquet(f"{tmp_path}/events.parquet")
+    light = tuple(replace(c, trees=2, depth=2, iterations=5) for c in train.CANDIDATES)
+    monkeypatch.setattr(train, "CANDIDATES", light)
+    compared, plain = [], learning.train_and_compare
+    monkeypatch.setattr(learning, "train_and_compare", lambda *a, **b: compared.append(plain(*a, **b)) or compared[-1])
+    scores = queries._champion_scores(spark, str(tmp_path), 0.0)
+    told = compared[0].collect()
+    assert sorted(t["model_name"] for t in told) == sorted(c.name for c in light) and sum(t["is_champion"] for t in told) == 1
+    assert scores.count() > 0 and scores.where("failure_probability is null").count() == 0
+
+
 def test_models_that_differ_in_weights_are_grown_side_by_side(spark, monkeypatch):
     x, y, w = table(900)
     df = frame(spark, x, y, w).withColumn("v", F.lit(2.0) + F.col("y"))
