@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from functools import reduce
-from operator import and_
+from operator import add, and_
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -46,13 +46,18 @@ def replayed(target: DataFrame, batch: DataFrame, keys: Sequence[str]) -> DataFr
 
     A null key equals nothing, so a merge on keys would add such a row again whenever its batch is
     repeated. Rows are compared as a whole, without what ingestion stamped on them; that also
-    spreads them, as no two different rows share a key.
+    spreads them, as no two different rows share a key. They meet by a number, the hash of the row, and
+    are then compared column by column: structs as join keys are built anew for each of their fields.
     """
     stamps = {*INGESTION_SCHEMA.fieldNames(), EVENT_DATE}
     complete = reduce(and_, [F.col(k).isNotNull() for k in keys])
-    content = F.struct(*[F.col(c) for c in batch.columns if c not in stamps])
-    present = target.where(~complete).select(content.alias("__content")).distinct()
-    return batch.where(~complete).join(present, content == F.col("__content"), "left_anti")
+    columns = [c for c in batch.columns if c not in stamps]
+    present = target.where(~complete).select(*columns).distinct().alias("__present")
+    ours, theirs = [F.col(f"__batch.{c}") for c in columns], [F.col(f"__present.{c}") for c in columns]
+    numbers = F.xxhash64(*[c.cast(target.schema[n].dataType) for n, c in zip(columns, ours)]) == F.xxhash64(*theirs)
+    # a number of equal columns, not a conjunction, which would make a join key of each column
+    equal = reduce(add, [c.eqNullSafe(other).cast("int") for c, other in zip(ours, theirs)]) == len(columns)
+    return batch.where(~complete).alias("__batch").join(present, numbers & equal, "left_anti")
 
 
 def upsert_new_only(

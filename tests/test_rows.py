@@ -155,6 +155,21 @@ def test_upsert_reads_the_days_of_the_batch_and_repeats_nothing(spark, tmp_path)
     assert {r.turbine_id for r in undated.collect()} == {"A", "B", None}
 
 
+def test_rows_without_a_key_meet_by_a_number_and_are_compared_as_a_whole(spark):
+    schema = "k string, t int, " + ", ".join(f"c{i} double" for i in range(40))
+
+    def row(t, *first):
+        return (None, t, *first, *[0.5] * (40 - len(first)))
+
+    nan = float("nan")
+    target = spark.createDataFrame([row(1, 1.0, None), row(2, nan, 0.0), row(3, 3.0, 3.0)], schema)
+    batch = spark.createDataFrame([row(1, 1.0, None), row(2, nan, -0.0), row(3, 3.0, 4.0), row(3, 3.0, None), row(1, 1.0, None)], schema)
+    added = ingest.replayed(target, batch, ["k", "t"])
+    assert sorted((r.t, r.c1 or 0) for r in added.collect()) == [(3, 0), (3, 4.0)] and added.columns == batch.columns
+    plan = added._jdf.queryExecution().optimizedPlan().toString()
+    assert "named_struct" not in plan and plan.count("xxhash64") == 2
+
+
 def test_horizon_is_closed_and_exact(spark):
     keys = Keys(time="ts")
     rows = [("A", T0, 0), ("A", T0 + timedelta(seconds=1), 0), ("A", T0 + timedelta(hours=24, seconds=1), 1), ("B", T0, 0)]
