@@ -261,9 +261,9 @@ def drift_summary(spark: SparkSession, folder: str) -> DataFrame:
     rows = scored(spark, folder)
     early, late = halves(rows)
     summary = drift.drift_summary(
-        _data_drift(spark, folder),
+        cut_lineage(_data_drift(spark, folder)),  # a few rows at the end of a long plan
         drift.concept_drift(*halves(training(spark, folder)), LABEL, as_of=AS_OF),
-        drift.prediction_drift(early, late, "failure_probability", as_of=AS_OF),
+        cut_lineage(drift.prediction_drift(early, late, "failure_probability", as_of=AS_OF)),
         drift.model_drift(early, late, "label", "prediction", as_of=AS_OF),
         as_of=AS_OF,
     )
